@@ -43,9 +43,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is set by the operator and is only read here. Only when
     it is unset (local tests) a scratch folder is chosen.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return current
+    current = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current

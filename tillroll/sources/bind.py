@@ -317,9 +317,9 @@ class Tables:
         # grouping by (order, product) right after the join on order needs no
         # further shuffle: hash(order) already clusters the pair
         pairs = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-                 .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-                          F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("_od"))
-                 .agg())
+                 .select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+                         F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("_od"))
+                 .distinct())
         return pairs.select(
             "product_id", "customer_id", "order_id",
             F.expr(RATING_EXPR).alias("rating"),
