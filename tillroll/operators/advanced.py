@@ -1 +1,349 @@
-"""(in progress)"""
+"""Advanced analytics: cohort retention, market basket, churn risk, product
+affinity.
+
+Pair counting (basket, affinity, recommendations) joins the per-order item
+set with itself on ``order_id``. Before that join every order is reduced to
+its distinct products (line multiplicity kept as a weight where the literal
+result counts line pairs), and where the result keeps only pairs seen in at
+least ``m`` orders, products seen in fewer than ``m`` orders are removed
+first (a pair cannot be more frequent than either of its products). The
+self-join is a sort-merge join on ``order_id``; an order holding a large
+share of all lines is split by AQE's skew handling rather than landing in
+one task.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tillroll.functions.common import month_of, pct, ratio, rnd, whole_days
+from tillroll.functions.sqltext import DAYS, MEAN, MONEY, MONTH, PCT, R, TS_AGO, oracle
+from tillroll.operators.customer import customer_name
+from tillroll.registry import query
+from tillroll.sources.bind import Tables
+
+
+# --------------------------------------------------------------------------
+# cohort retention
+def _cohort_activity(t: Tables) -> DataFrame:
+    cm = (t.valid_orders.where(F.col("customer_id").isNotNull())
+          .groupBy("customer_id", month_of("order_date").alias("activity_month")).agg(F.count(F.lit(1)).alias("_n")))
+    # after the distinct (customer, month) step each customer holds at most
+    # one row per month, so this per-customer window is bounded
+    first = cm.withColumn("cohort_month", F.min("activity_month").over(Window.partitionBy("customer_id")))
+    return (first.groupBy("cohort_month", "activity_month")
+            .agg(F.count(F.lit(1)).alias("active_customers")))
+
+
+def _cohort(t: Tables, literal: bool, months: int = 3) -> DataFrame:
+    act = _cohort_activity(t)
+    val = F.lit(1) if literal else F.col("active_customers")
+    cols = [F.coalesce(F.sum(F.when(F.col("activity_month") == F.add_months("cohort_month", k), val)),
+                       F.lit(0)).cast("bigint").alias(f"month_{k}") for k in range(months + 1)]
+    per = act.groupBy("cohort_month").agg(*cols)
+    return (per.select("cohort_month", *[f"month_{k}" for k in range(months + 1)],
+                       rnd(pct("month_1", "month_0")).alias("retention_month_1_pct"))
+            .orderBy(F.col("cohort_month").desc()))
+
+
+def _cohort_sql(agg: str) -> str:
+    def f(k):
+        cond = ("activity_month = cohort_month" if k == 0 else
+                f"activity_month = CAST(cohort_month + INTERVAL {k} MONTH AS DATE)")
+        return f"CAST({agg.format(cond=cond)} AS BIGINT)"
+    return oracle(f"""
+SELECT cohort_month,
+       {f(0)} AS month_0, {f(1)} AS month_1, {f(2)} AS month_2, {f(3)} AS month_3,
+       {R(PCT(f(1), f(0)))} AS retention_month_1_pct
+FROM cohort_activity GROUP BY cohort_month ORDER BY cohort_month DESC""", ctes=f"""
+customer_cohorts AS (
+  SELECT customer_id, {MONTH('MIN(order_date)')} AS cohort_month
+  FROM b_orders WHERE order_status != 'Cancelled' GROUP BY customer_id),
+cohort_activity AS (
+  SELECT cc.cohort_month, {MONTH('o.order_date')} AS activity_month,
+         COUNT(DISTINCT o.customer_id) AS active_customers
+  FROM customer_cohorts cc JOIN b_orders o ON cc.customer_id = o.customer_id
+  WHERE o.order_status != 'Cancelled'
+  GROUP BY cc.cohort_month, {MONTH('o.order_date')})""")
+
+
+@query("cohort_retention", _cohort_sql("COUNT(*) FILTER (WHERE {cond})"))
+def cohort_retention(t: Tables) -> DataFrame:
+    """Literal: counts (cohort, month) rows, so every cell is 0 or 1."""
+    return _cohort(t, literal=True)
+
+
+@query("cohort_retention_corrected",
+       _cohort_sql("COALESCE(SUM(active_customers) FILTER (WHERE {cond}), 0)"))
+def cohort_retention_corrected(t: Tables) -> DataFrame:
+    """Active customers of each cohort in months 0..3 after its first order."""
+    return _cohort(t, literal=False)
+
+
+# --------------------------------------------------------------------------
+# item sets per order
+def valid_order_products(t: Tables, with_total: bool = False) -> DataFrame:
+    """Distinct (order, product) of non-cancelled orders with line count."""
+    cols = ["order_id"] + (["total_amount"] if with_total else [])
+    it = t.items.select("order_id", "product_id").join(t.valid_orders.select(*cols), "order_id")
+    return it.groupBy("order_id", "product_id", *cols[1:]).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def orders_per_product(t: Tables) -> DataFrame:
+    """COUNT(DISTINCT order_id) per product over all items (any status)."""
+    return (t.items.select("order_id", "product_id").distinct()
+            .groupBy("product_id").agg(F.count(F.lit(1)).alias("_den")))
+
+
+def _pairs(po: DataFrame, op: str) -> DataFrame:
+    a = po.select(*[F.col(c).alias(f"a_{c}") for c in po.columns])
+    b = po.select(*[F.col(c).alias(f"b_{c}") for c in po.columns])
+    cond = F.col("a_order_id") == F.col("b_order_id")
+    cond = cond & ((F.col("a_product_id") < F.col("b_product_id")) if op == "<"
+                   else (F.col("a_product_id") != F.col("b_product_id")))
+    return a.join(b, cond)
+
+
+def _basket(t: Tables, min_pairs: int, k: int) -> DataFrame:
+    po = valid_order_products(t, with_total=True)
+    w = F.col("a_lines") * F.col("b_lines")  # line pairs of this product pair in this order
+    pairs = (_pairs(po, "<")
+             .join(t.products.select(F.col("product_id").alias("b_product_id"),
+                                     F.col("product_name").alias("product_2")), "b_product_id")
+             .groupBy(F.col("a_product_id").alias("product_id"), "product_2")
+             .agg(F.sum(w).alias("times_bought_together"),
+                  F.sum(w * F.col("a_total_amount")).alias("_tot"))
+             .where(F.col("times_bought_together") >= min_pairs))
+    j = (pairs.join(t.products.select("product_id", F.col("product_name").alias("product_1")), "product_id")
+         .join(orders_per_product(t), "product_id"))
+    return (j.select("product_1", "product_2", "times_bought_together",
+                     rnd(ratio("_tot", "times_bought_together")).alias("avg_order_value"),
+                     rnd(pct("times_bought_together", "_den")).alias("support_pct"),
+                     F.col("product_id").alias("_a"))
+            .orderBy(F.col("times_bought_together").desc(), "_a", "product_2")
+            .limit(k).drop("_a"))
+
+
+def _basket_sql(min_pairs: int, k: int) -> str:
+    return oracle(f"""
+SELECT p1.product_name AS product_1, p2.product_name AS product_2,
+       COUNT(*) AS times_bought_together,
+       {R(MEAN('o.total_amount'))} AS avg_order_value,
+       {R(PCT('COUNT(*)', 'MAX(den.n)'))} AS support_pct
+FROM b_items oi1
+JOIN b_items oi2 ON oi1.order_id = oi2.order_id AND oi1.product_id < oi2.product_id
+JOIN b_products p1 ON oi1.product_id = p1.product_id
+JOIN b_products p2 ON oi2.product_id = p2.product_id
+JOIN b_orders o ON oi1.order_id = o.order_id
+JOIN (SELECT product_id, COUNT(DISTINCT order_id) AS n FROM b_items GROUP BY product_id) den
+  ON den.product_id = oi1.product_id
+WHERE o.order_status != 'Cancelled'
+GROUP BY p1.product_name, p2.product_name, oi1.product_id
+HAVING COUNT(*) >= {min_pairs}
+ORDER BY times_bought_together DESC, oi1.product_id, product_2 LIMIT {k}""")
+
+
+@query("market_basket", _basket_sql(3, 20))
+def market_basket(t: Tables, min_pairs: int = 3, k: int = 20) -> DataFrame:
+    """Literal: line pairs per (product a, name of b), support over all of
+    a's orders (cancelled included)."""
+    return _basket(t, min_pairs, k)
+
+
+@query("market_basket_min5", _basket_sql(5, 20))
+def market_basket_min5(t: Tables, k: int = 20) -> DataFrame:
+    """The README variant: the same operator with threshold 5."""
+    return _basket(t, 5, k)
+
+
+@query("market_basket_corrected", oracle(f"""
+SELECT pp.a AS product_1_id, p1.product_name AS product_1, pp.b AS product_2_id,
+       p2.product_name AS product_2, pp.n AS times_bought_together,
+       {R('pp.tot / pp.n')} AS avg_order_value,
+       {R(PCT('pp.n', 'ta.n'))} AS support_pct
+FROM (SELECT x.product_id AS a, y.product_id AS b, COUNT(*) AS n, CAST(SUM(x.total_amount) AS DOUBLE) AS tot
+      FROM vop x JOIN vop y ON x.order_id = y.order_id AND x.product_id < y.product_id
+      GROUP BY 1, 2 HAVING COUNT(*) >= 3) pp
+JOIN b_products p1 ON p1.product_id = pp.a
+JOIN b_products p2 ON p2.product_id = pp.b
+JOIN (SELECT product_id, COUNT(*) AS n FROM vop GROUP BY product_id) ta ON ta.product_id = pp.a
+ORDER BY times_bought_together DESC, product_1_id, product_2_id LIMIT 20""", ctes="""
+vop AS (SELECT DISTINCT oi.order_id, oi.product_id, o.total_amount
+        FROM b_items oi JOIN b_orders o ON oi.order_id = o.order_id
+        WHERE o.order_status != 'Cancelled')"""))
+def market_basket_corrected(t: Tables, min_pairs: int = 3, k: int = 20) -> DataFrame:
+    """Distinct orders per product pair (by id); support over a's
+    non-cancelled orders."""
+    po = valid_order_products(t, with_total=True)
+    totals = po.groupBy("product_id").agg(F.count(F.lit(1)).alias("_den"))
+    frequent = totals.where(F.col("_den") >= min_pairs).select("product_id")
+    pf = po.join(frequent, "product_id", "left_semi")
+    pairs = (_pairs(pf, "<")
+             .groupBy(F.col("a_product_id").alias("product_1_id"), F.col("b_product_id").alias("product_2_id"))
+             .agg(F.count(F.lit(1)).alias("times_bought_together"),
+                  F.sum("a_total_amount").alias("_tot"))
+             .where(F.col("times_bought_together") >= min_pairs))
+    names = t.products.select("product_id", "product_name")
+    j = (pairs.join(names.toDF("product_1_id", "product_1"), "product_1_id")
+         .join(names.toDF("product_2_id", "product_2"), "product_2_id")
+         .join(totals.withColumnRenamed("product_id", "product_1_id"), "product_1_id"))
+    return (j.select("product_1_id", "product_1", "product_2_id", "product_2", "times_bought_together",
+                     rnd(ratio("_tot", "times_bought_together")).alias("avg_order_value"),
+                     rnd(pct("times_bought_together", "_den")).alias("support_pct"))
+            .orderBy(F.col("times_bought_together").desc(), "product_1_id", "product_2_id")
+            .limit(k))
+
+
+# --------------------------------------------------------------------------
+# product affinity
+def affinity_pairs(po: DataFrame, min_co: int) -> tuple[DataFrame, DataFrame]:
+    """Ordered pairs (a, b), a != b, with distinct co-occurring orders >= min_co,
+    plus per-item order totals. ``po`` has distinct (order_id, product_id)."""
+    totals = po.groupBy("product_id").agg(F.count(F.lit(1)).alias("total_orders"))
+    frequent = totals.where(F.col("total_orders") >= min_co).select("product_id")
+    pf = po.select("order_id", "product_id").join(frequent, "product_id", "left_semi")
+    half = (_pairs(pf, "<").groupBy("a_product_id", "b_product_id")
+            .agg(F.count(F.lit(1)).alias("co_occurrence"))
+            .where(F.col("co_occurrence") >= min_co))
+    both = half.select(F.explode(F.array(
+        F.struct(F.col("a_product_id").alias("product_a"), F.col("b_product_id").alias("product_b"),
+                 "co_occurrence"),
+        F.struct(F.col("b_product_id").alias("product_a"), F.col("a_product_id").alias("product_b"),
+                 "co_occurrence"))).alias("p")).select("p.*")
+    return both, totals
+
+
+def _affinity(pairs: DataFrame, totals: DataFrame, names: DataFrame, k: int) -> DataFrame:
+    ta = totals.toDF("product_a", "product_a_orders")
+    tb = totals.toDF("product_b", "product_b_orders")
+    j = (pairs.join(ta, "product_a").join(tb, "product_b")
+         .join(names.toDF("product_a", "product"), "product_a")
+         .join(names.toDF("product_b", "recommended_product"), "product_b"))
+    cos = F.col("co_occurrence").cast("double") / F.sqrt(
+        (F.col("product_a_orders") * F.col("product_b_orders")).cast("double"))
+    return (j.select("product", "recommended_product", "co_occurrence", "product_a_orders",
+                     "product_b_orders",
+                     rnd(pct("co_occurrence", "product_a_orders")).alias("affinity_score_pct"),
+                     rnd(cos, 4).alias("cosine_similarity"), "product_a", "product_b")
+            .orderBy(F.col("cosine_similarity").desc(), "product_a", "product_b")
+            .limit(k).drop("product_a", "product_b"))
+
+
+def _affinity_sql(unit: str, names: str, min_co: int, k: int) -> str:
+    return oracle(f"""
+SELECT pa.nm AS product, pb.nm AS recommended_product, pp.co_occurrence,
+       pta.total_orders AS product_a_orders, ptb.total_orders AS product_b_orders,
+       {R(PCT('pp.co_occurrence', 'pta.total_orders'))} AS affinity_score_pct,
+       {R('CAST(pp.co_occurrence AS DOUBLE) / SQRT(CAST(pta.total_orders * ptb.total_orders AS DOUBLE))', 4)}
+         AS cosine_similarity
+FROM product_pairs pp
+JOIN names pa ON pp.product_a = pa.id
+JOIN names pb ON pp.product_b = pb.id
+JOIN product_totals pta ON pp.product_a = pta.product_id
+JOIN product_totals ptb ON pp.product_b = ptb.product_id
+WHERE pp.co_occurrence >= {min_co}
+ORDER BY cosine_similarity DESC, pp.product_a, pp.product_b LIMIT {k}""", ctes=f"""
+vi AS (SELECT oi.order_id, {unit} AS product_id
+       FROM b_items oi JOIN b_orders o ON oi.order_id = o.order_id
+       JOIN b_products p ON p.product_id = oi.product_id
+       WHERE o.order_status != 'Cancelled'),
+names AS ({names}),
+product_pairs AS (
+  SELECT x.product_id AS product_a, y.product_id AS product_b, COUNT(DISTINCT x.order_id) AS co_occurrence
+  FROM vi x JOIN vi y ON x.order_id = y.order_id AND x.product_id != y.product_id
+  GROUP BY 1, 2),
+product_totals AS (
+  SELECT product_id, COUNT(DISTINCT order_id) AS total_orders FROM vi GROUP BY product_id)""")
+
+
+@query("product_affinity", _affinity_sql(
+    "oi.product_id", "SELECT product_id AS id, product_name AS nm FROM b_products", 3, 30))
+def product_affinity(t: Tables, min_co: int = 3, k: int = 30) -> DataFrame:
+    po = valid_order_products(t).join(t.products.select("product_id"), "product_id", "left_semi")
+    pairs, totals = affinity_pairs(po.select("order_id", "product_id"), min_co)
+    return _affinity(pairs, totals, t.products.select("product_id", "product_name"), k)
+
+
+@query("product_affinity_by_category", _affinity_sql(
+    "p.category_id", "SELECT category_id AS id, category_name AS nm FROM b_categories", 3, 30))
+def product_affinity_by_category(t: Tables, min_co: int = 3, k: int = 30) -> DataFrame:
+    """The same affinity operator at category grain (item -> its category)."""
+    it = (t.items.select("order_id", "product_id")
+          .join(t.valid_orders.select("order_id"), "order_id", "left_semi")
+          .join(t.products.select("product_id", "category_id"), "product_id")
+          .select("order_id", F.col("category_id").alias("product_id")).distinct())
+    pairs, totals = affinity_pairs(it, min_co)
+    names = t.categories.select(F.col("category_id").alias("product_id"), "category_name")
+    return _affinity(pairs, totals, names, k)
+
+
+# --------------------------------------------------------------------------
+# churn risk
+def _churn_sql() -> str:
+    avg = "cb.avg_days_between_orders"
+    return oracle(f"""
+SELECT cb.customer_id, cb.customer_name, cb.days_since_last_order, cb.total_orders, cb.total_spent,
+       cb.avg_order_value, {avg},
+       CASE WHEN cb.days_since_last_order > {avg} * 2 THEN 'High Risk'
+            WHEN cb.days_since_last_order > {avg} * 1.5 THEN 'Medium Risk'
+            ELSE 'Low Risk' END AS churn_risk,
+       MAX(o.order_date) + to_microseconds(CAST({R(f'{avg} * 86400000000e0', 0)} AS BIGINT))
+         AS expected_next_purchase
+FROM cb JOIN b_orders o ON cb.customer_id = o.customer_id
+WHERE {avg} IS NOT NULL
+GROUP BY cb.customer_id, cb.customer_name, cb.days_since_last_order, cb.total_orders, cb.total_spent,
+         cb.avg_order_value, {avg}
+ORDER BY cb.days_since_last_order DESC, cb.customer_id""", ctes=f"""
+g AS (SELECT o.customer_id, o.order_id, o.order_date, o.total_amount,
+             {DAYS('o.order_date', 'LAG(o.order_date) OVER (PARTITION BY o.customer_id ORDER BY o.order_date, o.order_id)')} AS gap
+      FROM b_orders o WHERE o.order_status != 'Cancelled'),
+cb AS (SELECT c.customer_id, c.first_name || ' ' || c.last_name AS customer_name,
+              {DAYS(TS_AGO(0), 'MAX(g.order_date)')} AS days_since_last_order,
+              COUNT(DISTINCT g.order_id) AS total_orders,
+              {MONEY('g.total_amount')} AS total_spent,
+              {R(MEAN('g.total_amount'))} AS avg_order_value,
+              {R('AVG(g.gap)', 1)} AS avg_days_between_orders
+       FROM b_customers c JOIN g ON c.customer_id = g.customer_id
+       GROUP BY c.customer_id, c.first_name, c.last_name)""")
+
+
+@query("churn_risk", _churn_sql())
+def churn_risk(t: Tables) -> DataFrame:
+    """Recency against the mean gap between a customer's orders.
+
+    The gap between consecutive orders is whole days, truncated, so two
+    orders on the same calendar day are 0 apart. The per-order LAG therefore
+    reduces to: (n_day - 1) zero gaps inside each (customer, day), and one gap
+    from the last order of the previous active day to the first of this one.
+    The window runs over one row per (customer, active day) — bounded by the
+    calendar, not by how many orders one customer places.
+    """
+    v = t.valid_orders.where(F.col("customer_id").isNotNull())
+    per_day = (v.groupBy("customer_id", F.to_date("order_date").alias("_day"))
+               .agg(F.count(F.lit(1)).alias("_n"), F.min("order_date").alias("_first"),
+                    F.max("order_date").alias("_last"), F.sum("total_amount").alias("_s"),
+                    F.count("total_amount").alias("_ns")))
+    w = Window.partitionBy("customer_id").orderBy("_day")
+    gaps = per_day.withColumn("_gap", whole_days(F.col("_first"), F.lag("_last").over(w)))
+    per = (gaps.groupBy("customer_id")
+           .agg(F.sum("_n").alias("total_orders"), F.sum("_gap").alias("_gsum"),
+                F.sum("_s").alias("_spend"), F.sum("_ns").alias("_nspend"),
+                F.max("_last").alias("_lastv"))
+           .where(F.col("total_orders") >= 2))
+    last_any = t.orders.groupBy("customer_id").agg(F.max("order_date").alias("_last_any"))
+    j = (per.join(t.customers.select("customer_id", "first_name", "last_name"), "customer_id")
+         .join(last_any, "customer_id"))
+    avg_gap = rnd(F.col("_gsum").cast("double") / (F.col("total_orders") - 1), 1)
+    days = whole_days(t.ts_days_ago(0), F.col("_lastv"))
+    micros = rnd(avg_gap * 86400000000.0, 0).cast("bigint")
+    out = j.select(
+        "customer_id", customer_name().alias("customer_name"), days.alias("days_since_last_order"),
+        "total_orders", F.col("_spend").cast("double").alias("total_spent"),
+        rnd(ratio("_spend", "_nspend")).alias("avg_order_value"),
+        avg_gap.alias("avg_days_between_orders"),
+        F.when(days > avg_gap * 2, "High Risk").when(days > avg_gap * 1.5, "Medium Risk")
+         .otherwise("Low Risk").alias("churn_risk"),
+        F.timestamp_add("MICROSECOND", micros, F.col("_last_any")).alias("expected_next_purchase"))
+    return out.orderBy(F.col("days_since_last_order").desc(), "customer_id")
