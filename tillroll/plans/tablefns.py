@@ -1 +1,244 @@
-"""(in progress)"""
+"""Parameterised table functions of the reference.
+
+Each function answers for every key at once (one distributed job instead of
+one call per key); passing the key (``customer_id=...``) filters that plan,
+and Catalyst pushes the filter down to both sides of the joins.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tillroll.functions.common import pct, ratio, rnd
+from tillroll.functions.sqltext import MEAN, PCT, R, TS_AGO, oracle
+from tillroll.operators.advanced import orders_per_product, valid_order_products
+from tillroll.operators.customer import customer_name, customer_order_stats
+from tillroll.operators.marketing import orders_per_campaign
+from tillroll.operators.product import review_stats
+from tillroll.plans.views import STATUS_BY_DATE_SQL, customer_status_by_date, product_item_stats
+from tillroll.registry import query
+from tillroll.sources.bind import Tables
+
+
+# --------------------------------------------------------------------------
+@query("customer_ltv", oracle(f"""
+SELECT c.customer_id, c.first_name || ' ' || c.last_name AS customer_name,
+       COUNT(DISTINCT o.order_id) AS total_orders,
+       CAST(COALESCE(SUM(o.total_amount), 0) AS DOUBLE) AS total_revenue,
+       COALESCE({R(MEAN('o.total_amount'))}, 0e0) AS avg_order_value,
+       {R(f"COALESCE({MEAN('o.total_amount')}, 0e0) * (COUNT(DISTINCT o.order_id) * 1.5e0)")} AS predicted_ltv,
+       {STATUS_BY_DATE_SQL} AS customer_status
+FROM b_customers c
+LEFT JOIN b_orders o ON c.customer_id = o.customer_id AND o.order_status != 'Cancelled'
+GROUP BY c.customer_id, c.first_name, c.last_name"""))
+def customer_ltv(t: Tables, customer_id: int | None = None) -> DataFrame:
+    """Lifetime value per customer; the prediction uses the unrounded mean."""
+    c = t.customers.select("customer_id", "first_name", "last_name")
+    o = t.valid_orders
+    if customer_id is not None:
+        c = c.where(F.col("customer_id") == customer_id)
+        o = o.where(F.col("customer_id") == customer_id)
+    j = c.join(customer_order_stats(t, o), "customer_id", "left")
+    avg = F.coalesce(ratio("_spend", "_nspend"), F.lit(0.0))
+    n = F.coalesce("total_orders", F.lit(0))
+    return j.select(
+        "customer_id", customer_name().alias("customer_name"), n.alias("total_orders"),
+        F.coalesce(F.col("_spend").cast("double"), F.lit(0.0)).alias("total_revenue"),
+        rnd(avg).alias("avg_order_value"),
+        rnd(avg * (n * 1.5)).alias("predicted_ltv"),
+        customer_status_by_date(t, F.col("last_order_date")).alias("customer_status"))
+
+
+# --------------------------------------------------------------------------
+def _top_products(t: Tables, literal: bool, category_id: int | None, k: int) -> DataFrame:
+    p = t.products.select("product_id", "product_name", "category_id", "price")
+    if category_id is not None:
+        p = p.where(F.col("category_id") == category_id)
+    j = (p.join(product_item_stats(t, valid_only=not literal), "product_id", "left")
+         .join(review_stats(t), "product_id", "left")
+         .join(t.inventory.select("product_id", "quantity_available"), "product_id", "left"))
+    mult = F.greatest(F.coalesce("nr", F.lit(0)), F.lit(1)) if literal else F.lit(1)
+    out = j.select(
+        "category_id", "product_id", "product_name", F.col("price").cast("double").alias("price"),
+        F.coalesce(F.col("q") * mult, F.lit(0)).cast("bigint").alias("units_sold"),
+        F.coalesce((F.col("s") * mult).cast("double"), F.lit(0.0)).alias("revenue"),
+        rnd(F.coalesce(ratio("rsum", "rcnt"), F.lit(0.0))).alias("avg_rating"),
+        F.coalesce("quantity_available", F.lit(0)).alias("stock_level"))
+    # top-k inside each category: Spark plans this as a per-partition group limit
+    w = Window.partitionBy("category_id").orderBy(F.col("revenue").desc(), "product_id")
+    return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+
+
+def _top_products_sql(literal: bool, k: int) -> str:
+    if literal:
+        inner = """
+  SELECT p.category_id, p.product_id, p.product_name, CAST(p.price AS DOUBLE) AS price,
+         CAST(COALESCE(SUM(oi.quantity), 0) AS BIGINT) AS units_sold,
+         CAST(COALESCE(SUM(oi.subtotal), 0) AS DOUBLE) AS revenue,
+         """ + R("COALESCE(AVG(r.rating), 0e0)") + """ AS avg_rating,
+         COALESCE(i.quantity_available, 0) AS stock_level
+  FROM b_products p
+  LEFT JOIN b_items oi ON p.product_id = oi.product_id
+  LEFT JOIN b_orders o ON oi.order_id = o.order_id AND o.order_status != 'Cancelled'
+  LEFT JOIN b_reviews r ON p.product_id = r.product_id
+  LEFT JOIN b_inventory i ON p.product_id = i.product_id
+  GROUP BY p.category_id, p.product_id, p.product_name, p.price, i.quantity_available"""
+        ctes = ""
+    else:
+        inner = """
+  SELECT p.category_id, p.product_id, p.product_name, CAST(p.price AS DOUBLE) AS price,
+         CAST(COALESCE(it.units, 0) AS BIGINT) AS units_sold,
+         CAST(COALESCE(it.revenue, 0) AS DOUBLE) AS revenue,
+         """ + R("COALESCE(rv.rsum / rv.rcnt, 0e0)") + """ AS avg_rating,
+         COALESCE(i.quantity_available, 0) AS stock_level
+  FROM b_products p
+  LEFT JOIN it ON it.product_id = p.product_id
+  LEFT JOIN rv ON rv.product_id = p.product_id
+  LEFT JOIN b_inventory i ON p.product_id = i.product_id"""
+        ctes = """
+it AS (SELECT oi.product_id, SUM(oi.quantity) AS units, SUM(oi.subtotal) AS revenue
+       FROM b_items oi JOIN b_orders o ON oi.order_id = o.order_id
+       WHERE o.order_status != 'Cancelled' GROUP BY oi.product_id),
+rv AS (SELECT product_id, CAST(SUM(rating) AS DOUBLE) AS rsum, COUNT(rating) AS rcnt
+       FROM b_reviews GROUP BY product_id)"""
+    return oracle(f"""
+SELECT category_id, product_id, product_name, price, units_sold, revenue, avg_rating, stock_level
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY category_id ORDER BY revenue DESC, product_id) AS rn
+      FROM ({inner}) x) y
+WHERE rn <= {k}""", ctes=ctes)
+
+
+@query("top_products_by_category", _top_products_sql(True, 10))
+def top_products_by_category(t: Tables, category_id: int | None = None, k: int = 10) -> DataFrame:
+    """Literal: units and revenue repeat per review of the product, and the
+    status test guards an unused join, so cancelled items count."""
+    return _top_products(t, True, category_id, k)
+
+
+@query("top_products_by_category_corrected", _top_products_sql(False, 10))
+def top_products_by_category_corrected(t: Tables, category_id: int | None = None, k: int = 10) -> DataFrame:
+    """Units and revenue of non-cancelled orders, counted once."""
+    return _top_products(t, False, category_id, k)
+
+
+# --------------------------------------------------------------------------
+def _campaign_fn(t: Tables, literal: bool, campaign_id: int | None) -> DataFrame:
+    mc = t.campaigns
+    if campaign_id is not None:
+        mc = mc.where(F.col("campaign_id") == campaign_id)
+    reach = (t.interactions.groupBy("campaign_id")
+             .agg(F.count(F.lit(1)).alias("n_cc"), F.countDistinct("customer_id").alias("reached"),
+                  F.countDistinct(F.when(F.col("conversion_date").isNotNull(), F.col("customer_id")))
+                  .alias("converted")))
+    j = mc.join(orders_per_campaign(t), "campaign_id", "left").join(reach, "campaign_id", "left")
+    mult = F.greatest(F.coalesce("n_cc", F.lit(0)), F.lit(1)) if literal else F.lit(1)
+    rev = F.coalesce(F.col("s_ord") * mult, F.lit(0))
+    return j.select(
+        "campaign_id", "campaign_name", F.col("budget").cast("double").alias("budget"),
+        rev.cast("double").alias("revenue"),
+        rnd(pct(rev - F.col("budget"), F.col("budget"))).alias("roi_percentage"),
+        F.coalesce("n_ord", F.lit(0)).alias("total_orders"),
+        rnd(pct("converted", "reached")).alias("conversion_rate"))
+
+
+def _campaign_fn_sql(literal: bool) -> str:
+    rev = "COALESCE(SUM(o.total_amount), 0)" if literal else "COALESCE(MAX(os.s), 0)"
+    join_orders = ("LEFT JOIN b_orders o ON mc.campaign_id = o.campaign_id AND o.order_status != 'Cancelled'"
+                   if literal else "LEFT JOIN os ON os.campaign_id = mc.campaign_id")
+    orders = "COUNT(DISTINCT o.order_id)" if literal else "COALESCE(MAX(os.n), 0)"
+    ctes = "" if literal else """
+os AS (SELECT campaign_id, SUM(total_amount) AS s, COUNT(*) AS n FROM b_orders
+       WHERE order_status != 'Cancelled' GROUP BY campaign_id)"""
+    return oracle(f"""
+SELECT mc.campaign_id, mc.campaign_name, CAST(mc.budget AS DOUBLE) AS budget,
+       CAST({rev} AS DOUBLE) AS revenue,
+       {R(PCT(f'{rev} - mc.budget', 'mc.budget'))} AS roi_percentage,
+       {orders} AS total_orders,
+       {R(PCT('COUNT(DISTINCT CASE WHEN cc.conversion_date IS NOT NULL THEN cc.customer_id END)',
+              'COUNT(DISTINCT cc.customer_id)'))} AS conversion_rate
+FROM b_campaigns mc
+{join_orders}
+LEFT JOIN b_interactions cc ON mc.campaign_id = cc.campaign_id
+GROUP BY mc.campaign_id, mc.campaign_name, mc.budget""", ctes=ctes)
+
+
+@query("campaign_roi_fn", _campaign_fn_sql(True))
+def campaign_roi_fn(t: Tables, campaign_id: int | None = None) -> DataFrame:
+    """Literal: campaign revenue repeats once per interaction row of the
+    campaign (orders x interactions within a campaign)."""
+    return _campaign_fn(t, True, campaign_id)
+
+
+@query("campaign_roi_fn_corrected", _campaign_fn_sql(False))
+def campaign_roi_fn_corrected(t: Tables, campaign_id: int | None = None) -> DataFrame:
+    return _campaign_fn(t, False, campaign_id)
+
+
+# --------------------------------------------------------------------------
+def _history_sql(days: int) -> str:
+    return oracle(f"""
+SELECT o.customer_id, o.order_id, o.order_date, o.order_status,
+       CAST(o.total_amount AS DOUBLE) AS total_amount,
+       COUNT(oi.order_id) AS items_count,
+       string_agg(p.product_name, ', ' ORDER BY p.product_name) AS products
+FROM b_orders o
+LEFT JOIN b_items oi ON o.order_id = oi.order_id
+LEFT JOIN b_products p ON oi.product_id = p.product_id
+WHERE o.order_date >= {TS_AGO(days)}
+GROUP BY o.customer_id, o.order_id, o.order_date, o.order_status, o.total_amount
+ORDER BY o.order_date DESC""")
+
+
+@query("purchase_history", _history_sql(365))
+def purchase_history(t: Tables, customer_id: int | None = None, days: int = 365) -> DataFrame:
+    """Orders of the last ``days`` with item count and product names (sorted
+    by name, so the list is deterministic)."""
+    o = t.orders.where(F.col("order_date") >= t.ts_days_ago(days))
+    if customer_id is not None:
+        o = o.where(F.col("customer_id") == customer_id)
+    items = (t.items.select("order_id", "product_id").join(o.select("order_id"), "order_id", "left_semi")
+             .join(t.products.select("product_id", "product_name"), "product_id", "left")
+             .groupBy("order_id")
+             .agg(F.count("order_id").alias("items_count"),
+                  F.expr("listagg(product_name, ', ') WITHIN GROUP (ORDER BY product_name)").alias("products")))
+    return (o.join(items, "order_id", "left")
+            .select("customer_id", "order_id", "order_date", "order_status",
+                    F.col("total_amount").cast("double").alias("total_amount"),
+                    F.coalesce("items_count", F.lit(0)).alias("items_count"), "products")
+            .orderBy(F.col("order_date").desc(), "order_id"))
+
+
+# --------------------------------------------------------------------------
+@query("recommend_products", oracle(f"""
+SELECT product_id, recommended_product_id, recommended_product_name, times_bought_together, affinity_score
+FROM (SELECT pp.a AS product_id, p.product_id AS recommended_product_id,
+             p.product_name AS recommended_product_name, pp.co AS times_bought_together,
+             {R(PCT('pp.co', 'd.n'))} AS affinity_score,
+             ROW_NUMBER() OVER (PARTITION BY pp.a ORDER BY pp.co DESC, p.product_id) AS rn
+      FROM (SELECT x.product_id AS a, y.product_id AS b, COUNT(DISTINCT x.order_id) AS co
+            FROM b_items x JOIN b_items y ON x.order_id = y.order_id AND x.product_id != y.product_id
+            JOIN b_orders o ON x.order_id = o.order_id
+            WHERE o.order_status != 'Cancelled' GROUP BY 1, 2) pp
+      JOIN b_products p ON pp.b = p.product_id
+      JOIN (SELECT product_id, COUNT(DISTINCT order_id) AS n FROM b_items GROUP BY product_id) d
+        ON d.product_id = pp.a) r
+WHERE rn <= 5"""))
+def recommend_products(t: Tables, product_id: int | None = None, k: int = 5) -> DataFrame:
+    """Top-k co-purchased products per seed product (affinity = share of the
+    seed's orders, cancelled included in the denominator)."""
+    po = valid_order_products(t).select("order_id", "product_id")
+    seed = po if product_id is None else po.where(F.col("product_id") == product_id)
+    a = seed.toDF("order_id", "a")
+    b = po.toDF("order_id", "b")
+    pairs = (a.join(b, "order_id").where(F.col("a") != F.col("b"))
+             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("times_bought_together")))
+    j = (pairs.join(t.products.select(F.col("product_id").alias("b"),
+                                      F.col("product_name").alias("recommended_product_name")), "b")
+         .join(orders_per_product(t).withColumnRenamed("product_id", "a"), "a"))
+    w = Window.partitionBy("a").orderBy(F.col("times_bought_together").desc(), "b")
+    return (j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+            .select(F.col("a").alias("product_id"), F.col("b").alias("recommended_product_id"),
+                    "recommended_product_name", "times_bought_together",
+                    rnd(pct("times_bought_together", "_den")).alias("affinity_score")))
