@@ -17,7 +17,9 @@ from tillroll.functions.sqltext import MEAN, MONEY, MONTH, PCT, R, TS_AGO, oracl
 from tillroll.registry import query
 from tillroll.sources.bind import Tables
 
-_ALL = Window.partitionBy()  # grand total over a small aggregate
+
+def _all():
+    return Window.partitionBy()  # grand total over a small aggregate
 
 
 @query("monthly_revenue", oracle(f"""
@@ -100,7 +102,7 @@ def revenue_by_payment(t: Tables) -> DataFrame:
                 "payment_method", "total_orders",
                 F.col("_rev").cast("double").alias("total_revenue"),
                 "avg_order_value",
-                rnd(pct(F.col("_rev"), F.sum("_rev").over(_ALL))).alias("revenue_percentage"),
+                rnd(pct(F.col("_rev"), F.sum("_rev").over(_all()))).alias("revenue_percentage"),
                 "cancelled_orders",
                 rnd(pct(F.col("cancelled_orders"), F.col("_n"))).alias("cancellation_rate"))
             .orderBy(F.col("total_revenue").desc_nulls_first()))
@@ -146,7 +148,7 @@ def revenue_by_status(t: Tables) -> DataFrame:
                 F.min("total_amount").cast("double").alias("min_order"),
                 F.max("total_amount").cast("double").alias("max_order")))
     return (agg.select("order_status", "order_count", "total_revenue", "avg_order_value",
-                       rnd(pct(F.col("order_count"), F.sum("order_count").over(_ALL)))
+                       rnd(pct(F.col("order_count"), F.sum("order_count").over(_all())))
                        .alias("order_percentage"),
                        "min_order", "max_order")
             .orderBy(F.col("total_revenue").desc_nulls_first()))
