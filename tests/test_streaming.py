@@ -43,7 +43,7 @@ def test_dashboard_stream_matches_batch(spark, tables, scratch):
     for q in qs:
         q.awaitTermination()
     got = read_dashboard_stream(spark, f"{scratch}/sink")
-    batch = daily_dashboard(o).select(*got.columns)
+    batch = daily_dashboard(tables.orders).select(*got.columns)
     # append mode emits a day once the watermark passes it: all but the last day(s)
     emitted = {r[0] for r in got.select("sale_date").collect()}
     assert emitted, "no day was emitted"

@@ -1,7 +1,9 @@
 """Numeric and date rules shared by the whole library.
 
-Money is summed as DECIMAL (exact, order independent) and reported as DOUBLE.
-Averages are ``sum / count`` in DOUBLE. ``ROUND`` is half away from zero.
+Money is aggregated exactly as unscaled BIGINT (cents, or 1e-4 units for
+item subtotals) and reported as DOUBLE: dividing the exact integer sum by
+10^scale gives the same double as casting the DECIMAL sum. Averages are
+``sum / count`` in DOUBLE. ``ROUND`` is half away from zero.
 Divisions are guarded with ``nullif`` so ANSI mode never raises on zero.
 """
 
@@ -23,14 +25,19 @@ def rnd(c, n: int = 2) -> Column:
             .otherwise(F.floor(c * s + 0.5) / s))
 
 
-def money(c) -> Column:
-    """SUM of a DECIMAL money column, reported as DOUBLE."""
-    return F.sum(col(c)).cast("double")
+def dollars(c, scale: int = 2) -> Column:
+    """An exact unscaled money value (or sum) as DOUBLE."""
+    return col(c) / float(10 ** scale)
 
 
-def mean(c) -> Column:
-    """AVG(c) as DOUBLE: exact sum over non-null values / their count."""
-    return F.sum(col(c)).cast("double") / F.nullif(F.count(col(c)), F.lit(0))
+def money(c, scale: int = 2) -> Column:
+    """SUM of an unscaled money column, reported as DOUBLE."""
+    return dollars(F.sum(col(c)), scale)
+
+
+def mean(c, scale: int = 2) -> Column:
+    """AVG of an unscaled money column as DOUBLE: exact sum / count."""
+    return dollars(F.sum(col(c)), scale) / F.nullif(F.count(col(c)), F.lit(0))
 
 
 def ratio(num, den) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillroll.functions.common import month_of, pct, ratio, rnd, whole_days
+from tillroll.functions.common import dollars, month_of, pct, ratio, rnd, whole_days
 from tillroll.functions.sqltext import DAYS, MEAN, MONEY, MONTH, PCT, R, TS_AGO, oracle
 from tillroll.operators.customer import customer_name
 from tillroll.registry import query
@@ -86,7 +86,7 @@ def cohort_retention_corrected(t: Tables) -> DataFrame:
 # item sets per order
 def valid_order_products(t: Tables, with_total: bool = False) -> DataFrame:
     """Distinct (order, product) of non-cancelled orders with line count."""
-    cols = ["order_id"] + (["total_amount"] if with_total else [])
+    cols = ["order_id"] + (["total_cents"] if with_total else [])
     it = t.items.select("order_id", "product_id").join(t.valid_orders.select(*cols), "order_id")
     return it.groupBy("order_id", "product_id", *cols[1:]).agg(F.count(F.lit(1)).alias("lines"))
 
@@ -114,12 +114,12 @@ def _basket(t: Tables, min_pairs: int, k: int) -> DataFrame:
                                      F.col("product_name").alias("product_2")), "b_product_id")
              .groupBy(F.col("a_product_id").alias("product_id"), "product_2")
              .agg(F.sum(w).alias("times_bought_together"),
-                  F.sum(w * F.col("a_total_amount")).alias("_tot"))
+                  F.sum(w * F.col("a_total_cents")).alias("_tot"))
              .where(F.col("times_bought_together") >= min_pairs))
     j = (pairs.join(t.products.select("product_id", F.col("product_name").alias("product_1")), "product_id")
          .join(orders_per_product(t), "product_id"))
     return (j.select("product_1", "product_2", "times_bought_together",
-                     rnd(ratio("_tot", "times_bought_together")).alias("avg_order_value"),
+                     rnd(ratio(dollars("_tot"), "times_bought_together")).alias("avg_order_value"),
                      rnd(pct("times_bought_together", "_den")).alias("support_pct"),
                      F.col("product_id").alias("_a"))
             .orderBy(F.col("times_bought_together").desc(), "_a", "product_2")
@@ -183,14 +183,14 @@ def market_basket_corrected(t: Tables, min_pairs: int = 3, k: int = 20) -> DataF
     pairs = (_pairs(pf, "<")
              .groupBy(F.col("a_product_id").alias("product_1_id"), F.col("b_product_id").alias("product_2_id"))
              .agg(F.count(F.lit(1)).alias("times_bought_together"),
-                  F.sum("a_total_amount").alias("_tot"))
+                  F.sum("a_total_cents").alias("_tot"))
              .where(F.col("times_bought_together") >= min_pairs))
     names = t.products.select("product_id", "product_name")
     j = (pairs.join(names.toDF("product_1_id", "product_1"), "product_1_id")
          .join(names.toDF("product_2_id", "product_2"), "product_2_id")
          .join(totals.withColumnRenamed("product_id", "product_1_id"), "product_1_id"))
     return (j.select("product_1_id", "product_1", "product_2_id", "product_2", "times_bought_together",
-                     rnd(ratio("_tot", "times_bought_together")).alias("avg_order_value"),
+                     rnd(ratio(dollars("_tot"), "times_bought_together")).alias("avg_order_value"),
                      rnd(pct("times_bought_together", "_den")).alias("support_pct"))
             .orderBy(F.col("times_bought_together").desc(), "product_1_id", "product_2_id")
             .limit(k))
@@ -323,8 +323,8 @@ def churn_risk(t: Tables) -> DataFrame:
     v = t.valid_orders.where(F.col("customer_id").isNotNull())
     per_day = (v.groupBy("customer_id", F.to_date("order_date").alias("_day"))
                .agg(F.count(F.lit(1)).alias("_n"), F.min("order_date").alias("_first"),
-                    F.max("order_date").alias("_last"), F.sum("total_amount").alias("_s"),
-                    F.count("total_amount").alias("_ns")))
+                    F.max("order_date").alias("_last"), F.sum("total_cents").alias("_s"),
+                    F.count("total_cents").alias("_ns")))
     w = Window.partitionBy("customer_id").orderBy("_day")
     gaps = per_day.withColumn("_gap", whole_days(F.col("_first"), F.lag("_last").over(w)))
     per = (gaps.groupBy("customer_id")
@@ -340,8 +340,8 @@ def churn_risk(t: Tables) -> DataFrame:
     micros = rnd(avg_gap * 86400000000.0, 0).cast("bigint")
     out = j.select(
         "customer_id", customer_name().alias("customer_name"), days.alias("days_since_last_order"),
-        "total_orders", F.col("_spend").cast("double").alias("total_spent"),
-        rnd(ratio("_spend", "_nspend")).alias("avg_order_value"),
+        "total_orders", dollars("_spend").alias("total_spent"),
+        rnd(ratio(dollars("_spend"), "_nspend")).alias("avg_order_value"),
         avg_gap.alias("avg_days_between_orders"),
         F.when(days > avg_gap * 2, "High Risk").when(days > avg_gap * 1.5, "Medium Risk")
          .otherwise("Low Risk").alias("churn_risk"),

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.common import count_if, rnd
+from tillroll.functions.common import count_if, dollars, rnd
 from tillroll.functions.sqltext import R, oracle
 from tillroll.registry import query
 from tillroll.sources.bind import Tables
@@ -263,10 +263,12 @@ SELECT order_id, customer_id, order_date, order_status, payment_method, campaign
 FROM b_orders"""))
 def orders_with_defaults(t: Tables) -> DataFrame:
     """The orders table with its column defaults applied on load."""
-    o = apply_defaults(t.orders, "orders")
+    cols = ("order_id", "customer_id", "order_date", "order_status", "payment_method", "campaign_id",
+            "discount_amount", "shipping_cost", "tax_amount", "total_amount")
+    o = apply_defaults(t.orders.select(*cols), "orders")
     return o.select(*[F.col(c).cast("double").alias(c) if c in
                       ("discount_amount", "shipping_cost", "tax_amount", "total_amount") else F.col(c)
-                      for c in o.columns])
+                      for c in cols])
 
 
 # --------------------------------------------------------------------------
@@ -284,12 +286,12 @@ WHERE abs(CAST(o.total_amount AS DOUBLE)
 def order_total_reconcile(t: Tables) -> DataFrame:
     """Orders breaking the generator's invariant total = items x 1.08 +
     shipping, tax = items x 0.08 (items summed per order first)."""
-    items = t.items.groupBy("order_id").agg(F.sum("subtotal").alias("s"))
+    items = t.items.groupBy("order_id").agg(F.sum("subtotal_e4").alias("s"))
     j = t.orders.join(items, "order_id")
-    s = F.col("s").cast("double")
-    exp_total = rnd(s * 1.08 + F.col("shipping_cost").cast("double"))
+    s = dollars("s", 4)
+    exp_total = rnd(s * 1.08 + dollars("shipping_cents"))
     exp_tax = rnd(s * 0.08)
-    total, tax = F.col("total_amount").cast("double"), F.col("tax_amount").cast("double")
+    total, tax = dollars("total_cents"), dollars("tax_cents")
     return (j.where((F.abs(total - exp_total) > 0.005) | (F.abs(tax - exp_tax) > 0.005))
             .select("order_id", total.alias("total_amount"), s.alias("items_subtotal"),
                     exp_total.alias("expected_total"), exp_tax.alias("expected_tax"),

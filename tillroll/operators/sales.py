@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillroll.functions.common import count_if, mean, money, month_of, pct, rnd
+from tillroll.functions.common import count_if, dollars, mean, money, month_of, pct, rnd
 from tillroll.functions.sqltext import MEAN, MONEY, MONTH, PCT, R, TS_AGO, oracle
 from tillroll.registry import query
 from tillroll.sources.bind import Tables
@@ -37,10 +37,10 @@ def monthly_revenue(t: Tables) -> DataFrame:
     return (t.valid_orders
             .groupBy(month_of("order_date").alias("month"))
             .agg(F.count("order_id").alias("total_orders"),
-                 money("total_amount").alias("total_revenue"),
-                 rnd(mean("total_amount")).alias("avg_order_value"),
+                 money("total_cents").alias("total_revenue"),
+                 rnd(mean("total_cents")).alias("avg_order_value"),
                  F.countDistinct("customer_id").alias("unique_customers"),
-                 rnd(F.sum("total_amount").cast("double") / F.countDistinct("customer_id"))
+                 rnd(dollars(F.sum("total_cents")) / F.countDistinct("customer_id"))
                  .alias("revenue_per_customer"))
             .orderBy(F.col("month").desc()))
 
@@ -66,19 +66,19 @@ def daily_sales_running(t: Tables, days: int = 30) -> DataFrame:
     daily = (t.valid_orders.where(F.col("order_date") >= t.ts_days_ago(days))
              .groupBy(F.to_date("order_date").alias("sale_date"))
              .agg(F.count("order_id").alias("orders"),
-                  F.sum("total_amount").alias("_rev"),
-                  rnd(mean("total_amount")).alias("avg_order_value")))
+                  F.sum("total_cents").alias("_rev"),
+                  rnd(mean("total_cents")).alias("avg_order_value")))
     # at most `days` rows reach this single-partition window
     w = Window.orderBy("sale_date")
     prev = F.lag("_rev").over(w)
     return (daily.select(
                 "sale_date", "orders",
-                F.col("_rev").cast("double").alias("daily_revenue"),
-                F.sum("_rev").over(w).cast("double").alias("running_total"),
+                dollars("_rev").alias("daily_revenue"),
+                dollars(F.sum("_rev").over(w)).alias("running_total"),
                 "avg_order_value",
-                prev.cast("double").alias("prev_day_revenue"),
-                rnd((F.col("_rev") - prev).cast("double")
-                    / F.nullif(prev.cast("double"), F.lit(0.0)) * 100.0).alias("revenue_growth_pct"))
+                dollars(prev).alias("prev_day_revenue"),
+                rnd(dollars(F.col("_rev") - prev)
+                    / F.nullif(dollars(prev), F.lit(0.0)) * 100.0).alias("revenue_growth_pct"))
             .orderBy(F.col("sale_date").desc()))
 
 
@@ -94,15 +94,15 @@ FROM b_orders GROUP BY payment_method ORDER BY total_revenue DESC"""))
 def revenue_by_payment(t: Tables) -> DataFrame:
     agg = (t.orders.groupBy("payment_method")
            .agg(F.count("order_id").alias("total_orders"),
-                F.sum("total_amount").alias("_rev"),
-                rnd(mean("total_amount")).alias("avg_order_value"),
+                F.sum("total_cents").alias("_rev"),
+                rnd(mean("total_cents")).alias("avg_order_value"),
                 count_if(F.col("order_status") == "Cancelled").alias("cancelled_orders"),
                 F.count(F.lit(1)).alias("_n")))
     return (agg.select(
                 "payment_method", "total_orders",
-                F.col("_rev").cast("double").alias("total_revenue"),
+                dollars("_rev").alias("total_revenue"),
                 "avg_order_value",
-                rnd(pct(F.col("_rev"), F.sum("_rev").over(_all()))).alias("revenue_percentage"),
+                rnd(pct(dollars("_rev"), dollars(F.sum("_rev").over(_all())))).alias("revenue_percentage"),
                 "cancelled_orders",
                 rnd(pct(F.col("cancelled_orders"), F.col("_n"))).alias("cancellation_rate"))
             .orderBy(F.col("total_revenue").desc_nulls_first()))
@@ -125,8 +125,8 @@ def top_revenue_days(t: Tables, k: int = 10) -> DataFrame:
             .groupBy(F.to_date("order_date").alias("sale_date"),
                      F.rpad(F.date_format("order_date", "EEEE"), 9, " ").alias("day_of_week"))
             .agg(F.count("order_id").alias("orders"),
-                 money("total_amount").alias("revenue"),
-                 rnd(mean("total_amount")).alias("avg_order_value"))
+                 money("total_cents").alias("revenue"),
+                 rnd(mean("total_cents")).alias("avg_order_value"))
             .orderBy(F.col("revenue").desc_nulls_first(), F.col("sale_date").asc())
             .limit(k))
 
@@ -143,10 +143,10 @@ FROM b_orders GROUP BY order_status ORDER BY total_revenue DESC"""))
 def revenue_by_status(t: Tables) -> DataFrame:
     agg = (t.orders.groupBy("order_status")
            .agg(F.count(F.lit(1)).alias("order_count"),
-                money("total_amount").alias("total_revenue"),
-                rnd(mean("total_amount")).alias("avg_order_value"),
-                F.min("total_amount").cast("double").alias("min_order"),
-                F.max("total_amount").cast("double").alias("max_order")))
+                money("total_cents").alias("total_revenue"),
+                rnd(mean("total_cents")).alias("avg_order_value"),
+                dollars(F.min("total_cents")).alias("min_order"),
+                dollars(F.max("total_cents")).alias("max_order")))
     return (agg.select("order_status", "order_count", "total_revenue", "avg_order_value",
                        rnd(pct(F.col("order_count"), F.sum("order_count").over(_all())))
                        .alias("order_percentage"),

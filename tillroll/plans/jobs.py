@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.common import ratio, rnd
+from tillroll.functions.common import dollars, ratio, rnd
 from tillroll.functions.sqltext import MEAN, R, TS_AGO, oracle
 from tillroll.plans.views import mv_category_performance, mv_monthly_revenue
 from tillroll.registry import query
@@ -124,9 +124,9 @@ def sales_report(t: Tables, start: dt.date = REPORT_START, end: dt.date = REPORT
     hi = F.lit(f"{end.isoformat()} 00:00:00").cast("timestamp_ntz")
     o = t.valid_orders.where(F.col("order_date").between(lo, hi))
     return o.agg(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"),
-                 F.sum("total_amount").cast("double").alias("total_revenue"),
+                 dollars(F.sum("total_cents")).alias("total_revenue"),
                  F.count(F.lit(1)).alias("total_orders"),
-                 rnd(ratio(F.sum("total_amount"), F.count("total_amount"))).alias("avg_order_value"))
+                 rnd(ratio(dollars(F.sum("total_cents")), F.count("total_cents"))).alias("avg_order_value"))
 
 
 # --------------------------------------------------------------------------
@@ -150,9 +150,9 @@ def business_metrics(t: Tables) -> DataFrame:
     to ``#`` beyond 999,999,999.99)."""
     recent = F.col("order_date") >= t.ts_days_ago(90)
     o = t.valid_orders.agg(
-        F.sum("total_amount").alias("rev"), F.count(F.lit(1)).alias("n"),
+        dollars(F.sum("total_cents")).alias("rev"), F.count(F.lit(1)).alias("n"),
         F.countDistinct(F.when(recent, F.col("customer_id"))).alias("active"),
-        rnd(ratio(F.sum("total_amount"), F.count("total_amount"))).alias("aov"))
+        rnd(ratio(dollars(F.sum("total_cents")), F.count("total_cents"))).alias("aov"))
     p = t.products.where(F.col("is_active") == F.lit(True)).agg(F.count(F.lit(1)).alias("products"))
     # two single-row aggregates side by side
     both = o.withColumn("_k", F.lit(1)).join(p.withColumn("_k", F.lit(1)), "_k")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillroll.functions.common import pct, ratio, rnd
+from tillroll.functions.common import dollars, pct, ratio, rnd
 from tillroll.functions.sqltext import MEAN, PCT, R, TS_AGO, oracle
 from tillroll.operators.advanced import orders_per_product, valid_order_products
 from tillroll.operators.customer import customer_name, customer_order_stats
@@ -41,11 +41,11 @@ def customer_ltv(t: Tables, customer_id: int | None = None) -> DataFrame:
         c = c.where(F.col("customer_id") == customer_id)
         o = o.where(F.col("customer_id") == customer_id)
     j = c.join(customer_order_stats(t, o), "customer_id", "left")
-    avg = F.coalesce(ratio("_spend", "_nspend"), F.lit(0.0))
+    avg = F.coalesce(ratio(dollars("_spend"), "_nspend"), F.lit(0.0))
     n = F.coalesce("total_orders", F.lit(0))
     return j.select(
         "customer_id", customer_name().alias("customer_name"), n.alias("total_orders"),
-        F.coalesce(F.col("_spend").cast("double"), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(dollars("_spend"), F.lit(0.0)).alias("total_revenue"),
         rnd(avg).alias("avg_order_value"),
         rnd(avg * (n * 1.5)).alias("predicted_ltv"),
         customer_status_by_date(t, F.col("last_order_date")).alias("customer_status"))
@@ -53,7 +53,7 @@ def customer_ltv(t: Tables, customer_id: int | None = None) -> DataFrame:
 
 # --------------------------------------------------------------------------
 def _top_products(t: Tables, literal: bool, category_id: int | None, k: int) -> DataFrame:
-    p = t.products.select("product_id", "product_name", "category_id", "price")
+    p = t.products.select("product_id", "product_name", "category_id", "price_cents")
     if category_id is not None:
         p = p.where(F.col("category_id") == category_id)
     j = (p.join(product_item_stats(t, valid_only=not literal), "product_id", "left")
@@ -61,9 +61,9 @@ def _top_products(t: Tables, literal: bool, category_id: int | None, k: int) ->
          .join(t.inventory.select("product_id", "quantity_available"), "product_id", "left"))
     mult = F.greatest(F.coalesce("nr", F.lit(0)), F.lit(1)) if literal else F.lit(1)
     out = j.select(
-        "category_id", "product_id", "product_name", F.col("price").cast("double").alias("price"),
+        "category_id", "product_id", "product_name", dollars("price_cents").alias("price"),
         F.coalesce(F.col("q") * mult, F.lit(0)).cast("bigint").alias("units_sold"),
-        F.coalesce((F.col("s") * mult).cast("double"), F.lit(0.0)).alias("revenue"),
+        F.coalesce(dollars(F.col("s") * mult, 4), F.lit(0.0)).alias("revenue"),
         rnd(F.coalesce(ratio("rsum", "rcnt"), F.lit(0.0))).alias("avg_rating"),
         F.coalesce("quantity_available", F.lit(0)).alias("stock_level"))
     # top-k inside each category: Spark plans this as a per-partition group limit
@@ -135,10 +135,11 @@ def _campaign_fn(t: Tables, literal: bool, campaign_id: int | None) -> DataFrame
     j = mc.join(orders_per_campaign(t), "campaign_id", "left").join(reach, "campaign_id", "left")
     mult = F.greatest(F.coalesce("n_cc", F.lit(0)), F.lit(1)) if literal else F.lit(1)
     rev = F.coalesce(F.col("s_ord") * mult, F.lit(0))
+    budget = F.col("budget_cents")
     return j.select(
-        "campaign_id", "campaign_name", F.col("budget").cast("double").alias("budget"),
-        rev.cast("double").alias("revenue"),
-        rnd(pct(rev - F.col("budget"), F.col("budget"))).alias("roi_percentage"),
+        "campaign_id", "campaign_name", dollars(budget).alias("budget"),
+        dollars(rev).alias("revenue"),
+        rnd(pct(dollars(rev - budget), dollars(budget))).alias("roi_percentage"),
         F.coalesce("n_ord", F.lit(0)).alias("total_orders"),
         rnd(pct("converted", "reached")).alias("conversion_rate"))
 
@@ -205,7 +206,7 @@ def purchase_history(t: Tables, customer_id: int | None = None, days: int = 365)
                   F.expr("listagg(product_name, ', ') WITHIN GROUP (ORDER BY product_name)").alias("products")))
     return (o.join(items, "order_id", "left")
             .select("customer_id", "order_id", "order_date", "order_status",
-                    F.col("total_amount").cast("double").alias("total_amount"),
+                    dollars("total_cents").alias("total_amount"),
                     F.coalesce("items_count", F.lit(0)).alias("items_count"), "products")
             .orderBy(F.col("order_date").desc(), "order_id"))
 

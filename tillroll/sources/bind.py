@@ -64,7 +64,12 @@ UNIT_PRICE_EXPR = "CAST(FLOOR(l_extendedprice * 100e0 / l_quantity) / 100e0 AS D
 ITEM_DISCOUNT_EXPR = "CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2))"
 SUBTOTAL_EXPR = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
 
+TOTAL_CENTS_EXPR = "CAST(FLOOR(o_totalprice * 100e0 + 0.5e0) AS BIGINT)"
+EXT_CENTS_EXPR = "CAST(FLOOR(l_extendedprice * 100e0 + 0.5e0) AS BIGINT)"
+DISC_PCT_EXPR = "FLOOR(l_discount * 100e0 + 0.5e0)"
+
 PRICE_EXPR = "CAST(p_retailprice AS DECIMAL(10,2))"
+PRICE_CENTS_EXPR = "CAST(FLOOR(p_retailprice * 100e0 + 0.5e0) AS BIGINT)"
 COST_EXPR = "CAST(p_retailprice AS DECIMAL(10,2)) * CAST(0.6 AS DECIMAL(2,1))"
 
 CARRIER_EXPR = ("CASE l_suppkey % 4 WHEN 0 THEN 'FedEx' WHEN 1 THEN 'UPS' "
@@ -110,6 +115,7 @@ CAMPAIGN_SCHEMA = T.StructType([
     T.StructField("end_date", T.DateType(), True),
     T.StructField("budget", T.DecimalType(10, 2), True),
     T.StructField("channel", T.StringType(), True),
+    T.StructField("budget_cents", T.LongType(), True),
 ])
 
 RESTOCK_BASE = "2001-05-01"
@@ -135,6 +141,12 @@ ORDER_COLS = (
     ("shipping_cost", SHIPPING_COST_EXPR),
     ("tax_amount", TAX_EXPR),
     ("total_amount", TOTAL_EXPR),
+    # exact unscaled companions (cents) of the money columns: aggregations sum
+    # these as BIGINT, which is exact and avoids per-row BigDecimal arithmetic
+    ("total_cents", TOTAL_CENTS_EXPR),
+    ("discount_cents", "CAST(FLOOR(o_totalprice * 3e0) AS BIGINT)"),
+    ("shipping_cents", "CAST(500 AS BIGINT)"),
+    ("tax_cents", "CAST(FLOOR(o_totalprice * 8e0) AS BIGINT)"),
 )
 ITEM_COLS = (
     ("order_id", "l_orderkey"),
@@ -144,6 +156,10 @@ ITEM_COLS = (
     ("unit_price", UNIT_PRICE_EXPR),
     ("discount", ITEM_DISCOUNT_EXPR),
     ("subtotal", SUBTOTAL_EXPR),
+    # unscaled companions: unit price in cents, subtotal and discount at scale 4
+    ("unit_price_cents", "CAST(FLOOR(l_extendedprice * 100e0 / l_quantity) AS BIGINT)"),
+    ("subtotal_e4", f"{EXT_CENTS_EXPR} * CAST(100 - {DISC_PCT_EXPR} AS BIGINT)"),
+    ("discount_e4", f"{EXT_CENTS_EXPR} * CAST({DISC_PCT_EXPR} AS BIGINT)"),
 )
 INVENTORY_COLS = (
     ("inventory_id", "p_partkey"),
@@ -234,6 +250,8 @@ class Tables:
             F.concat(F.col("p_type"), F.lit("/"), F.col("p_brand")).alias("_leaf"),
             F.expr(PRICE_EXPR).alias("price"),
             F.expr(COST_EXPR).alias("cost"),
+            F.expr(PRICE_CENTS_EXPR).alias("price_cents"),
+            (F.expr(PRICE_CENTS_EXPR) * 6).alias("cost_e3"),   # cost = price x 0.6, scale 3
             F.col("p_brand").alias("supplier"),
             F.col("p_size").cast("decimal(5,2)").alias("weight_kg"),
             (F.col("p_size") <= 45).alias("is_active"),
@@ -275,8 +293,8 @@ class Tables:
 
     @cached_property
     def campaigns(self) -> DataFrame:
-        rows = [(i, n, ty, dt.date.fromisoformat(s), dt.date.fromisoformat(e), Decimal(b), ch)
-                for i, n, ty, s, e, b, ch in CAMPAIGNS]
+        rows = [(i, n, ty, dt.date.fromisoformat(s), dt.date.fromisoformat(e), Decimal(b), ch,
+                 int(Decimal(b) * 100)) for i, n, ty, s, e, b, ch in CAMPAIGNS]
         # ten literal rows: broadcasting them is bounded by construction
         return F.broadcast(self.spark.createDataFrame(rows, CAMPAIGN_SCHEMA))
 
@@ -359,7 +377,8 @@ BIND_SQL: dict[str, str] = {
         UNION ALL SELECT DISTINCT 1, p_type || '/' || p_brand, p_type FROM part
         UNION ALL SELECT 2, 'EMPTY', CAST(NULL AS VARCHAR)) names""",
     "b_products": f"""SELECT p_partkey AS product_id, p_name AS product_name,
-    {PRICE_EXPR} AS price, {COST_EXPR} AS cost, p_brand AS supplier,
+    {PRICE_EXPR} AS price, {COST_EXPR} AS cost, {PRICE_CENTS_EXPR} AS price_cents,
+    {PRICE_CENTS_EXPR} * 6 AS cost_e3, p_brand AS supplier,
     CAST(p_size AS DECIMAL(5,2)) AS weight_kg, p_size <= 45 AS is_active, c.category_id
   FROM part LEFT JOIN b_categories c ON c.lvl = 1 AND c.category_name = p_type || '/' || p_brand""",
     "b_customers": """SELECT c_custkey AS customer_id, c_name AS first_name, n_name AS last_name,
