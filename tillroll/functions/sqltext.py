@@ -63,4 +63,10 @@ def oracle(body: str, ctes: str = "") -> str:
     parts = [f"{n} AS (\n  {BIND_SQL[n]}\n)" for n in BIND_ORDER if n in need]
     if ctes.strip():
         parts.append(ctes.strip())
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    body = body.strip()
+    if body[:5].upper() == "WITH ":      # the body's own CTEs follow the bindings
+        parts.append(body[5:])
+        return "WITH " + ",\n".join(parts)
+    if not parts:
+        return body
+    return "WITH " + ",\n".join(parts) + "\n" + body
