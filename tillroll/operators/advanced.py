@@ -110,13 +110,13 @@ def _basket(t: Tables, min_pairs: int, k: int) -> DataFrame:
     po = valid_order_products(t, with_total=True)
     w = F.col("a_lines") * F.col("b_lines")  # line pairs of this product pair in this order
     pairs = (_pairs(po, "<")
-             .join(t.products.select(F.col("product_id").alias("b_product_id"),
+             .join(t.product_names.select(F.col("product_id").alias("b_product_id"),
                                      F.col("product_name").alias("product_2")), "b_product_id")
              .groupBy(F.col("a_product_id").alias("product_id"), "product_2")
              .agg(F.sum(w).alias("times_bought_together"),
                   F.sum(w * F.col("a_total_cents")).alias("_tot"))
              .where(F.col("times_bought_together") >= min_pairs))
-    j = (pairs.join(t.products.select("product_id", F.col("product_name").alias("product_1")), "product_id")
+    j = (pairs.join(t.product_names.select("product_id", F.col("product_name").alias("product_1")), "product_id")
          .join(orders_per_product(t), "product_id"))
     return (j.select("product_1", "product_2", "times_bought_together",
                      rnd(ratio(dollars("_tot"), "times_bought_together")).alias("avg_order_value"),
@@ -185,7 +185,7 @@ def market_basket_corrected(t: Tables, min_pairs: int = 3, k: int = 20) -> DataF
              .agg(F.count(F.lit(1)).alias("times_bought_together"),
                   F.sum("a_total_cents").alias("_tot"))
              .where(F.col("times_bought_together") >= min_pairs))
-    names = t.products.select("product_id", "product_name")
+    names = t.product_names.select("product_id", "product_name")
     j = (pairs.join(names.toDF("product_1_id", "product_1"), "product_1_id")
          .join(names.toDF("product_2_id", "product_2"), "product_2_id")
          .join(totals.withColumnRenamed("product_id", "product_1_id"), "product_1_id"))
@@ -261,9 +261,9 @@ product_totals AS (
 @query("product_affinity", _affinity_sql(
     "oi.product_id", "SELECT product_id AS id, product_name AS nm FROM b_products", 3, 30))
 def product_affinity(t: Tables, min_co: int = 3, k: int = 30) -> DataFrame:
-    po = valid_order_products(t).join(t.products.select("product_id"), "product_id", "left_semi")
+    po = valid_order_products(t).join(t.product_names.select("product_id"), "product_id", "left_semi")
     pairs, totals = affinity_pairs(po.select("order_id", "product_id"), min_co)
-    return _affinity(pairs, totals, t.products.select("product_id", "product_name"), k)
+    return _affinity(pairs, totals, t.product_names.select("product_id", "product_name"), k)
 
 
 @query("product_affinity_by_category", _affinity_sql(

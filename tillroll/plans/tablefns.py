@@ -200,7 +200,7 @@ def purchase_history(t: Tables, customer_id: int | None = None, days: int = 365)
     if customer_id is not None:
         o = o.where(F.col("customer_id") == customer_id)
     items = (t.items.select("order_id", "product_id").join(o.select("order_id"), "order_id", "left_semi")
-             .join(t.products.select("product_id", "product_name"), "product_id", "left")
+             .join(t.product_names.select("product_id", "product_name"), "product_id", "left")
              .groupBy("order_id")
              .agg(F.count("order_id").alias("items_count"),
                   F.expr("listagg(product_name, ', ') WITHIN GROUP (ORDER BY product_name)").alias("products")))
@@ -235,7 +235,7 @@ def recommend_products(t: Tables, product_id: int | None = None, k: int = 5) ->
     b = po.toDF("order_id", "b")
     pairs = (a.join(b, "order_id").where(F.col("a") != F.col("b"))
              .groupBy("a", "b").agg(F.count(F.lit(1)).alias("times_bought_together")))
-    j = (pairs.join(t.products.select(F.col("product_id").alias("b"),
+    j = (pairs.join(t.product_names.select(F.col("product_id").alias("b"),
                                       F.col("product_name").alias("recommended_product_name")), "b")
          .join(orders_per_product(t).withColumnRenamed("product_id", "a"), "a"))
     w = Window.partitionBy("a").orderBy(F.col("times_bought_together").desc(), "b")

@@ -258,6 +258,13 @@ class Tables:
         )
         return p.join(leaves, "_leaf", "left").drop("_leaf")
 
+    @cached_property
+    def product_names(self) -> DataFrame:
+        """``products`` reduced to id and name: same rows, no category join
+        (Catalyst keeps an outer join even when none of its columns is used)."""
+        return self.raw("part").select(F.col("p_partkey").alias("product_id"),
+                                       F.col("p_name").alias("product_name"))
+
     @cached_property
     def customers(self) -> DataFrame:
         """Customers without ``signup_date`` (see :attr:`customers_full`)."""
