@@ -23,6 +23,10 @@ from pyspark.sql.window import Window
 SAMPLE_PER_BUCKET = 20
 ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 8192
+# Below this measured row count one ordered window is cheaper than the range
+# machinery (the same bounded-size rule as a broadcast threshold); above it
+# the work is always split into ranges.
+SINGLE_TASK_ROWS = 1_000_000
 
 # an ordering: [(column name, ascending), ...]; the last column must be unique
 Order = Sequence[tuple[str, bool]]
@@ -58,8 +62,9 @@ def _bucket_col(df: DataFrame, order: Order, bounds: list[tuple]) -> Column:
     return expr.otherwise(F.lit(len(bounds)))
 
 
-def _plan_buckets(df: DataFrame, orders: Sequence[Order], nbuckets: int | None, seed: int):
-    n = df.count()
+def _plan_buckets(df: DataFrame, orders: Sequence[Order], nbuckets: int | None, seed: int,
+                  n: int | None = None):
+    n = df.count() if n is None else n
     nb = nbuckets or min(MAX_BUCKETS, max(2, math.ceil(n / ROWS_PER_BUCKET)))
     frac = min(1.0, SAMPLE_PER_BUCKET * nb / max(n, 1))
     cols = sorted({c for o in orders for c, _ in o})
@@ -72,6 +77,10 @@ def _plan_buckets(df: DataFrame, orders: Sequence[Order], nbuckets: int | None,
     return n, all_bounds
 
 
+def _sort_cols(order: Order) -> list[Column]:
+    return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
+
+
 def _row_number(df: DataFrame, order: Order, bounds: list[tuple], name: str) -> DataFrame:
     b = f"__b_{name}"
     tagged = df.withColumn(b, _bucket_col(df, order, bounds))
@@ -79,7 +88,7 @@ def _row_number(df: DataFrame, order: Order, bounds: list[tuple], name: str) ->
     offsets = counts.select(
         b, F.coalesce(F.sum("__n").over(Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)),
                       F.lit(0)).alias("__off"))
-    w = Window.partitionBy(b).orderBy(*[F.col(c).asc() if asc else F.col(c).desc() for c, asc in order])
+    w = Window.partitionBy(b).orderBy(*_sort_cols(order))
     # offsets holds one row per bucket: B is bounded by MAX_BUCKETS
     return (tagged.join(F.broadcast(offsets), b)
             .withColumn(name, (F.col("__off") + F.row_number().over(w)).cast("bigint"))
@@ -105,7 +114,11 @@ def add_ntiles(df: DataFrame, specs: Sequence[tuple[str, int, Order]], *,
         from tillroll.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    n, all_bounds = _plan_buckets(df, [o for _, _, o in specs], nbuckets, seed)
+    n = df.count()
+    if nbuckets is None and n <= SINGLE_TASK_ROWS:
+        return df.select("*", *[F.ntile(tiles).over(Window.orderBy(*_sort_cols(order))).alias(name)
+                                for name, tiles, order in specs])
+    n, all_bounds = _plan_buckets(df, [o for _, _, o in specs], nbuckets, seed, n)
     out = df
     for (name, tiles, order), bounds in zip(specs, all_bounds):
         rn = f"__rn_{name}"
