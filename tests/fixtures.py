@@ -93,6 +93,7 @@ def fixture_tables(spark, *, orders=(), items=(), products=(), categories=None,
         "inventory": spark.createDataFrame(list(inventory), INVENTORY),
         "shipping": spark.createDataFrame(list(shipping), SHIPPING),
     }
+    frames["product_names"] = frames["products"].select("product_id", "product_name")
     cu = spark.createDataFrame(list(customers), CUSTOMERS)
     frames["customers_full"] = cu
     frames["customers"] = cu.drop("signup_date")
