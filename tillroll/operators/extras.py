@@ -166,18 +166,16 @@ def ab_test(t: Tables) -> DataFrame:
          .agg(F.max((F.col("event_type") == "purchase").cast("int")).alias("conv"))
          .withColumn("grp", F.when(F.col("user_id") % 2 == 0, "A").otherwise("B")))
     g = u.groupBy("grp").agg(F.count(F.lit(1)).alias("users"), F.sum("conv").alias("converters"))
-    s = g.agg(*[F.max(F.when(F.col("grp") == k, F.col(c))).alias(f"{c}_{k}")
-                for k in ("A", "B") for c in ("users", "converters")],
-              F.sum("users").alias("n"), F.sum("converters").alias("x"))
-    pa = F.col("converters_A") * 1.0 / F.col("users_A")
-    pb = F.col("converters_B") * 1.0 / F.col("users_B")
-    pool = F.col("x") * 1.0 / F.col("n")
-    se = F.sqrt(pool * (1 - pool) * (1.0 / F.col("users_A") + 1.0 / F.col("users_B")))
+    both = Window.partitionBy()   # the two group rows
+    side = lambda k, c: F.max(F.when(F.col("grp") == k, F.col(c))).over(both)
+    pa = side("A", "converters") * 1.0 / side("A", "users")
+    pb = side("B", "converters") * 1.0 / side("B", "users")
+    pool = F.sum("converters").over(both) * 1.0 / F.sum("users").over(both)
+    se = F.sqrt(pool * (1 - pool) * (1.0 / side("A", "users") + 1.0 / side("B", "users")))
     z = (pb - pa) / F.nullif(se, F.lit(0.0))   # NULL when every (or no) user converts
-    zrow = s.select(rnd(z, 4).alias("z_score"), F.lit(1).alias("_k"))
-    return (g.withColumn("_k", F.lit(1)).join(F.broadcast(zrow), "_k")   # one-row side
-            .select(F.col("grp").alias("test_group"), "users", F.col("converters").cast("bigint").alias("converters"),
-                    rnd(pct("converters", "users")).alias("conversion_rate_pct"), "z_score"))
+    return g.select(F.col("grp").alias("test_group"), "users",
+                    F.col("converters").cast("bigint").alias("converters"),
+                    rnd(pct("converters", "users")).alias("conversion_rate_pct"), rnd(z, 4).alias("z_score"))
 
 
 # --------------------------------------------------------------------------

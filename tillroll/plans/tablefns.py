@@ -15,7 +15,7 @@ from tillroll.functions.common import dollars, pct, ratio, rnd
 from tillroll.functions.sqltext import MEAN, PCT, R, TS_AGO, oracle
 from tillroll.operators.advanced import orders_per_product, valid_order_products
 from tillroll.operators.customer import customer_name, customer_order_stats
-from tillroll.operators.marketing import orders_per_campaign
+from tillroll.operators.marketing import interactions_per_pair, orders_per_campaign
 from tillroll.operators.product import review_stats
 from tillroll.plans.views import STATUS_BY_DATE_SQL, customer_status_by_date, product_item_stats
 from tillroll.registry import query
@@ -128,10 +128,10 @@ def _campaign_fn(t: Tables, literal: bool, campaign_id: int | None) -> DataFrame
     mc = t.campaigns
     if campaign_id is not None:
         mc = mc.where(F.col("campaign_id") == campaign_id)
-    reach = (t.interactions.groupBy("campaign_id")
-             .agg(F.count(F.lit(1)).alias("n_cc"), F.countDistinct("customer_id").alias("reached"),
-                  F.countDistinct(F.when(F.col("conversion_date").isNotNull(), F.col("customer_id")))
-                  .alias("converted")))
+    # distinct customers via the per-(campaign, customer) aggregate: no Expand
+    reach = (interactions_per_pair(t).groupBy("campaign_id")
+             .agg(F.sum("n_inter").alias("n_cc"), F.count("customer_id").alias("reached"),
+                  F.count(F.when(F.col("conv"), F.col("customer_id"))).alias("converted")))
     j = mc.join(orders_per_campaign(t), "campaign_id", "left").join(reach, "campaign_id", "left")
     mult = F.greatest(F.coalesce("n_cc", F.lit(0)), F.lit(1)) if literal else F.lit(1)
     rev = F.coalesce(F.col("s_ord") * mult, F.lit(0))
