@@ -48,3 +48,12 @@ def test_dashboard_stream_matches_batch(spark, tables, scratch):
     emitted = {r[0] for r in got.select("sale_date").collect()}
     assert emitted, "no day was emitted"
     assert _rows(got, "sale_date") == _rows(batch.where(F.col("sale_date").isin(list(emitted))), "sale_date")
+
+
+def test_touch_adds_audit_column_and_keeps_order_date(spark, tables):
+    from tillroll.streaming.ledger import touch_updated_at
+    o = tables.orders.select("order_id", "order_date")
+    got = touch_updated_at(o)
+    assert got.columns == ["order_id", "order_date", "updated_at"]
+    assert got.where("updated_at IS NULL").count() == 0
+    assert sorted(map(tuple, got.select("order_id", "order_date").collect())) == sorted(map(tuple, o.collect()))

@@ -238,16 +238,22 @@ x AS (SELECT month, CAST(rev AS DOUBLE) AS revenue,
              year(month) * 12 + month(month) AS idx FROM m)
 SELECT month, revenue,
        {R('AVG(revenue) OVER (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)')} AS moving_avg_3m,
-       {R('regr_slope(revenue, idx) OVER ()', 2)} AS trend_slope_per_month
+       {R('regr_slope(revenue, idx) OVER ()', 2)} AS trend_slope_per_month,
+       {R('regr_intercept(revenue, idx) OVER () + regr_slope(revenue, idx) OVER () * (idx + 1)')}
+         AS next_month_trend_forecast
 FROM x ORDER BY month"""))
 def revenue_trend_forecast(t: Tables) -> DataFrame:
-    """Three-month moving average and the least-squares monthly trend."""
+    """Three-month moving average, the least-squares monthly trend and the
+    trend line's value for the following month (a linear forecast)."""
     m = _monthly(t).select("month", dollars("_rev").alias("revenue"),
                            (F.year("month") * 12 + F.month("month")).alias("idx"))
     w = Window.orderBy("month").rowsBetween(-2, 0)   # one row per month
+    all_months = Window.partitionBy()
+    slope = F.regr_slope("revenue", "idx").over(all_months)
     return (m.select("month", "revenue", rnd(F.avg("revenue").over(w)).alias("moving_avg_3m"),
-                     rnd(F.regr_slope("revenue", "idx").over(Window.partitionBy()), 2)
-                     .alias("trend_slope_per_month"))
+                     rnd(slope, 2).alias("trend_slope_per_month"),
+                     rnd(F.regr_intercept("revenue", "idx").over(all_months) + slope * (F.col("idx") + 1))
+                     .alias("next_month_trend_forecast"))
             .orderBy("month"))
 
 

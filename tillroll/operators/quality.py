@@ -122,15 +122,31 @@ def dq_foreign_key(t: Tables) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-@query("dq_unique", oracle("""
-SELECT 'customers.email' AS rule, COUNT(*) AS duplicate_values
-FROM (SELECT email FROM b_customers WHERE email IS NOT NULL GROUP BY email HAVING COUNT(*) > 1) d"""))
+def _dup_sql(rule: str, col: str, source: str) -> str:
+    return (f"SELECT '{rule}' AS rule, COUNT(*) AS duplicate_values FROM (SELECT {col} FROM {source} "
+            f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1) d")
+
+
+@query("dq_unique", oracle("\nUNION ALL\n".join([
+    _dup_sql("customers.email", "email", "b_customers"),
+    _dup_sql("mv_monthly_revenue.month", "m",
+             "(SELECT CAST(date_trunc('month', order_date) AS DATE) AS m FROM b_orders "
+             "WHERE order_status != 'Cancelled' GROUP BY 1) mv"),
+    _dup_sql("mv_category_performance.category_id", "category_id",
+             "(SELECT c.category_id FROM b_categories c JOIN b_products p ON c.category_id = p.category_id "
+             "GROUP BY c.category_id, c.category_name) mv")])))
 def dq_unique(t: Tables) -> DataFrame:
-    """UNIQUE(email). (The materialized views' unique keys hold by
-    construction: each is a GROUP BY key.)"""
-    d = (t.customers.where(F.col("email").isNotNull()).groupBy("email")
-         .agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1))
-    return d.agg(F.lit("customers.email").alias("rule"), F.count(F.lit(1)).alias("duplicate_values"))
+    """UNIQUE(email) and the unique indexes of the two materialized views
+    (month; category_id), checked on the views as built."""
+    from tillroll.plans.views import mv_category_performance, mv_monthly_revenue
+
+    def dups(df: DataFrame, col: str, rule: str) -> DataFrame:
+        d = (df.select(col).where(F.col(col).isNotNull()).groupBy(col)
+             .agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1))
+        return d.agg(F.lit(rule).alias("rule"), F.count(F.lit(1)).alias("duplicate_values"))
+    return _union([dups(t.customers, "email", "customers.email"),
+                   dups(mv_monthly_revenue(t), "month", "mv_monthly_revenue.month"),
+                   dups(mv_category_performance(t), "category_id", "mv_category_performance.category_id")])
 
 
 # --------------------------------------------------------------------------
