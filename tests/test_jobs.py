@@ -1,6 +1,6 @@
 """Materialized-view refresh, segment update write, table counts."""
 
-from tillroll.plans.jobs import read_materialized, refresh_materialized, write_segment_update
+from tillroll.plans.jobs import read_latest, read_materialized, refresh_materialized, write_segment_update
 from tillroll.plans.views import mv_monthly_revenue
 
 
@@ -25,9 +25,8 @@ def test_unfinished_version_is_invisible(spark, tables, scratch):
 
 
 def test_segment_update_write(spark, tables, scratch):
-    out = f"{scratch}/customers"
-    write_segment_update(tables, out)
-    df = spark.read.parquet(out)
+    write_segment_update(tables, scratch)
+    df = read_latest(spark, scratch, "customers")
     assert df.count() == tables.customers.count()
     assert set(r[0] for r in df.select("customer_segment").distinct().collect()) <= {
         "VIP", "Regular", "New", "AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"}

@@ -48,6 +48,23 @@ def _versions(spark: SparkSession, base: str, name: str) -> list[str]:
     return sorted(out)
 
 
+def _new_version() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
+
+
+def publish(df: DataFrame, base: str, name: str, version: str | None = None, keep: int = 2) -> str:
+    """Write ``df`` as a new version ``base/<name>/v=<version>`` and drop
+    versions older than the newest ``keep``. The previous version stays
+    readable until the new one is committed, so a failed job (lost executors,
+    killed driver) never leaves the table missing or half written."""
+    version = version or _new_version()
+    df.write.mode("errorifexists").parquet(f"{base.rstrip('/')}/{name}/v={version}")
+    for old in _versions(df.sparkSession, base, name)[:-keep]:
+        fs, p = _fs(df.sparkSession, f"{base.rstrip('/')}/{name}/v={old}")
+        fs.delete(p, True)
+    return version
+
+
 def refresh_materialized(t: Tables, base: str, keep: int = 2) -> dict[str, str]:
     """Recompute every materialized view into ``base/<name>/v=<version>``.
 
@@ -55,16 +72,13 @@ def refresh_materialized(t: Tables, base: str, keep: int = 2) -> dict[str, str]:
     its ``_SUCCESS`` marker; older versions beyond ``keep`` are removed.
     Returns ``{name: version}``.
     """
-    version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
-    done = {}
-    for name, build in MATERIALIZED.items():
-        path = f"{base.rstrip('/')}/{name}/v={version}"
-        build(t).write.mode("errorifexists").parquet(path)
-        done[name] = version
-        for old in _versions(t.spark, base, name)[:-keep]:
-            fs, p = _fs(t.spark, f"{base.rstrip('/')}/{name}/v={old}")
-            fs.delete(p, True)
-    return done
+    version = _new_version()
+    return {name: publish(build(t), base, name, version, keep) for name, build in MATERIALIZED.items()}
+
+
+def read_latest(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """The newest committed version of a published table."""
+    return read_materialized(spark, base, name)
 
 
 def read_materialized(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -98,11 +112,11 @@ def update_segments(t: Tables, vip: int = 5000, regular: int = 1000) -> DataFram
                     new.alias("customer_segment"))
 
 
-def write_segment_update(t: Tables, path: str) -> None:
-    """Write the customers table with updated segments as a new table."""
+def write_segment_update(t: Tables, base: str, name: str = "customers") -> str:
+    """Publish the customers table with updated segments as a new version
+    (read it back with ``read_latest``); returns the version."""
     seg = update_segments(t).select("customer_id", "customer_segment")
-    (t.customers.drop("customer_segment").join(seg, "customer_id")
-     .write.mode("overwrite").parquet(path))
+    return publish(t.customers.drop("customer_segment").join(seg, "customer_id"), base, name)
 
 
 # --------------------------------------------------------------------------
