@@ -397,7 +397,8 @@ BIND_SQL: dict[str, str] = {
              (SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders o WHERE o.o_custkey = c_custkey)) AS signup_date
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
                 LEFT JOIN region ON n_regionkey = r_regionkey""",
-    "b_campaigns": ("SELECT * FROM (VALUES\n      " + _campaign_values()
+    "b_campaigns": ("SELECT CAST(campaign_id AS BIGINT) AS campaign_id, campaign_name, campaign_type, "
+                    "start_date, end_date, budget, channel FROM (VALUES\n      " + _campaign_values()
                     + "\n  ) v(campaign_id, campaign_name, campaign_type, start_date, end_date, budget, channel)"),
     "b_interactions": f"""SELECT event_id AS attribution_id, user_id AS customer_id,
     event_id % 10 + 1 AS campaign_id, ts AS interaction_date,
