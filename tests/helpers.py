@@ -29,8 +29,16 @@ def canon(cols, rows):
     return [cols[i] for i in order], out
 
 
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
+                 "StringType": "VARCHAR", "DateType": "DATE", "TimestampNTZType": "TIMESTAMP",
+                 "BooleanType": "BOOLEAN"}
+
+
 def same(spark_df, con, sql):
+    """Same column names, column types and rows (order-insensitive)."""
     c1, r1 = canon(spark_df.columns, [tuple(r) for r in spark_df.collect()])
     cur = con.execute(sql)
+    t2 = {d[0]: str(d[1]) for d in cur.description}
     c2, r2 = canon([d[0] for d in cur.description], cur.fetchall())
-    return c1 == c2 and r1 == r2, (c1, c2, r1[:3], r2[:3])
+    t1 = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, str(f.dataType)) for f in spark_df.schema.fields}
+    return c1 == c2 and r1 == r2 and t1 == t2, (c1, c2, r1[:3], r2[:3], t1, t2)
