@@ -124,3 +124,16 @@ def test_sales_report_end_day_only_at_midnight(spark):
                        customers=[customer(1)])
     r = jobs.sales_report(t, dt.date(2024, 1, 1), dt.date(2024, 1, 31)).first()
     assert (r.total_orders, r.total_revenue) == (1, 10.0)
+
+
+def test_asof_last_touch_attribution(spark):
+    from tillroll.operators import extras
+    inter = [(1, 1, 1, TS(2024, 1, 1), None), (2, 1, 2, TS(2024, 1, 10), None),
+             (3, 2, 3, TS(2024, 1, 20), None)]
+    t = fixture_tables(spark, orders=[order(1, 1, TS(2024, 1, 5), "Delivered", 10),    # -> campaign 1
+                                      order(2, 1, TS(2024, 1, 10), "Delivered", 20),   # tie -> campaign 2
+                                      order(3, 1, TS(2024, 2, 1), "Delivered", 40),    # carried -> 2
+                                      order(4, 2, TS(2024, 1, 19), "Delivered", 80)],  # before touch
+                       customers=[customer(1), customer(2)], interactions=inter)
+    got = {r.campaign_name: (r.orders, r.revenue) for r in extras.attribution_asof_last_touch(t).collect()}
+    assert got == {"Summer Sale 2024": (1, 10.0), "Back to School": (2, 60.0), "Unattributed": (1, 80.0)}

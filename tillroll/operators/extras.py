@@ -439,3 +439,32 @@ def revenue_by_geo_channel(t: Tables) -> DataFrame:
          .join(t.campaigns.select("campaign_id", "channel"), "campaign_id"))
     return (j.groupBy("state", "channel")
             .agg(F.sum("n").alias("orders"), dollars(F.sum("s")).alias("revenue")))
+
+
+# --------------------------------------------------------------------------
+@query("attribution_asof_last_touch", oracle(f"""
+WITH m AS (
+  SELECT o.order_id, o.total_amount, i.campaign_id,
+         ROW_NUMBER() OVER (PARTITION BY o.order_id
+                            ORDER BY i.interaction_date DESC, i.attribution_id DESC) AS rn
+  FROM b_orders o LEFT JOIN b_interactions i
+    ON i.customer_id = o.customer_id AND i.interaction_date <= o.order_date
+  WHERE o.order_status != 'Cancelled')
+SELECT COALESCE(mc.campaign_name, 'Unattributed') AS campaign_name, COUNT(*) AS orders,
+       {MONEY('m.total_amount')} AS revenue
+FROM m LEFT JOIN b_campaigns mc ON mc.campaign_id = m.campaign_id
+WHERE m.rn = 1 GROUP BY 1"""))
+def attribution_asof_last_touch(t: Tables) -> DataFrame:
+    """Per-order last-touch attribution: each non-cancelled order is credited
+    to the customer's latest campaign interaction at or before the order
+    time (an as-of join); orders with no earlier touch are 'Unattributed'.
+    (With the bound data every touch follows every order.)"""
+    from tillroll.functions.asof import asof_join
+    o = t.valid_orders.select("customer_id", "order_date", "order_id", "total_cents")
+    i = t.interactions.select("customer_id", "interaction_date", "attribution_id", "campaign_id")
+    m = asof_join(o, i, key="customer_id", left_ts="order_date", right_ts="interaction_date",
+                  right_tiebreak="attribution_id", carry=["campaign_id"])
+    per = m.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("orders"), F.sum("total_cents").alias("_rev"))
+    return (per.join(t.campaigns.select("campaign_id", "campaign_name"), "campaign_id", "left")
+            .select(F.coalesce("campaign_name", F.lit("Unattributed")).alias("campaign_name"), "orders",
+                    dollars("_rev").alias("revenue")))
