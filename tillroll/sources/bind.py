@@ -258,6 +258,17 @@ class Tables:
         )
         return p.join(leaves, "_leaf", "left").drop("_leaf")
 
+    @cached_property
+    def products_named(self) -> DataFrame:
+        """Products with their leaf ``category_name`` instead of ``category_id``.
+        The leaf name is ``p_type/p_brand`` of the part itself, so no join with
+        the category tree is needed when only the name is reported."""
+        return self.raw("part").select(
+            F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
+            F.concat(F.col("p_type"), F.lit("/"), F.col("p_brand")).alias("category_name"),
+            F.expr(PRICE_CENTS_EXPR).alias("price_cents"), (F.expr(PRICE_CENTS_EXPR) * 6).alias("cost_e3"),
+            (F.col("p_size") <= 45).alias("is_active"))
+
     @cached_property
     def product_names(self) -> DataFrame:
         """``products`` reduced to id and name: same rows, no category join
