@@ -85,6 +85,7 @@ def fixture_tables(spark, *, orders=(), items=(), products=(), categories=None,
     frames = {
         "orders": o,
         "valid_orders": o.where("order_status != 'Cancelled'"),
+        "orders_not_cancelled_or_null": o.where("order_status != 'Cancelled' OR order_status IS NULL"),
         "items": spark.createDataFrame(list(items), ITEMS),
         "products": spark.createDataFrame(list(products), PRODUCTS),
         "categories": spark.createDataFrame(list(cats), CATEGORIES),
@@ -94,6 +95,9 @@ def fixture_tables(spark, *, orders=(), items=(), products=(), categories=None,
         "shipping": spark.createDataFrame(list(shipping), SHIPPING),
     }
     frames["product_names"] = frames["products"].select("product_id", "product_name")
+    frames["products_named"] = (frames["products"].join(frames["categories"], "category_id")
+                                .select("product_id", "product_name", "category_name", "price_cents",
+                                        "cost_e3", "is_active"))
     cu = spark.createDataFrame(list(customers), CUSTOMERS)
     frames["customers_full"] = cu
     frames["customers"] = cu.drop("signup_date")

@@ -137,3 +137,12 @@ def test_asof_last_touch_attribution(spark):
                        customers=[customer(1), customer(2)], interactions=inter)
     got = {r.campaign_name: (r.orders, r.revenue) for r in extras.attribution_asof_last_touch(t).collect()}
     assert got == {"Summer Sale 2024": (1, 10.0), "Back to School": (2, 60.0), "Unattributed": (1, 80.0)}
+
+
+def test_null_status_kept_where_the_filter_admits_it(spark):
+    t = fixture_tables(spark, orders=[order(1, 1, TS(2024, 2, 1), None, 10),
+                                      order(2, 2, TS(2024, 2, 1), "Delivered", 20)],
+                       customers=[customer(1), customer(2)])
+    assert sorted(r.customer_id for r in cust.customer_clv(t).collect()) == [1, 2]   # OR IS NULL
+    assert sorted(r.customer_id for r in cust.vip_customers(t).collect()) == [2]     # plain !=
+    assert rows(cust.purchase_frequency(t), "order_count", "customers") == [(1, 2)]

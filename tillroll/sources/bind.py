@@ -208,6 +208,14 @@ class Tables:
                 .where(F.col("o_orderstatus").isin(*VALID_STATUS_CODES))
                 .select(*_x(*ORDER_COLS)))
 
+    @cached_property
+    def orders_not_cancelled_or_null(self) -> DataFrame:
+        """``orders WHERE order_status != 'Cancelled' OR order_status IS NULL``
+        (the filter the reference applies after its outer joins)."""
+        code = F.col("o_orderstatus")
+        return (self.raw("orders").where(code.isNull() | ~code.isin("P"))
+                .select(*_x(*ORDER_COLS)))
+
     @cached_property
     def items(self) -> DataFrame:
         return self.raw("lineitem").select(*_x(*ITEM_COLS))
