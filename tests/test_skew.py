@@ -7,6 +7,7 @@ from tillroll.operators.advanced import _pairs
 
 CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",           # force the sort-merge join used at scale
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
