@@ -107,13 +107,14 @@ def add_ntiles(df: DataFrame, specs: Sequence[tuple[str, int, Order]], *,
                nbuckets: int | None = None, seed: int = 7, materialize: bool = True) -> DataFrame:
     """Add one ``NTILE(n) OVER (ORDER BY ...)`` column per spec ``(name, n, order)``.
 
-    ``materialize`` checkpoints ``df`` first (into the session's checkpoint
-    folder) so the count, the sample and the final pass read it once computed.
+    ``materialize`` checkpoints ``df`` first (into the session's shared
+    checkpoint folder) so the count, the sample and the final pass read it
+    once computed; without such a folder ``df`` is recomputed instead.
     """
     if materialize:
         from tillroll.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        if ensure_checkpoint_dir(df.sparkSession):
+            df = df.checkpoint(eager=True)
     n = df.count()
     if nbuckets is None and n <= SINGLE_TASK_ROWS:
         return df.select("*", *[F.ntile(tiles).over(Window.orderBy(*_sort_cols(order))).alias(name)

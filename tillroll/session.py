@@ -42,11 +42,13 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Return the shared checkpoint folder (``spark.checkpoint.dir``), or None.
 
-    On a cluster this is set by the operator and is only read here. Only when
-    it is unset (local tests) a scratch folder is chosen.
+    On a cluster the folder is set by the operator and only read here; if it
+    is missing there, None is returned and callers skip checkpointing (a
+    machine-local folder would not be visible to other executors). Only in
+    local mode (tests, the bench) is a scratch folder chosen when unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -54,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        return None
     current = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
