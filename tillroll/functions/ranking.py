@@ -68,7 +68,9 @@ def _plan_buckets(df: DataFrame, orders: Sequence[Order], nbuckets: int | None,
     nb = nbuckets or min(MAX_BUCKETS, max(2, math.ceil(n / ROWS_PER_BUCKET)))
     frac = min(1.0, SAMPLE_PER_BUCKET * nb / max(n, 1))
     cols = sorted({c for o in orders for c, _ in o})
-    sample = df.select(*cols).sample(False, frac, seed).collect() if n else []
+    # expected SAMPLE_PER_BUCKET * nb rows; the limit makes the bound hard
+    cap = 2 * SAMPLE_PER_BUCKET * nb
+    sample = df.select(*cols).sample(False, frac, seed).limit(cap).collect() if n else []
     all_bounds = []
     for order in orders:
         idx = [cols.index(c) for c, _ in order]
