@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SAMPLE_PER_BUCKET = 20
-ROWS_PER_BUCKET = 100_000
-MAX_BUCKETS = 8192
+ROWS_PER_BUCKET = 2_000_000     # rows one window task sorts (spillable)
+MAX_BUCKETS = 4096
 # Below this measured row count one ordered window is cheaper than the range
 # machinery (the same bounded-size rule as a broadcast threshold); above it
 # the work is always split into ranges.
@@ -55,11 +55,16 @@ def _bucket_col(df: DataFrame, order: Order, bounds: list[tuple]) -> Column:
     def lit_struct(b):
         return F.struct(*[F.lit(v).cast(ty).alias(f"k{i}") for i, (v, ty) in enumerate(zip(b, types))])
 
-    expr = None
-    for i, b in enumerate(bounds):
-        cond = key < lit_struct(b)
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr.otherwise(F.lit(len(bounds)))
+    lits = [lit_struct(b) for b in bounds]
+
+    def tree(lo: int, hi: int) -> Column:
+        # range index in [lo, hi]; bounds[i] separates range i from i + 1.
+        # A balanced comparison tree: log2(B) comparisons per row.
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key < lits[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
+    return tree(0, len(bounds))
 
 
 def _plan_buckets(df: DataFrame, orders: Sequence[Order], nbuckets: int | None, seed: int,
