@@ -352,9 +352,8 @@ def review_sentiment(t: Tables) -> DataFrame:
     per = (t.reviews.groupBy("product_id")
            .agg(F.count(F.lit(1)).alias("n"), count_if(r >= 4).alias("pos"), count_if(r == 3).alias("neu"),
                 count_if(r <= 2).alias("neg"))
-           .join(t.products.select("product_id", "category_id"), "product_id")
-           .groupBy("category_id").agg(*[F.sum(c).alias(c) for c in ("n", "pos", "neu", "neg")])
-           .join(t.categories.select("category_id", "category_name"), "category_id"))
+           .join(t.products_named.select("product_id", "category_name"), "product_id")
+           .groupBy("category_name").agg(*[F.sum(c).alias(c) for c in ("n", "pos", "neu", "neg")]))
     return per.select("category_name", F.col("n").alias("reviews"), F.col("pos").alias("positive"),
                       F.col("neu").alias("neutral"), F.col("neg").alias("negative"),
                       rnd(pct(F.col("pos") - F.col("neg"), F.col("n"))).alias("net_sentiment_pct"))
