@@ -270,12 +270,14 @@ def product_affinity(t: Tables, min_co: int = 3, k: int = 30) -> DataFrame:
     "p.category_id", "SELECT category_id AS id, category_name AS nm FROM b_categories", 3, 30))
 def product_affinity_by_category(t: Tables, min_co: int = 3, k: int = 30) -> DataFrame:
     """The same affinity operator at category grain (item -> its category)."""
+    # items keyed by their leaf category name; leaf ids are dense ranks of the
+    # names, so name order is id order and the tie-breaks agree
     it = (t.items.select("order_id", "product_id")
           .join(t.valid_orders.select("order_id"), "order_id", "left_semi")
-          .join(t.products.select("product_id", "category_id"), "product_id")
-          .select("order_id", F.col("category_id").alias("product_id")).distinct())
+          .join(t.products_named.select("product_id", "category_name"), "product_id")
+          .select("order_id", F.col("category_name").alias("product_id")).distinct())
     pairs, totals = affinity_pairs(it, min_co)
-    names = t.categories.select(F.col("category_id").alias("product_id"), "category_name")
+    names = totals.select("product_id", F.col("product_id").alias("category_name"))
     return _affinity(pairs, totals, names, k)
 
 
