@@ -4,6 +4,7 @@
     BENCH_CPUS     local[N] (default 8)
     BENCH_REPEAT   timed runs per query after one warm-up (default 3)
     BENCH_QUERIES  comma list to run instead of the headline set
+    BENCH_SHUFFLE_PARTITIONS  spark.sql.shuffle.partitions (default: BENCH_CPUS)
     BENCH_ALL=1    every registered query, one timed run each
 
 Each run builds the query, executes it completely and transfers the whole
@@ -43,7 +44,8 @@ def main() -> None:
     from tillroll import registry
     from tillroll.session import local_session
 
-    spark = local_session(cpus, shuffle_partitions=cpus, app="tillroll-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = local_session(cpus, shuffle_partitions=parts, app="tillroll-bench")
     registry.load_all()
     names = (sorted(registry.QUERIES) if run_all else
              [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n])
