@@ -230,11 +230,20 @@ def recommend_products(t: Tables, product_id: int | None = None, k: int = 5) ->
     """Top-k co-purchased products per seed product (affinity = share of the
     seed's orders, cancelled included in the denominator)."""
     po = valid_order_products(t).select("order_id", "product_id")
-    seed = po if product_id is None else po.where(F.col("product_id") == product_id)
-    a = seed.toDF("order_id", "a")
-    b = po.toDF("order_id", "b")
-    pairs = (a.join(b, "order_id").where(F.col("a") != F.col("b"))
-             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("times_bought_together")))
+    if product_id is None:
+        # all seeds: count each unordered pair once, then emit both orientations
+        half = (po.toDF("order_id", "a").join(po.toDF("order_id", "b"), "order_id")
+                .where(F.col("a") < F.col("b"))
+                .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
+        pairs = half.select(F.explode(F.array(
+            F.struct(F.col("a").alias("a"), F.col("b").alias("b"), F.col("n").alias("times_bought_together")),
+            F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("n").alias("times_bought_together"))
+        )).alias("p")).select("p.*")
+    else:
+        # one seed: only its orders are joined
+        a = po.where(F.col("product_id") == product_id).toDF("order_id", "a")
+        pairs = (a.join(po.toDF("order_id", "b"), "order_id").where(F.col("a") != F.col("b"))
+                 .groupBy("a", "b").agg(F.count(F.lit(1)).alias("times_bought_together")))
     j = (pairs.join(t.product_names.select(F.col("product_id").alias("b"),
                                       F.col("product_name").alias("recommended_product_name")), "b")
          .join(orders_per_product(t).withColumnRenamed("product_id", "a"), "a"))
