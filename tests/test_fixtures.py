@@ -146,3 +146,12 @@ def test_null_status_kept_where_the_filter_admits_it(spark):
     assert sorted(r.customer_id for r in cust.customer_clv(t).collect()) == [1, 2]   # OR IS NULL
     assert sorted(r.customer_id for r in cust.vip_customers(t).collect()) == [2]     # plain !=
     assert rows(cust.purchase_frequency(t), "order_count", "customers") == [(1, 2)]
+
+
+def test_churn_orders_all_on_one_day_have_zero_gap(spark):
+    t = fixture_tables(spark, orders=[order(1, 1, TS(2024, 1, 5), "Delivered", 10),
+                                      order(2, 1, TS(2024, 1, 5), "Delivered", 20)],
+                       customers=[customer(1)], as_of=dt.date(2024, 3, 1))
+    (r,) = advanced.churn_risk(t).collect()
+    assert (r.avg_days_between_orders, r.churn_risk, r.expected_next_purchase) == \
+        (0.0, "High Risk", TS(2024, 1, 5))

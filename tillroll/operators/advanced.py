@@ -330,7 +330,8 @@ def churn_risk(t: Tables) -> DataFrame:
     w = Window.partitionBy("customer_id").orderBy("_day")
     gaps = per_day.withColumn("_gap", whole_days(F.col("_first"), F.lag("_last").over(w)))
     per = (gaps.groupBy("customer_id")
-           .agg(F.sum("_n").alias("total_orders"), F.sum("_gap").alias("_gsum"),
+           # a customer whose orders all share one day has only zero gaps
+           .agg(F.sum("_n").alias("total_orders"), F.coalesce(F.sum("_gap"), F.lit(0)).alias("_gsum"),
                 F.sum("_s").alias("_spend"), F.sum("_ns").alias("_nspend"),
                 F.max("_last").alias("_lastv"))
            .where(F.col("total_orders") >= 2))
