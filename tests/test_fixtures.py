@@ -155,3 +155,11 @@ def test_churn_orders_all_on_one_day_have_zero_gap(spark):
     (r,) = advanced.churn_risk(t).collect()
     assert (r.avg_days_between_orders, r.churn_risk, r.expected_next_purchase) == \
         (0.0, "High Risk", TS(2024, 1, 5))
+
+
+def test_acquisition_null_signup_month_sorts_last(spark):
+    t = fixture_tables(spark, customers=[customer(1, signup=dt.date(2024, 1, 3)),
+                                         customer(2, signup=dt.date(2024, 2, 9)),
+                                         customer(3, signup=None)])
+    got = {r.month: r.cumulative_customers for r in cust.customer_acquisition(t).collect()}
+    assert got == {dt.date(2024, 1, 1): 1, dt.date(2024, 2, 1): 2, None: 3}
