@@ -7,7 +7,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillroll.llm import quality, toxicity
 from tillroll.llm.byte_bpe import round_trip
 from tillroll.llm.token_counts import count_tokens
 
@@ -32,3 +34,21 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = quality.remainder("doc_id", 3) == 1
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", ~held_out)
+    scored = quality.score(docs.select("doc_id", "text", "n_chars"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = quality.remainder("doc_id", 5) == 0
+    chain = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out)
+    scored = toxicity.score(docs.select("doc_id", "text"), chain)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
