@@ -9,8 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import quality, toxicity
+from tillroll.llm import html_text, quality, substrings, toxicity, warc
 from tillroll.llm.byte_bpe import round_trip
+from tillroll.llm.storage import new_folder
 from tillroll.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +53,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out)
     scored = toxicity.score(docs.select("doc_id", "text"), chain)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract(table(spark, sf_dir, "pages"), keep=("page_id", "url"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder, payloads=False).select(
+        F.expr("try_cast(page_id AS BIGINT)").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.expr("try_cast(refers_to AS BIGINT)").alias("refers_to"))
+
+
+@query
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per removed span: its document, words ``first_word`` to ``end_word`` (exclusive), and an earlier document with it."""
+    spans = substrings.repeated_spans(table(spark, sf_dir, "documents"))
+    return (spans.select("key", F.explode(F.arrays_zip("start", "end", "earlier")).alias("s"))
+            .select(F.col("key").alias("doc_id"), F.col("s.start").alias("first_word"), F.col("s.end").alias("end_word"),
+                    F.col("s.earlier").alias("earlier_doc_id")))
