@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import html_text, quality, substrings, toxicity, warc
+from tillroll.llm import html_text, jaccard, quality, substrings, toxicity, warc
 from tillroll.llm.byte_bpe import round_trip
 from tillroll.llm.storage import new_folder
 from tillroll.llm.token_counts import count_tokens
@@ -77,3 +77,9 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (spans.select("key", F.explode(F.arrays_zip("start", "end", "earlier")).alias("s"))
             .select(F.col("key").alias("doc_id"), F.col("s.start").alias("first_word"), F.col("s.end").alias("end_word"),
                     F.col("s.earlier").alias("earlier_doc_id")))
+
+
+@query
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select(
+        F.col("key").alias("doc_id"), "n_shingles", "component_id")
