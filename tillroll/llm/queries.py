@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import html_text, jaccard, quality, substrings, toxicity, warc
+from tillroll.llm import decontaminate, html_text, jaccard, neighbours, quality, substrings, toxicity, warc
 from tillroll.llm.byte_bpe import round_trip
 from tillroll.llm.storage import new_folder
 from tillroll.llm.token_counts import count_tokens
@@ -83,3 +83,17 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select(
         F.col("key").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per passage of a document that aligns with a benchmark item."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "score",
+                        F.col("start").alias("first_word"), F.col("end").alias("end_word"))

@@ -20,6 +20,9 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
+_MARK = np.zeros(256, bool)
+_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+
 _BASE = 0x9E3779B97F4A7C55
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUE = np.random.default_rng(20240917).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -96,6 +99,19 @@ class Words:
     def hashes(self) -> np.ndarray:
         return span_hashes(self.buf, self.start, self.end)
 
+    def core(self) -> tuple[np.ndarray, np.ndarray]:
+        """(start, end) of every word without the marks around it (one byte is always left)."""
+        start, end = self.start.copy(), self.end.copy()
+        while len(start):
+            lead = (start < end - 1) & _MARK[self.buf[start]]
+            tail = (end - 1 > start) & _MARK[self.buf[end - 1]]
+            tail &= ~lead | (end - start > 2)
+            if not (lead.any() or tail.any()):
+                break
+            start += lead
+            end -= tail
+        return start, end
+
     def shingles(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, hash) of every ``width``-word shingle; a row with fewer words
         (but any) has its whole sequence as one, a row without words none."""

@@ -37,8 +37,6 @@ LEAST_DOCS, LEAST_Z = 5, 6.0
 #: Minimum hashes of five-word shingles by which copies among the training rows are told; one equal value is enough.
 SKETCH = 4
 
-_MARK = np.zeros(256, bool)
-_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
 
@@ -48,8 +46,8 @@ class Tokens:
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray):
         words = Words(buf, offsets)
-        low, start, end = words.buf, words.start.copy(), words.end.copy()
-        n = len(start)
+        low = words.buf
+        n = len(words.start)
         self.doc, self.first = words.doc, words.first
         stop = np.zeros(n, bool)
         if n:
@@ -58,14 +56,7 @@ class Tokens:
             stop[:-1] |= line[words.start[1:]] > line[words.end[:-1]]
             stop[:-1] |= words.doc[1:] != words.doc[:-1]
             stop[-1] = True
-        while n:
-            lead = (start < end - 1) & _MARK[low[start]]
-            tail = (end - 1 > start) & _MARK[low[end - 1]]
-            tail &= ~lead | (end - start > 2)
-            if not (lead.any() or tail.any()):
-                break
-            start += lead
-            end -= tail
+        start, end = words.core()
         self.start, self.end = start, end
         units = [span_hashes(low, start, end) if n else np.zeros(0, np.uint64)]
         for k in BEGINNINGS if n else ():  # shorter words have none: their unit is 0
