@@ -126,8 +126,10 @@ def passages(docs: DataFrame, key: str, text: str, bits: np.ndarray, reach: int)
                 words, h = _word_hashes(buf, offsets)
                 at, g = _grams(words, h)
                 hit = np.flatnonzero(_has(shared.value, g))
-                place, doc = at[hit], words.doc[at[hit]] if len(hit) else at[hit]
-                new = np.append(True, (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > 2 * reach))[:len(hit)]
+                if not len(hit):
+                    continue
+                place, doc = at[hit], words.doc[at[hit]]
+                new = np.append(True, (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > 2 * reach))
                 begin = np.flatnonzero(new)
                 for s, e in zip(begin.tolist(), np.append(begin[1:], len(hit)).tolist(), strict=True):
                     d = doc[s]

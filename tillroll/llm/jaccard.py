@@ -354,9 +354,9 @@ def links(docs: DataFrame, sets: DataFrame, key: str = "doc_id", text: str = "te
 
 
 def distinct_sets(rows: DataFrame) -> DataFrame:
-    """One row per set: the smallest (key, mark) that has it, its size and sketch."""
+    """One row per set: the smallest (key, mark) that has it (a null key only if there is no other), its size and sketch."""
     return (rows.filter("set IS NOT NULL").groupBy("set")
-            .agg(F.min(F.struct("key", "mark")).alias("r"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+            .agg(F.min(F.struct(F.col("key").isNull().alias("void"), "key", "mark")).alias("r"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
             .select("set", "r.key", "r.mark", "n", "sketch"))
 
 

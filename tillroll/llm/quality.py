@@ -172,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", train: Colum
     order = sorted(range(len(got["key"])), key=lambda i: (got["key"][i], got["label"][i], got["index"][i], got["value"][i]))
     index = [np.frombuffer(got["index"][i], "<u2").astype(np.int64) for i in order]
     value = [np.frombuffer(got["value"][i], "<f4").astype(float) for i in order]
-    numbers = np.array([np.frombuffer(got["numbers"][i], "<f8") for i in order]).reshape(len(order), -1)
+    numbers = np.array([np.frombuffer(got["numbers"][i], "<f8") for i in order]).reshape(len(order), len(STATS) + len(metadata))
     y = np.array([got["label"][i] != 0 for i in order], float)
     return train_machine(index, value, numbers, y, len(STATS) + len(metadata), epochs, seed)
 

@@ -34,7 +34,7 @@ SHAPES = 4
 BEGINNINGS = (4, 5, 6)
 #: Least documents and z-score for a word or beginning to be a toxic token label.
 LEAST_DOCS, LEAST_Z = 5, 6.0
-#: Minimum hashes of five-word shingles by which copies among the training rows are told; one equal value is enough.
+#: Minimum hashes of five-word shingles by which copies among the training rows are told: two that an earlier row has.
 SKETCH = 4
 
 _ENDS = np.zeros(256, bool)
@@ -168,16 +168,16 @@ def toxic_units(t: Tokens, y: np.ndarray) -> np.ndarray:
 
 
 def first_of_copies(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows that share none of ``SKETCH`` minimum shingle hashes with an earlier row, so that copies weigh once."""
+    """Rows of whose ``SKETCH`` minimum shingle hashes fewer than two occur in earlier rows, so that copies weigh once."""
     doc, shingle = Words(buf, offsets).shingles(5)
-    keep = np.ones(len(offsets) - 1, bool)
+    seen = np.zeros(len(offsets) - 1, np.int64)
     for k in range(SKETCH):
-        low = np.full(len(keep), np.iinfo(np.uint64).max, np.uint64)
+        low = np.full(len(seen), np.iinfo(np.uint64).max, np.uint64)
         np.minimum.at(low, doc, mix(shingle + np.uint64(k * 7919 + 1)))
-        first = np.zeros(len(keep), bool)
+        first = np.zeros(len(seen), bool)
         first[np.unique(low, return_index=True)[1]] = True
-        keep &= first | (low == np.iinfo(np.uint64).max)
-    return keep
+        seen += ~first & (low != np.iinfo(np.uint64).max)
+    return seen < 2
 
 
 def train_chain(t: Tokens, y: np.ndarray, epochs: int = 20, rate: float = 0.3, decay: float = 1e-3) -> Chain:
