@@ -177,11 +177,18 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parse(data: bytes) -> Iterator[dict]:
-    """Records of one archive, member by member."""
-    while data:
+    """Records of one archive, member by member; each is fed in blocks, so that no rest of the archive is copied."""
+    at, block = 0, 1 << 14
+    view = memoryview(data)
+    while at < len(data):
         unpack = zlib.decompressobj(31)
-        raw = unpack.decompress(data)
-        data = unpack.unused_data
+        pieces = []
+        while not unpack.eof:
+            if at >= len(data):
+                raise ValueError("archive ends within a record")
+            pieces.append(unpack.decompress(view[at:at + block]))
+            at = min(at + block, len(data)) - len(unpack.unused_data)
+        raw = b"".join(pieces)
         head, _, rest = raw.partition(b"\r\n\r\n")
         fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in head.decode().split("\r\n")[1:])
         body = rest[:int(fields["Content-Length"])]
