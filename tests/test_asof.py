@@ -26,3 +26,14 @@ def test_asof_matches_brute_force(spark):
         cands = [(ts, aid, camp) for aid, c, ts, camp in touches if c == cust and ts <= t]
         want[oid] = (max(cands)[2], max(cands)[1]) if cands else (None, None)
     assert got == want
+
+
+def test_null_keys_and_times_match_nothing(spark):
+    t = dt.datetime(2024, 1, 5)
+    left = spark.createDataFrame([(1, None, t), (2, 5, None), (3, 5, t), (4, None, None)],
+                                 "order_id long, customer_id long, order_date timestamp_ntz")
+    right = spark.createDataFrame([(10, None, t, 7), (11, 5, None, 8), (12, 5, t, 9)],
+                                  "aid long, customer_id long, ts timestamp_ntz, campaign_id long")
+    got = asof_join(left, right, key="customer_id", left_ts="order_date", right_ts="ts",
+                    right_tiebreak="aid", carry=["campaign_id"])
+    assert {(r.order_id, r.campaign_id) for r in got.collect()} == {(1, None), (2, None), (3, 9), (4, None)}

@@ -19,7 +19,7 @@ def _frame(spark, n=997):
 def test_ntile_matches_builtin(spark, nb):
     df = _frame(spark)
     got = add_ntiles(df, [("a", 5, [("v", True), ("k", True)]),
-                          ("b", 4, [("w", False), ("k", True)])], nbuckets=nb, materialize=(nb == 5))
+                          ("b", 4, [("w", False), ("k", True)])], ranges=nb)
     want = df.select("k",
                      F.ntile(5).over(Window.orderBy("v", "k")).alias("a"),
                      F.ntile(4).over(Window.orderBy(F.col("w").desc(), "k")).alias("b"))
@@ -29,15 +29,14 @@ def test_ntile_matches_builtin(spark, nb):
 def test_ntile_small_inputs(spark):
     for n in (1, 3, 7, 10):
         df = _frame(spark, n)
-        got = add_ntiles(df, [("t", 5, [("v", True), ("k", True)])], nbuckets=3, materialize=False)
+        got = add_ntiles(df, [("t", 5, [("v", True), ("k", True)])], ranges=3)
         want = df.select("k", F.ntile(5).over(Window.orderBy("v", "k")).alias("t"))
         assert sorted(map(tuple, got.select("k", "t").collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_seven_equal_customers_split_2_2_1_1_1(spark):
     df = spark.range(1, 8).select(F.col("id").alias("customer_id"), F.lit(3).alias("frequency"))
-    got = add_ntiles(df, [("f", 5, [("frequency", False), ("customer_id", True)])], nbuckets=2,
-                     materialize=False)
+    got = add_ntiles(df, [("f", 5, [("frequency", False), ("customer_id", True)])], ranges=2)
     sizes = sorted((r["f"], r["count"]) for r in got.groupBy("f").count().collect())
     assert sizes == [(1, 2), (2, 2), (3, 1), (4, 1), (5, 1)]
     # the tie-break is the id: customers 1, 2 land in tile 1
@@ -46,6 +45,26 @@ def test_seven_equal_customers_split_2_2_1_1_1(spark):
 
 def test_row_number_matches_builtin(spark):
     df = _frame(spark)
-    got = add_row_number(df, "rn", [("v", False), ("k", True)], nbuckets=6)
+    got = add_row_number(df, "rn", [("v", False), ("k", True)], ranges=6)
     want = df.select("k", F.row_number().over(Window.orderBy(F.col("v").desc(), "k")).alias("rn"))
     assert sorted(map(tuple, got.select("k", "rn").collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("nb", [1, 4])
+def test_null_keys_rank_as_in_a_window(spark, nb):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else float(i % 7)) for i in range(83)], "k long, v double")
+    got = add_ntiles(df, [("a", 5, [("v", True), ("k", True)]), ("d", 5, [("v", False), ("k", True)])], ranges=nb)
+    want = df.select("k", F.ntile(5).over(Window.orderBy("v", "k")).alias("a"),
+                     F.ntile(5).over(Window.orderBy(F.col("v").desc(), "k")).alias("d"))
+    assert sorted(map(tuple, got.select("k", "a", "d").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_thousand_ranges(spark):
+    df = _frame(spark, 4000)
+    got = add_ntiles(df, [("a", 5, [("v", True), ("k", True)])], ranges=1000)
+    want = df.select("k", F.ntile(5).over(Window.orderBy("v", "k")).alias("a"))
+    assert sorted(map(tuple, got.select("k", "a").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_empty_frame(spark):
+    assert add_ntiles(_frame(spark, 0), [("a", 5, [("v", True), ("k", True)])]).count() == 0

@@ -28,7 +28,15 @@ def asof_join(left: DataFrame, right: DataFrame, *, key: str, left_ts: str, righ
               right_tiebreak: str, carry: Sequence[str]) -> DataFrame:
     """``left`` with the ``carry`` columns of the latest ``right`` row having
     the same ``key`` and ``right_ts <= left_ts`` (ties on time broken by the
-    largest ``right_tiebreak``); NULL when there is none."""
+    largest ``right_tiebreak``); NULL when there is none.
+
+    A NULL key or time matches nothing: such right rows are dropped, such left
+    rows keep NULLs (they are set aside, so they never meet in one window)."""
+    known = F.col(key).isNotNull() & F.col(left_ts).isNotNull()
+    aside = left.where(~known)
+    left = left.where(known)
+    right = right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
+    right_types = right.select(*carry).schema
     lcols = [c for c in left.columns if c != key]
     lstruct = F.struct(*[F.col(c) for c in lcols]).alias("_l")
     rstruct = F.struct(*[F.col(c) for c in carry]).alias("_r")
@@ -53,4 +61,5 @@ def asof_join(left: DataFrame, right: DataFrame, *, key: str, left_ts: str, righ
     j = u.join(start, ["_k", "_day"], "left")
     res = (j.withColumn("_m", F.coalesce(F.last("_r", ignorenulls=True).over(within), F.col("_carry")))
            .where(F.col("_kind") == 1))
-    return res.select(F.col("_k").alias(key), "_l.*", *[F.col(f"_m.{c}").alias(c) for c in carry])
+    matched = res.select(F.col("_k").alias(key), "_l.*", *[F.col(f"_m.{c}").alias(c) for c in carry])
+    return matched.unionByName(aside.select(key, *lcols, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right_types]))

@@ -1,142 +1,79 @@
 """Exact global row numbers and NTILE without a single-partition window.
 
 ``Window.orderBy(...)`` with no partition moves every row into one task. Here
-the ordered key space is cut into ``B`` ranges whose boundaries come from a
-bounded random sample of the keys (at most ``SAMPLE_PER_BUCKET * B`` key
-tuples reach the driver). Rows are numbered inside their range with a window
-partitioned by range, and each range adds the count of all earlier ranges
-(``B`` rows, broadcast). Ranges are cut on the full key including the unique
-tie-break column, so one hot key value is spread over several ranges.
-
-The result equals ``row_number()`` / ``ntile(n)`` over the same total order.
+the rows are range-partitioned on the whole order (whose last column is
+unique, so that one hot key value is spread over several ranges) and sorted
+within their ranges. ``monotonically_increasing_id`` then holds a row's range
+and its place in it; the frame is written to the shared checkpoint folder at
+that point, so that both stay what they are. A row's number is its place plus
+the rows of all earlier ranges (one row per range).
+
+There is one path for every size. NULL keys sort as in Spark's own windows
+(first ascending, last descending). The result equals ``row_number()`` /
+``ntile(n)`` over the same total order.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SAMPLE_PER_BUCKET = 20
-ROWS_PER_BUCKET = 2_000_000     # rows one window task sorts (spillable)
-MAX_BUCKETS = 4096
-# Below this measured row count one ordered window is cheaper than the range
-# machinery (the same bounded-size rule as a broadcast threshold); above it
-# the work is always split into ranges.
-SINGLE_TASK_ROWS = 1_000_000
+from tillroll.session import ensure_checkpoint_dir
 
 # an ordering: [(column name, ascending), ...]; the last column must be unique
 Order = Sequence[tuple[str, bool]]
 
-
-def _key_exprs(order: Order) -> list[Column]:
-    """Ascending-comparable key parts: descending numeric keys are negated."""
-    return [F.col(c) if asc else -F.col(c) for c, asc in order]
-
-
-def _bounds(rows: list, nb: int) -> list[tuple]:
-    keys = sorted({tuple(r) for r in rows})
-    if nb <= 1 or not keys:
-        return []
-    picks = sorted({keys[min(len(keys) - 1, (i * len(keys)) // nb)] for i in range(1, nb)})
-    return picks
-
-
-def _bucket_col(df: DataFrame, order: Order, bounds: list[tuple]) -> Column:
-    if not bounds:
-        return F.lit(0)
-    parts = _key_exprs(order)
-    types = [df.select(p.alias("x")).schema["x"].dataType for p in parts]
-    key = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
-
-    def lit_struct(b):
-        return F.struct(*[F.lit(v).cast(ty).alias(f"k{i}") for i, (v, ty) in enumerate(zip(b, types))])
-
-    lits = [lit_struct(b) for b in bounds]
-
-    def tree(lo: int, hi: int) -> Column:
-        # range index in [lo, hi]; bounds[i] separates range i from i + 1.
-        # A balanced comparison tree: log2(B) comparisons per row.
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < lits[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-    return tree(0, len(bounds))
-
-
-def _plan_buckets(df: DataFrame, orders: Sequence[Order], nbuckets: int | None, seed: int,
-                  n: int | None = None):
-    n = df.count() if n is None else n
-    nb = nbuckets or min(MAX_BUCKETS, max(2, math.ceil(n / ROWS_PER_BUCKET)))
-    frac = min(1.0, SAMPLE_PER_BUCKET * nb / max(n, 1))
-    cols = sorted({c for o in orders for c, _ in o})
-    # expected SAMPLE_PER_BUCKET * nb rows; the limit makes the bound hard
-    cap = 2 * SAMPLE_PER_BUCKET * nb
-    sample = df.select(*cols).sample(False, frac, seed).limit(cap).collect() if n else []
-    all_bounds = []
-    for order in orders:
-        idx = [cols.index(c) for c, _ in order]
-        rows = [tuple(r[i] if asc else -r[i] for i, (_, asc) in zip(idx, order)) for r in sample]
-        all_bounds.append(_bounds(rows, nb))
-    return n, all_bounds
+#: monotonically_increasing_id keeps the partition above this many bits
+PLACE_BITS = 33
 
 
 def _sort_cols(order: Order) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
 
 
-def _row_number(df: DataFrame, order: Order, bounds: list[tuple], name: str) -> DataFrame:
-    b = f"__b_{name}"
-    tagged = df.withColumn(b, _bucket_col(df, order, bounds))
-    counts = tagged.groupBy(b).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        b, F.coalesce(F.sum("__n").over(Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)),
-                      F.lit(0)).alias("__off"))
-    w = Window.partitionBy(b).orderBy(*_sort_cols(order))
-    # offsets holds one row per bucket: B is bounded by MAX_BUCKETS
-    return (tagged.join(F.broadcast(offsets), b)
-            .withColumn(name, (F.col("__off") + F.row_number().over(w)).cast("bigint"))
-            .drop(b, "__off"))
-
-
-def ntile_of(rn: Column, n_rows: int, tiles: int) -> Column:
-    """NTILE bucket (1-based) of 1-based row number ``rn`` among ``n_rows``."""
-    q, r = divmod(n_rows, tiles)
+def _numbered(df: DataFrame, order: Order, ranges: int | None) -> DataFrame:
+    """``df`` with ``__rn`` (row number from 1) and ``__n`` (all rows)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = _sort_cols(order)
+    placed = (df.repartitionByRange(ranges, *cols).sortWithinPartitions(*cols)
+              .withColumn("__at", F.monotonically_increasing_id()).checkpoint())
+    part = F.shiftright("__at", PLACE_BITS)
+    counts = placed.groupBy(part.alias("__range")).agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range
+    offsets = counts.select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__off"),
+                            F.sum("__rows").over(Window.partitionBy()).alias("__n"))
+    place = F.col("__at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return (placed.withColumn("__range", part).join(F.broadcast(offsets), "__range")
+            .withColumn("__rn", (F.col("__off") + place + 1).cast("bigint"))
+            .drop("__at", "__range", "__off"))
+
+
+def ntile_of(rn: Column, rows: Column, tiles: int) -> Column:
+    """NTILE bucket (1-based) of 1-based row number ``rn`` among ``rows``."""
+    q = F.floor(rows / tiles)
+    r = rows - q * tiles
     big = r * (q + 1)
-    small = F.lit(r) + F.floor((rn - 1 - big) / max(q, 1)) + 1
+    small = r + F.floor((rn - 1 - big) / F.greatest(q, F.lit(1))) + 1
     return F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(small).cast("int")
 
 
-def add_ntiles(df: DataFrame, specs: Sequence[tuple[str, int, Order]], *,
-               nbuckets: int | None = None, seed: int = 7, materialize: bool = True) -> DataFrame:
+def add_ntiles(df: DataFrame, specs: Sequence[tuple[str, int, Order]], *, ranges: int | None = None) -> DataFrame:
     """Add one ``NTILE(n) OVER (ORDER BY ...)`` column per spec ``(name, n, order)``.
 
-    ``materialize`` checkpoints ``df`` first (into the session's shared
-    checkpoint folder) so the count, the sample and the final pass read it
-    once computed; without such a folder ``df`` is recomputed instead.
+    ``ranges`` is the number of ranges (default ``spark.sql.shuffle.partitions``).
     """
-    if materialize:
-        from tillroll.session import ensure_checkpoint_dir
-        if ensure_checkpoint_dir(df.sparkSession):
-            df = df.checkpoint(eager=True)
-    n = df.count()
-    if nbuckets is None and n <= SINGLE_TASK_ROWS:
-        return df.select("*", *[F.ntile(tiles).over(Window.orderBy(*_sort_cols(order))).alias(name)
-                                for name, tiles, order in specs])
-    n, all_bounds = _plan_buckets(df, [o for _, _, o in specs], nbuckets, seed, n)
-    out = df
-    for (name, tiles, order), bounds in zip(specs, all_bounds):
-        rn = f"__rn_{name}"
-        out = _row_number(out, order, bounds, rn)
-        out = out.withColumn(name, ntile_of(F.col(rn), n, tiles)).drop(rn)
-    return out
-
-
-def add_row_number(df: DataFrame, name: str, order: Order, *, nbuckets: int | None = None,
-                   seed: int = 7) -> DataFrame:
+    for name, tiles, order in specs:
+        df = (_numbered(df, order, ranges)
+              .withColumn(name, ntile_of(F.col("__rn"), F.col("__n"), tiles)).drop("__rn", "__n"))
+    return df
+
+
+def add_row_number(df: DataFrame, name: str, order: Order, *, ranges: int | None = None) -> DataFrame:
     """``row_number() OVER (ORDER BY ...)`` computed range by range."""
-    _, (bounds,) = _plan_buckets(df, [order], nbuckets, seed)
-    return _row_number(df, order, bounds, name)
+    return _numbered(df, order, ranges).withColumnRenamed("__rn", name).drop("__n")

@@ -467,3 +467,31 @@ def attribution_asof_last_touch(t: Tables) -> DataFrame:
     return (per.join(t.campaigns.select("campaign_id", "campaign_name"), "campaign_id", "left")
             .select(F.coalesce("campaign_name", F.lit("Unattributed")).alias("campaign_name"), "orders",
                     dollars("_rev").alias("revenue")))
+
+
+# --------------------------------------------------------------------------
+@query("purchase_last_click", oracle("""
+SELECT COALESCE(k.campaign_name, 'Unattributed') AS campaign_name, COUNT(*) AS purchases,
+       CAST(SUM(CAST(ROUND(b.value * 100) AS BIGINT)) AS DOUBLE) / 100e0 AS purchase_value
+FROM events b
+LEFT JOIN LATERAL (
+  SELECT i.campaign_id FROM b_interactions i
+  WHERE i.customer_id = b.user_id AND i.interaction_date <= b.ts
+  ORDER BY i.interaction_date DESC, i.attribution_id DESC LIMIT 1) near ON TRUE
+LEFT JOIN b_campaigns k ON k.campaign_id = near.campaign_id
+WHERE b.event_type = 'purchase'
+GROUP BY ALL"""))
+def purchase_last_click(t: Tables) -> DataFrame:
+    """Purchase events credited to the campaign of the same user's latest
+    click at or before the purchase (an as-of join on the event stream)."""
+    from tillroll.functions.asof import asof_join
+    bought = (t.raw("events").where(F.col("event_type") == "purchase")
+              .select("event_id", "ts", F.col("user_id").alias("customer_id"),
+                      F.round(F.col("value") * 100).cast("bigint").alias("cents")))
+    clicks = t.interactions.select("customer_id", "interaction_date", "attribution_id", "campaign_id")
+    m = asof_join(bought, clicks, key="customer_id", left_ts="ts", right_ts="interaction_date",
+                  right_tiebreak="attribution_id", carry=["campaign_id"])
+    per = m.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("purchases"), F.sum("cents").alias("_cents"))
+    return (per.join(t.campaigns.select("campaign_id", "campaign_name"), "campaign_id", "left")
+            .select(F.coalesce("campaign_name", F.lit("Unattributed")).alias("campaign_name"), "purchases",
+                    dollars("_cents").alias("purchase_value")))

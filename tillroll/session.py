@@ -18,6 +18,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot order's rows even where the aggregation above then needs a
+    # shuffle of its own, which AQE declines by default
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # broadcast decisions stay size-checked (static estimate and AQE's measured
     # size); the bound is raised from 10 MB to 64 MB, still far below executor memory
     "spark.sql.autoBroadcastJoinThreshold": "64m",
@@ -42,13 +45,13 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Return the shared checkpoint folder (``spark.checkpoint.dir``), or None.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the folder is set by the operator and only read here; if it
-    is missing there, None is returned and callers skip checkpointing (a
-    machine-local folder would not be visible to other executors). Only in
-    local mode (tests, the bench) is a scratch folder chosen when unset.
+    On a cluster the folder is set by the operator and only read here; without
+    it this raises, because a machine-local folder would not be visible to the
+    other executors. Only in local mode (tests, the bench) is a scratch folder
+    chosen when unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -56,8 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
-        return None
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     current = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
