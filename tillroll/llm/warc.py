@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROLL_BYTES = 32 << 20
+ROLL_BYTES = 8 << 20
+#: Rows of an Arrow batch that become Python objects at once.
+SLICE = 128
 #: Payload bytes that one writing task gets, about.
 TASK_BYTES = 64 << 20
 #: All records carry this date, so that the same pages give the same bytes.
@@ -147,7 +149,8 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
         done: list[tuple] = []
         at, marked, answered = None, {}, set()
         for b in batches:
-            for k, u, p, d, f, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            slices = (b.slice(i, SLICE) for i in range(0, b.num_rows, SLICE))
+            for k, u, p, d, f, own in (row for x in slices for row in zip(*(c.to_pylist() for c in x.columns), strict=True)):
                 if k != at:
                     at, marked, answered = k, {}, set()
                 if p is None:
@@ -226,7 +229,7 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
                 held: list[dict] = []
                 for r in parse(content):
                     held.append(r if payloads else {k: r[k] for k in arrow.names})
-                    if len(held) == 500:
+                    if len(held) == SLICE:
                         yield pa.RecordBatch.from_pylist(held, arrow)
                         held = []
                 if held:
