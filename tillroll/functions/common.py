@@ -50,6 +50,11 @@ def pct(num, den) -> Column:
     return col(num).cast("double") * 100.0 / F.nullif(col(den).cast("double"), F.lit(0.0))
 
 
+def times(a, b) -> Column:
+    """a * b of two integers as DECIMAL(38,0): a fan-out product may pass BIGINT."""
+    return col(a).cast("decimal(38,0)") * col(b)
+
+
 def count_if(cond: Column) -> Column:
     """COUNT(CASE WHEN cond THEN 1 END)."""
     return F.count(F.when(cond, F.lit(1)))

@@ -46,6 +46,23 @@ def TS_AGO(days: int = 0, as_of: dt.date = AS_OF) -> str:
     return f"TIMESTAMP '{(as_of - dt.timedelta(days=days)).isoformat()} 00:00:00'"
 
 
+KEPT = "order_status <> 'Cancelled'"
+
+
+def BUYERS(where: str = KEPT) -> str:
+    """CTE ``buyers``: one row per customer with an order that meets ``where``."""
+    return f"""buyers AS (
+  SELECT customer_id, COUNT(order_id) AS bought, SUM(total_amount) AS spent, COUNT(total_amount) AS priced,
+         MAX(order_date) AS latest
+  FROM b_orders WHERE {where} GROUP BY customer_id)"""
+
+
+#: CTE ``tagged``: one row per campaign with kept orders tagged with it.
+TAGGED = f"""tagged AS (
+  SELECT campaign_id, COUNT(order_id) AS sales, SUM(total_amount) AS takings, COUNT(total_amount) AS priced
+  FROM b_orders WHERE {KEPT} GROUP BY campaign_id)"""
+
+
 def oracle(body: str, ctes: str = "") -> str:
     """Prefix ``body`` with the binding CTEs it (or ``ctes``) mentions."""
     text = ctes + "\n" + body
