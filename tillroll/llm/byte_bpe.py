@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.pretoken import PreTokens, row_sums
-from tillroll.llm.textarrays import CHUNK_BYTES, chunks, expand, mix, span_hashes
+from tillroll.llm.pretoken import TOKEN_CHUNK_BYTES, PreTokens, row_sums
+from tillroll.llm.textarrays import chunks, expand, mix, span_hashes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Distinct pre-tokens whose ids a Python worker keeps between chunks; the store is emptied when full.
@@ -175,7 +175,7 @@ def encoder(path: str) -> Encoder:
 _kept: dict[str, dict[int, bytes]] = {}
 
 
-def encode_rows(texts: pa.Array, path: str, limit: int = CHUNK_BYTES) -> Iterator[np.ndarray]:
+def encode_rows(texts: pa.Array, path: str, limit: int = TOKEN_CHUNK_BYTES) -> Iterator[np.ndarray]:
     """Ids of every text in turn (null: none)."""
     e = encoder(path)
     known = _kept.setdefault(path, {})

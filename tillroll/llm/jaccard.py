@@ -42,7 +42,7 @@ WIDTH = 5
 #: Similarity of a link, as a fraction.
 PART, WHOLE = 75, 100
 SKETCH, LEAST_SHARED, SURE = 96, 36, 72
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 2_000_000
 LEAF, FAN = 32, 4
 PIVOTS = 64
 
@@ -246,8 +246,8 @@ def dual_traversal(a: SignatureTree, b: SignatureTree, label_a: np.ndarray, labe
 
 def tree_links(ids: np.ndarray, size: np.ndarray, tokens: list[np.ndarray], probe: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
     """Links of a chunk's sets (``probe`` false) among themselves or, if there are probes, between probes and the others."""
-    most = int(max(size.max(), 1))
-    bits = 1 << max(9, min(16, (4 * most - 1).bit_length()))
+    # bits for the mean set: a longer one only prunes less, and all bitmaps take about half a byte a token
+    bits = 1 << max(9, min(16, (4 * int(size.mean()) + 1).bit_length()))
 
     def tree(which: np.ndarray) -> tuple[SignatureTree, np.ndarray]:
         at = np.flatnonzero(which)

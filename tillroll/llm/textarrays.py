@@ -1,6 +1,7 @@
 """Texts of an Arrow batch as flat numpy arrays: bytes, words and span hashes.
 
-Tasks work on chunks of whole rows (about ``CHUNK_BYTES`` of text; a longer
+Tasks work on chunks of whole rows (about ``CHUNK_BYTES`` of text, of which the
+arrays take some forty times; a longer
 row is a chunk of its own), so memory follows the longest single text and not
 the partition. Words are runs outside ``[\\x20\\x09-\\x0D]``; hashes are 64-bit
 and computed for all words of a chunk at once from a running polynomial sum.
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

@@ -20,8 +20,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tillroll.llm.pretoken import PreTokens, row_sums
-from tillroll.llm.textarrays import CHUNK_BYTES, chunks, expand
+from tillroll.llm.pretoken import TOKEN_CHUNK_BYTES, PreTokens, row_sums
+from tillroll.llm.textarrays import chunks, expand
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct pre-tokens whose counts a Python worker keeps between batches; the store is emptied when full.
@@ -118,7 +118,7 @@ def _chunk_counts(m: Merges, known: dict[int, int], buf: np.ndarray, offsets: np
     return row_sums(count[number], pre.first)
 
 
-def text_counts(texts: pa.Array, path: str, limit: int = CHUNK_BYTES) -> np.ndarray:
+def text_counts(texts: pa.Array, path: str, limit: int = TOKEN_CHUNK_BYTES) -> np.ndarray:
     """Tokens of every text (null: none)."""
     m = merges(path)
     known = _kept.setdefault(path, {})
