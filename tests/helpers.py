@@ -8,10 +8,11 @@ import duckdb
 TABLES = ("region nation customer supplier part orders lineitem events").split()
 
 
-def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+def duck(sf_dir: str, **paths: str) -> duckdb.DuckDBPyConnection:
+    """Views of the tables below ``sf_dir``; ``paths`` name files kept elsewhere."""
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{paths.get(t, f'{sf_dir}/{t}.parquet')}')")
     return con
 
 

@@ -3,12 +3,14 @@
 import pytest
 
 import __spark_entry__ as E
+from tillroll import registry
 
 from .conftest import SF_SMALL
 from .helpers import duck, same
 
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
+registry.load_all()
+QUERIES = {name: E.queries()[name] for name in registry.QUERIES}
+ORACLE = {name: E.oracle_sql()[name] for name in registry.ORACLE}
 
 
 @pytest.fixture(scope="module")

@@ -4,20 +4,24 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from tillroll import Tables, registry
 
 from .conftest import SF_SMALL
 
-QUERIES = E.queries()
+registry.load_all()
 
 
 def _plan(spark, name):
-    df = registry.QUERIES[name](Tables(spark, SF_SMALL))
-    return df._jdf.queryExecution().executedPlan().toString()
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # whole lists of pushed filters
+    try:
+        df = registry.QUERIES[name](Tables(spark, SF_SMALL))
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_cross_products_or_expand(spark, name):
     plan = _plan(spark, name)
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|\bExpand\b", plan), plan
@@ -37,3 +41,14 @@ def test_date_window_reaches_the_scan(spark):
 @pytest.mark.parametrize("name", ["recommend_products", "top_products_by_category"])
 def test_per_group_top_k_is_limited_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in _plan(spark, name)
+
+
+def test_month_of_a_view_reaches_the_orders_scan(spark):
+    plan = _plan(spark, "view_filter_month")
+    assert "GreaterThanOrEqual(o_orderdate,2001-07-01" in plan and "LessThan(o_orderdate,2001-08-01" in plan
+
+
+@pytest.mark.parametrize("name,pushed", [("customer_ltv_of", "EqualTo(o_custkey,7)"), ("purchase_history_of", "EqualTo(o_custkey,7)"),
+                                         ("recommend_products_for", "EqualTo(l_partkey,11)")])
+def test_key_of_a_single_call_reaches_the_scan(spark, name, pushed):
+    assert pushed in _plan(spark, name)

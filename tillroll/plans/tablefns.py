@@ -213,10 +213,11 @@ def recommend_products(t: Tables, product_id: int | None = None, k: int = 5) ->
         # (the condition reaches the items' scan; the other items of those
         # orders come in through a semi-join before they are deduplicated)
         a = (t.items.where(F.col("product_id") == product_id)
-             .join(t.valid_orders.select("order_id"), "order_id", "left_semi").select("order_id").distinct())
-        others = t.items.select("order_id", "product_id").join(a, "order_id", "left_semi").distinct()
-        pairs = (others.where(F.col("product_id") != product_id)
-                 .select("order_id", F.lit(product_id).cast("bigint").alias("a"), F.col("product_id").alias("b"))
+             .join(t.valid_orders.select("order_id"), "order_id", "left_semi")
+             .select("order_id", F.col("product_id").alias("a")).distinct())
+        others = (t.items.select("order_id", F.col("product_id").alias("b"))
+                  .join(a.select("order_id"), "order_id", "left_semi").distinct())
+        pairs = (a.join(others, "order_id").where(F.col("a") != F.col("b"))
                  .groupBy("a", "b").agg(F.count(F.lit(1)).alias("times_bought_together")))
     j = (pairs.join(t.product_names.select(F.col("product_id").alias("b"),
                                       F.col("product_name").alias("recommended_product_name")), "b")
