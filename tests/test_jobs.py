@@ -1,6 +1,6 @@
 """Materialized-view refresh, segment update write, table counts."""
 
-from tillroll.plans.jobs import read_latest, read_materialized, refresh_materialized, write_segment_update
+from tillroll.plans.jobs import read_latest, refresh_materialized, write_segment_update
 from tillroll.plans.views import mv_monthly_revenue
 
 
@@ -8,7 +8,7 @@ def test_refresh_publishes_new_versions_and_keeps_two(spark, tables, scratch):
     base = f"{scratch}/mv"
     versions = [refresh_materialized(tables, base)["mv_monthly_revenue"] for _ in range(3)]
     assert len(set(versions)) == 3
-    stored = read_materialized(spark, base, "mv_monthly_revenue")
+    stored = read_latest(spark, base, "mv_monthly_revenue")
     want = mv_monthly_revenue(tables)
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, want.collect()))
     import os
@@ -21,7 +21,7 @@ def test_unfinished_version_is_invisible(spark, tables, scratch):
     base = f"{scratch}/mv2"
     v = refresh_materialized(tables, base)["mv_category_performance"]
     os.makedirs(f"{base}/mv_category_performance/v=99999999T000000000000-dead")  # no _SUCCESS
-    assert read_materialized(spark, base, "mv_category_performance").inputFiles()[0].count(v) == 1
+    assert read_latest(spark, base, "mv_category_performance").inputFiles()[0].count(v) == 1
 
 
 def test_segment_update_write(spark, tables, scratch):

@@ -44,9 +44,9 @@ EPOCH = dt.date(2024, 1, 1)
 
 
 def _u(seed: int, salt: int, *cols) -> Column:
-    """Uniform [0, 1) from a hash of (seed, salt, cols)."""
+    """Uniform [0, 1) from the upper 53 bits of a hash of (seed, salt, cols)."""
     h = F.xxhash64(F.lit(seed), F.lit(salt), *cols)
-    return F.pmod(h, F.lit(1_000_003)).cast("double") / 1_000_003.0
+    return F.shiftrightunsigned(h, 11).cast("double") / float(1 << 53)
 
 
 def _pick(values, u: Column) -> Column:
@@ -185,20 +185,19 @@ SELECT product_id, customer_id, order_id,
 FROM (SELECT DISTINCT oi.order_id, oi.product_id, o.customer_id, o.order_date
       FROM b_items oi JOIN b_orders o ON oi.order_id = o.order_id
       WHERE o.order_status = 'Delivered') d
-WHERE {_SAMPLE}
-ORDER BY order_id, product_id LIMIT 500"""))
-def synth_reviews(t: Tables, limit: int = 500) -> DataFrame:
+WHERE {_SAMPLE}"""))
+def synth_reviews(t: Tables, limit: int | None = None) -> DataFrame:
     """Reviews for a 60 % sample of distinct delivered (order, product)
-    pairs, at most ``limit`` (the loader's cap — a sampling feature), rating
-    3-5, one of the five texts, dated 0-30 days after the order. The sample
+    pairs (the ``limit`` smallest, if one is given), rating 3-5, one of the five texts, dated 0-30 days after the order. The sample
     is a deterministic arithmetic hash of the pair, so reruns agree."""
     pairs = (t.items.select("order_id", "product_id")
              .join(t.orders.where(F.col("order_status") == "Delivered")
                    .select("order_id", "customer_id", "order_date"), "order_id")
              .distinct()
              .where(F.expr(_SAMPLE)))
-    return (pairs.orderBy("order_id", "product_id").limit(limit)
-            .select("product_id", "customer_id", "order_id",
+    if limit is not None:
+        pairs = pairs.orderBy("order_id", "product_id").limit(limit)
+    return (pairs.select("product_id", "customer_id", "order_id",
                     F.expr("CAST(3 + (order_id + 3 * product_id) % 3 AS INT)").alias("rating"),
                     F.expr(_TEXT).alias("review_text"),
                     F.expr("timestampadd(DAY, CAST((order_id + 13 * product_id) % 31 AS INT), order_date)")

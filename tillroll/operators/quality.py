@@ -6,13 +6,14 @@ over the bound tables. Each audit is one aggregate per table, unioned.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.common import count_if, dollars, rnd
-from tillroll.functions.sqltext import R, oracle
+from tillroll.functions.sqltext import R, TS_AGO, oracle
 from tillroll.registry import query
 from tillroll.sources.bind import Tables
 
@@ -248,26 +249,46 @@ def dq_length_precision(t: Tables) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Column defaults of the reference schema (CURRENT_TIMESTAMP
-# defaults take the load time and are applied by ``apply_defaults`` only).
+# Column defaults of the source schema; LOAD_TIME stands for the time of the load.
+LOAD_TIME = "load time"
 DEFAULTS = {
-    "products": {"is_active": True},
-    "inventory": {"reorder_level": 50},
+    "categories": {"created_at": LOAD_TIME},
+    "products": {"created_at": LOAD_TIME, "is_active": True},
+    "inventory": {"reorder_level": 50, "updated_at": LOAD_TIME},
     "customers": {"is_active": True},
     "orders": {"discount_amount": 0, "shipping_cost": 0, "tax_amount": 0},
     "order_items": {"discount": 0},
-    "reviews": {"is_verified_purchase": True},
+    "reviews": {"review_date": LOAD_TIME, "is_verified_purchase": True},
 }
 
 
-def apply_defaults(df: DataFrame, table: str) -> DataFrame:
-    """Fill NULLs with the declared column defaults (typed like the column)."""
-    cols = []
-    for f in df.schema.fields:
-        d = DEFAULTS.get(table, {}).get(f.name)
-        cols.append(F.coalesce(F.col(f.name), F.lit(d).cast(f.dataType)).alias(f.name)
-                    if d is not None else F.col(f.name))
-    return df.select(*cols)
+def apply_defaults(df: DataFrame, table: str, loaded_at: dt.datetime | None = None) -> DataFrame:
+    """Fill NULLs with the declared column defaults (typed like the column);
+    a column with a default that ``df`` lacks is added. ``loaded_at`` is the
+    time of the load (now, if not given)."""
+    now = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp_ntz")
+    given = {k: now if v is LOAD_TIME else F.lit(v) for k, v in DEFAULTS.get(table, {}).items()}
+    cols = [F.coalesce(F.col(f.name), given[f.name].cast(f.dataType)).alias(f.name) if f.name in given else F.col(f.name)
+            for f in df.schema.fields]
+    return df.select(*cols, *[v.alias(k) for k, v in given.items() if k not in df.columns])
+
+
+@query("defaults_filled", oracle(f"""
+SELECT order_id, CASE WHEN order_id % 2 = 0 THEN 0e0 ELSE CAST(discount_amount AS DOUBLE) END AS discount_amount,
+       CASE WHEN order_id % 3 = 0 THEN 0e0 ELSE CAST(shipping_cost AS DOUBLE) END AS shipping_cost,
+       CASE WHEN order_id % 5 = 0 THEN 0e0 ELSE CAST(tax_amount AS DOUBLE) END AS tax_amount,
+       {TS_AGO(0)} AS review_date, TRUE AS is_verified_purchase
+FROM b_orders"""))
+def defaults_filled(t: Tables) -> DataFrame:
+    """Defaults at work: orders staged with gaps in their amounts, reviewed
+    without a date or a verified flag."""
+    def gap(c: str, every: int) -> F.Column:
+        return F.when(F.col("order_id") % every != 0, F.col(c)).alias(c)
+
+    staged = t.orders.select("order_id", gap("discount_amount", 2), gap("shipping_cost", 3), gap("tax_amount", 5))
+    whole = apply_defaults(apply_defaults(staged, "orders"), "reviews", dt.datetime.combine(t.as_of, dt.time()))
+    money = ("discount_amount", "shipping_cost", "tax_amount")
+    return whole.select("order_id", *[F.col(c).cast("double").alias(c) for c in money], "review_date", "is_verified_purchase")
 
 
 @query("orders_with_defaults", oracle("""
@@ -312,3 +333,17 @@ def order_total_reconcile(t: Tables) -> DataFrame:
             .select("order_id", total.alias("total_amount"), s.alias("items_subtotal"),
                     exp_total.alias("expected_total"), exp_tax.alias("expected_tax"),
                     tax.alias("tax_amount")))
+
+
+# --------------------------------------------------------------------------
+@query("line_subtotal_reconcile", oracle("""
+SELECT order_id, line_number, product_id, CAST(subtotal AS DOUBLE) AS subtotal, CAST(due AS DOUBLE) AS expected_subtotal
+FROM (SELECT *, CAST(unit_price * CAST(quantity AS DECIMAL(9, 0)) AS DECIMAL(18, 4)) - CAST(discount AS DECIMAL(18, 4)) AS due
+      FROM b_items) WHERE subtotal <> due"""))
+def line_subtotal_reconcile(t: Tables) -> DataFrame:
+    """Lines breaking the rule subtotal = price x quantity - discount (a unit
+    price is kept to the cent, so most lines of several units do)."""
+    expected = F.col("unit_price_cents") * 100 * F.col("quantity") - F.col("discount_e4")
+    return (t.items.where(F.col("subtotal_e4") != expected)
+            .select("order_id", "line_number", "product_id", dollars("subtotal_e4", 4).alias("subtotal"),
+                    dollars(expected, 4).alias("expected_subtotal")))

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from tillroll.functions.common import dollars, ratio, rnd
 from tillroll.functions.sqltext import MEAN, R, TS_AGO, oracle
 from tillroll.plans.views import mv_category_performance, mv_monthly_revenue
-from tillroll.registry import query
+from tillroll.registry import ORACLE, query
+from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources.bind import Tables
 
 MATERIALIZED = {
@@ -29,14 +30,14 @@ MATERIALIZED = {
 }
 
 
-def _fs(spark: SparkSession, path: str):
+def fs_of(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def _versions(spark: SparkSession, base: str, name: str) -> list[str]:
-    fs, root = _fs(spark, f"{base.rstrip('/')}/{name}")
+    fs, root = fs_of(spark, f"{base.rstrip('/')}/{name}")
     if not fs.exists(root):
         return []
     out = []
@@ -60,7 +61,7 @@ def publish(df: DataFrame, base: str, name: str, version: str | None = None, kee
     version = version or _new_version()
     df.write.mode("errorifexists").parquet(f"{base.rstrip('/')}/{name}/v={version}")
     for old in _versions(df.sparkSession, base, name)[:-keep]:
-        fs, p = _fs(df.sparkSession, f"{base.rstrip('/')}/{name}/v={old}")
+        fs, p = fs_of(df.sparkSession, f"{base.rstrip('/')}/{name}/v={old}")
         fs.delete(p, True)
     return version
 
@@ -77,18 +78,66 @@ def refresh_materialized(t: Tables, base: str, keep: int = 2) -> dict[str, str]:
 
 
 def read_latest(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """The newest committed version of a published table."""
-    return read_materialized(spark, base, name)
-
-
-def read_materialized(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """The newest committed version of a materialized view."""
+    """The newest committed version of a published table or materialized view."""
     versions = _versions(spark, base, name)
     if not versions:
         raise FileNotFoundError(f"no committed version of {name} under {base}")
     return spark.read.parquet(f"{base.rstrip('/')}/{name}/v={versions[-1]}")
 
 
+def append(df: DataFrame, base: str, name: str) -> str:
+    """Add ``df`` to the table ``base/<name>`` as one batch of its own (INSERT).
+
+    Earlier batches are not rewritten; the new one is seen once its
+    ``_SUCCESS`` marker is there. Returns the batch's name.
+    """
+    batch = _new_version()
+    df.write.mode("errorifexists").parquet(f"{base.rstrip('/')}/{name}/v={batch}")
+    return batch
+
+
+def read_appended(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Rows of all committed batches of an appended table."""
+    batches = _versions(spark, base, name)
+    if not batches:
+        raise FileNotFoundError(f"no committed batch of {name} under {base}")
+    return spark.read.parquet(*[f"{base.rstrip('/')}/{name}/v={b}" for b in batches])
+
+
+def _scratch(t: Tables) -> str:
+    """A folder of this call below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/jobs-{uuid.uuid4().hex}"
+
+
+@query("stored_monthly_revenue", ORACLE["mv_monthly_revenue"])
+def stored_monthly_revenue(t: Tables, base: str | None = None) -> DataFrame:
+    """The monthly view as read back after a refresh."""
+    base = base or _scratch(t)
+    refresh_materialized(t, base)
+    return read_latest(t.spark, base, "mv_monthly_revenue")
+
+
+@query("stored_category_performance", ORACLE["mv_category_performance"])
+def stored_category_performance(t: Tables, base: str | None = None) -> DataFrame:
+    """The category view as read back after a refresh."""
+    base = base or _scratch(t)
+    refresh_materialized(t, base)
+    return read_latest(t.spark, base, "mv_category_performance")
+
+
+@query("appended_orders", oracle("""
+SELECT order_status, COUNT(*) AS orders, CAST(SUM(total_amount) AS DOUBLE) AS revenue FROM b_orders GROUP BY order_status"""))
+def appended_orders(t: Tables, base: str | None = None) -> DataFrame:
+    """Orders inserted status by status into one table, then counted there."""
+    base = base or _scratch(t)
+    o = t.orders.select("order_id", "order_status", "total_cents")
+    for status in ("Delivered", "Pending"):
+        append(o.where(F.col("order_status") == status), base, "orders")
+    append(o.where(~F.col("order_status").isin("Delivered", "Pending") | F.col("order_status").isNull()), base, "orders")
+    return (read_appended(t.spark, base, "orders").groupBy("order_status")
+            .agg(F.count(F.lit(1)).alias("orders"), dollars(F.sum("total_cents")).alias("revenue")))
+
+
 # --------------------------------------------------------------------------
 @query("update_segments", oracle("""
 SELECT c.customer_id, c.customer_segment AS previous_segment,
@@ -167,7 +216,7 @@ def business_metrics(t: Tables) -> DataFrame:
         dollars(F.sum("total_cents")).alias("rev"), F.count(F.lit(1)).alias("n"),
         F.countDistinct(F.when(recent, F.col("customer_id"))).alias("active"),
         rnd(ratio(dollars(F.sum("total_cents")), F.count("total_cents"))).alias("aov"))
-    p = t.products.where(F.col("is_active") == F.lit(True)).agg(
+    p = t.products_named.where(F.col("is_active") == F.lit(True)).agg(
         F.lit("Total Products").alias("metric_name"), F.count(F.lit(1)).cast("string").alias("metric_value"))
     money = lambda c: F.concat(F.lit("$"), F.format_number(F.col(c), 2))
     rows = (("Total Revenue", money("rev")), ("Total Orders", F.col("n").cast("string")),
@@ -180,7 +229,7 @@ def business_metrics(t: Tables) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-_COUNTED = (("Categories", "categories", "b_categories"), ("Products", "products", "b_products"),
+_COUNTED = (("Categories", "categories", "b_categories"), ("Products", "product_names", "b_products"),
             ("Customers", "customers", "b_customers"), ("Orders", "orders", "b_orders"),
             ("Order Items", "items", "b_items"), ("Reviews", "reviews", "b_reviews"),
             ("Marketing Campaigns", "campaigns", "b_campaigns"))

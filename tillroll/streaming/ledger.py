@@ -5,24 +5,32 @@ re-expressed as set operations.
 * Batch: stock minus the units of all items, per product. Order independent,
   so one aggregation replaces one UPDATE per inserted row.
 * Stream: item files arrive in a directory; each micro-batch is reduced to
-  units per product and written as its own ``batch_id=<n>`` partition of a
-  delta ledger. Re-running a batch (after a failure, or a replay from the
-  checkpoint) overwrites the same partition with the same rows, so the
-  ledger is idempotent; current stock is base stock minus the summed deltas.
-  Only the small per-batch aggregate is written, never the whole stock table.
+  units per product and written as its own folder of a delta ledger, named
+  by the stream (the id kept in its checkpoint) and the batch. Re-running a
+  batch (after a failure, or a replay from the checkpoint) overwrites the
+  same folder with the same rows, and another stream has folders of its own,
+  so the ledger is idempotent; current stock is base stock minus the summed
+  deltas. Only the small per-batch aggregate is written, never the whole
+  stock table. ``compact_ledger`` folds finished batches into one table.
   Late rows are counted like any other row: nothing is dropped by a
   watermark, because a decrement has no window to close.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.functions.sqltext import oracle
-from tillroll.registry import query
+from tillroll.plans.jobs import fs_of
+from tillroll.plans.views import v_daily_dashboard_sql
+from tillroll.registry import ORACLE, query
+from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources.bind import Tables
 
 ITEM_STREAM_SCHEMA = T.StructType([
@@ -59,10 +67,16 @@ def inventory_ledger(t: Tables) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-def _write_delta(ledger_dir: str):
+def _batch_dir(batch: DataFrame, base: str, batch_id: int) -> str:
+    """Folder of one micro-batch: the stream's id outlives restarts, and a new checkpoint is a new stream."""
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{base.rstrip('/')}/stream={stream}/batch_id={batch_id}"
+
+
+def _write_delta(ledger_dir: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.groupBy("product_id").agg(F.sum("quantity").alias("units"))
-         .write.mode("overwrite").parquet(f"{ledger_dir.rstrip('/')}/batch_id={batch_id}"))
+        (batch.groupBy("product_id").agg(F.sum("quantity").alias("units"), F.current_timestamp().alias("updated_at"))
+         .write.mode("overwrite").parquet(_batch_dir(batch, ledger_dir, batch_id)))
     return write
 
 
@@ -82,11 +96,82 @@ def start_ledger_stream(spark: SparkSession, items_dir: str, ledger_dir: str, ch
     return w.start()
 
 
+_DELTA = "product_id BIGINT, units BIGINT, updated_at TIMESTAMP"
+
+
+def _committed(spark: SparkSession, folder: str) -> list[str]:
+    """Sub-folders of ``folder`` with a ``_SUCCESS`` marker, by name."""
+    fs, root = fs_of(spark, folder)
+    if not fs.exists(root):
+        return []
+    found = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
+    return sorted(p.toString() for p in found if fs.exists(p.suffix("/_SUCCESS")))
+
+
+def _batches(spark: SparkSession, base: str) -> list[str]:
+    fs, root = fs_of(spark, base)
+    streams = [s.getPath().toString() for s in fs.listStatus(root)
+               if s.isDirectory() and s.getPath().getName().startswith("stream=")] if fs.exists(root) else []
+    return [b for s in sorted(streams) for b in _committed(spark, s)]
+
+
+def _deltas(spark: SparkSession, base: str) -> tuple[list[str], list[str], list[str]]:
+    """(folders to read, batches in them one by one, batches folded into the newest compaction)."""
+    done = _committed(spark, f"{base.rstrip('/')}/compacted")
+    covered = [r.batch for r in spark.read.schema("batch STRING").json(f"{done[-1]}/covers").collect()] if done else []
+    loose = [b for b in _batches(spark, base) if b not in set(covered)]
+    return ([f"{done[-1]}/units"] if done else []) + loose, loose, covered
+
+
+def ledger_units(spark: SparkSession, ledger_dir: str) -> DataFrame:
+    """Units ordered per product by every committed batch, and when the last of them was booked."""
+    folders, _, _ = _deltas(spark, ledger_dir)
+    rows = spark.read.schema(_DELTA).parquet(*folders) if folders else spark.createDataFrame([], _DELTA)
+    return rows.groupBy("product_id").agg(F.sum("units").alias("units"), F.max("updated_at").alias("updated_at"))
+
+
+def compact_ledger(spark: SparkSession, ledger_dir: str) -> int:
+    """Fold all committed batches into one table; returns how many were folded.
+
+    The new table and the list of batches it covers become visible together
+    with its marker; only then are those batches removed, and a reader skips
+    covered ones, so that a job that dies in between changes nothing.
+    """
+    _, loose, covered = _deltas(spark, ledger_dir)
+    if not loose:
+        return 0
+    done = _committed(spark, f"{ledger_dir.rstrip('/')}/compacted")
+    target = f"{ledger_dir.rstrip('/')}/compacted/{len(done):06d}-{uuid.uuid4().hex}"
+    ledger_units(spark, ledger_dir).write.parquet(f"{target}/units")
+    # one short row per batch
+    spark.createDataFrame([(b,) for b in [*covered, *loose]], "batch STRING").coalesce(1).write.json(f"{target}/covers")
+    fs, marker = fs_of(spark, f"{target}/_SUCCESS")
+    fs.create(marker).close()
+    for b in loose:
+        fs.delete(fs_of(spark, b)[1], True)
+    return len(loose)
+
+
 def current_stock(inventory: DataFrame, spark: SparkSession, ledger_dir: str) -> DataFrame:
-    """Base stock minus every committed ledger delta."""
-    deltas = (spark.read.schema("product_id BIGINT, units BIGINT, batch_id BIGINT").parquet(ledger_dir)
-              .groupBy("product_id").agg(F.sum("units").alias("units")))
-    return apply_decrements(inventory, deltas)
+    """Base stock minus every committed ledger delta, with the time of the
+    last booking (NULL for a product nobody ordered)."""
+    units = ledger_units(spark, ledger_dir)
+    return apply_decrements(inventory, units.drop("updated_at")).join(units.select("product_id", "updated_at"), "product_id", "left")
+
+
+@query("ledger_stream", ORACLE["inventory_ledger"])
+def ledger_stream(t: Tables, parts: int = 3) -> DataFrame:
+    """The streaming ledger over the items as they arrive in ``parts`` files,
+    compacted after the first run."""
+    base = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+    items = t.items.select("order_id", "product_id", "line_number", "quantity")
+    for k in range(parts):
+        items.where(F.pmod("order_id", F.lit(parts)) == k).write.mode("append").parquet(f"{base}/items")
+        start_ledger_stream(t.spark, f"{base}/items", f"{base}/ledger", f"{base}/checkpoint").awaitTermination()
+        if k == 0:
+            compact_ledger(t.spark, f"{base}/ledger")
+    return current_stock(t.inventory, t.spark, f"{base}/ledger").drop("updated_at").select(
+        "inventory_id", "product_id", "warehouse_location", "quantity_before", "units_ordered", "quantity_available")
 
 
 def touch_updated_at(orders: DataFrame) -> DataFrame:
@@ -109,55 +194,57 @@ ORDER_STREAM_SCHEMA = T.StructType([
 ])
 
 
-def start_dashboard_stream(spark: SparkSession, orders_dir: str, sink_dir: str, checkpoint_dir: str,
-                           lateness: str = "1 day") -> list[StreamingQuery]:
+def _write_days(sink_dir: str) -> Callable[[DataFrame, int], None]:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        st = F.col("order_status")
+        day = F.to_date("order_date").alias("sale_date")
+        # one row per day and customer: days add up, customers are counted when read
+        (batch.groupBy(day, "customer_id")
+         .agg(F.count("order_id").alias("total_orders"), F.sum("total_amount").alias("revenue_dec"),
+              F.count("total_amount").alias("n_amount"), F.sum("discount_amount").alias("discounts_dec"),
+              F.sum("shipping_cost").alias("shipping_dec"), F.count(F.when(st == "Delivered", 1)).alias("delivered_orders"),
+              F.count(F.when(st == "Cancelled", 1)).alias("cancelled_orders"))
+         .write.mode("overwrite").parquet(_batch_dir(batch, sink_dir, batch_id)))
+    return write
+
+
+def start_dashboard_stream(spark: SparkSession, orders_dir: str, sink_dir: str, checkpoint_dir: str) -> StreamingQuery:
     """Daily dashboard over an order stream (event time = order_date).
 
-    Two append-mode queries with the same watermark: additive daily figures
-    from a tumbling window, and exact distinct customers per day from a
-    watermarked de-duplication of (day, customer) followed by a count. A day
-    is emitted once the watermark passes its end; rows later than
-    ``lateness`` are those Spark's watermark excludes.
+    Every micro-batch is reduced to one row per (day, customer) and written as
+    its own folder, overwritten if the batch is replayed. Days stay open:
+    nothing waits for a watermark, so every day shows at once and a row that
+    arrives late is counted in its day like any other.
     """
-    # watermarks need a zoned timestamp: the wall-clock order_date read in
-    # the session zone, so days stay calendar days of the data
-    src = (spark.readStream.schema(ORDER_STREAM_SCHEMA).parquet(orders_dir)
-           .withColumn("event_time", F.col("order_date").cast("timestamp"))
-           .withWatermark("event_time", lateness))
-    st = F.col("order_status")
-    figures = (src.groupBy(F.window("event_time", "1 day").alias("w"))
-               .agg(F.count("order_id").alias("total_orders"),
-                    F.sum("total_amount").alias("revenue_dec"),
-                    F.count("total_amount").alias("n_amount"),
-                    F.sum("discount_amount").alias("discounts_dec"),
-                    F.sum("shipping_cost").alias("shipping_dec"),
-                    F.count(F.when(st == "Delivered", 1)).alias("delivered_orders"),
-                    F.count(F.when(st == "Cancelled", 1)).alias("cancelled_orders"))
-               .select(F.to_date(F.col("w.start")).alias("sale_date"), "*").drop("w"))
-    customers = (src.withColumn("day_start", F.window("event_time", "1 day").start)
-                 # state per (day, customer) expires with the watermark
-                 .dropDuplicatesWithinWatermark(["day_start", "customer_id"])
-                 .groupBy(F.window("event_time", "1 day").alias("w"))
-                 .agg(F.count("customer_id").alias("unique_customers"))
-                 .select(F.to_date(F.col("w.start")).alias("sale_date"), "unique_customers"))
-    out = []
-    for name, df in (("figures", figures), ("customers", customers)):
-        out.append(df.writeStream.outputMode("append").format("parquet")
-                   .option("path", f"{sink_dir.rstrip('/')}/{name}")
-                   .option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}/{name}")
-                   .trigger(availableNow=True).start())
-    return out
+    src = spark.readStream.schema(ORDER_STREAM_SCHEMA).parquet(orders_dir)
+    return (src.writeStream.foreachBatch(_write_days(sink_dir)).option("checkpointLocation", checkpoint_dir)
+            .trigger(availableNow=True).start())
 
 
 def read_dashboard_stream(spark: SparkSession, sink_dir: str) -> DataFrame:
-    """Join the two sinks into the dashboard's columns."""
+    """The dashboard of all days seen so far."""
     from tillroll.functions.common import ratio, rnd
-    f = spark.read.parquet(f"{sink_dir.rstrip('/')}/figures")
-    c = spark.read.parquet(f"{sink_dir.rstrip('/')}/customers")
-    return f.join(c, "sale_date", "left").select(
-        "sale_date", "total_orders", F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
+    rows = spark.read.parquet(*_batches(spark, sink_dir))
+    sums = ("total_orders", "revenue_dec", "n_amount", "discounts_dec", "shipping_dec", "delivered_orders", "cancelled_orders")
+    # a customer's batches of one day first, so that customers are then plain rows
+    per = rows.groupBy("sale_date", "customer_id").agg(*[F.sum(c).alias(c) for c in sums])
+    days = per.groupBy("sale_date").agg(F.count("customer_id").alias("unique_customers"), *[F.sum(c).alias(c) for c in sums])
+    return days.select(
+        "sale_date", F.col("total_orders").cast("bigint").alias("total_orders"), "unique_customers",
         F.col("revenue_dec").cast("double").alias("revenue"),
         rnd(ratio("revenue_dec", "n_amount")).alias("avg_order_value"),
         F.col("discounts_dec").cast("double").alias("total_discounts"),
         F.col("shipping_dec").cast("double").alias("total_shipping"),
-        "delivered_orders", "cancelled_orders")
+        F.col("delivered_orders").cast("bigint").alias("delivered_orders"),
+        F.col("cancelled_orders").cast("bigint").alias("cancelled_orders"))
+
+
+@query("dashboard_stream", v_daily_dashboard_sql(36500))
+def dashboard_stream(t: Tables) -> DataFrame:
+    """The streamed dashboard over all orders, the older half arriving last."""
+    base = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/dashboard-{uuid.uuid4().hex}"
+    o = t.orders.select(*ORDER_STREAM_SCHEMA.names)
+    for late in (False, True):
+        o.where((F.year("order_date") < 1998) == late).write.mode("append").parquet(f"{base}/orders")
+        start_dashboard_stream(t.spark, f"{base}/orders", f"{base}/days", f"{base}/checkpoint").awaitTermination()
+    return read_dashboard_stream(t.spark, f"{base}/days")
