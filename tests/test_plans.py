@@ -52,3 +52,11 @@ def test_month_of_a_view_reaches_the_orders_scan(spark):
                                          ("recommend_products_for", "EqualTo(l_partkey,11)")])
 def test_key_of_a_single_call_reaches_the_scan(spark, name, pushed):
     assert pushed in _plan(spark, name)
+
+
+@pytest.mark.parametrize("name,table,scans", [("churn_risk", "orders", 1), ("best_sellers", "lineitem", 1),
+                                              ("order_total_reconcile", "lineitem", 1)])
+def test_facts_are_read_no_more_than_needed(spark, name, table, scans):
+    plan = registry.QUERIES[name](Tables(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    first = {"orders": "o_orderkey", "lineitem": "l_orderkey"}[table]
+    assert len(re.findall(rf"Relation \[{first}#", plan)) <= scans, plan

@@ -290,22 +290,23 @@ def churn_risk(t: Tables) -> DataFrame:
     The window runs over one row per (customer, active day) — bounded by the
     calendar, not by how many orders one customer places.
     """
-    v = t.valid_orders.where(F.col("customer_id").isNotNull())
-    per_day = (v.groupBy("customer_id", F.to_date("order_date").alias("_day"))
-               .agg(F.count(F.lit(1)).alias("_n"), F.min("order_date").alias("_first"),
-                    F.max("order_date").alias("_last"), F.sum("total_cents").alias("_s"),
-                    F.count("total_cents").alias("_ns")))
-    w = Window.partitionBy("customer_id").orderBy("_day")
-    gaps = per_day.withColumn("_gap", whole_days(F.col("_first"), F.lag("_last").over(w)))
+    # one pass over all orders: kept ones make the figures, any order the last date
+    ok = F.col("order_status") != "Cancelled"
+    kept = lambda c: F.when(ok, F.col(c))
+    per_day = (t.orders.where(F.col("customer_id").isNotNull())
+               .groupBy("customer_id", F.to_date("order_date").alias("_day"))
+               .agg(F.count(F.when(ok, F.lit(1))).alias("_n"), F.min(kept("order_date")).alias("_first"),
+                    F.max(kept("order_date")).alias("_last"), F.sum(kept("total_cents")).alias("_s"),
+                    F.count(kept("total_cents")).alias("_ns"), F.max("order_date").alias("_any")))
+    earlier = Window.partitionBy("customer_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    gaps = per_day.withColumn("_gap", whole_days(F.col("_first"), F.last("_last", ignorenulls=True).over(earlier)))
     per = (gaps.groupBy("customer_id")
            # a customer whose orders all share one day has only zero gaps
            .agg(F.sum("_n").alias("total_orders"), F.coalesce(F.sum("_gap"), F.lit(0)).alias("_gsum"),
                 F.sum("_s").alias("_spend"), F.sum("_ns").alias("_nspend"),
-                F.max("_last").alias("_lastv"))
+                F.max("_last").alias("_lastv"), F.max("_any").alias("_last_any"))
            .where(F.col("total_orders") >= 2))
-    last_any = t.orders.groupBy("customer_id").agg(F.max("order_date").alias("_last_any"))
-    j = (per.join(t.customers.select("customer_id", "first_name", "last_name"), "customer_id")
-         .join(last_any, "customer_id"))
+    j = per.join(t.customers.select("customer_id", "first_name", "last_name"), "customer_id")
     avg_gap = rnd(F.col("_gsum").cast("double") / (F.col("total_orders") - 1), 1)
     days = whole_days(t.ts_days_ago(0), F.col("_lastv"))
     micros = rnd(avg_gap * 86400000000.0, 0).cast("bigint")

@@ -109,16 +109,25 @@ WHERE c.{col} IS NOT NULL"""
 
 @query("dq_foreign_key", _sql_union([_fk_sql(*fk) for fk in FOREIGN_KEYS]))
 def dq_foreign_key(t: Tables) -> DataFrame:
-    """Child rows whose non-null key has no parent (a left join against the
-    parent's distinct keys; orphans are the unmatched rows)."""
-    parts = []
+    """Child rows whose non-null key has no parent. One pass over each child
+    table: it is left-joined to the distinct keys of all its parents (which
+    multiplies no row) and every constraint is counted in one aggregate."""
+    by_child: dict[str, list[tuple[str, str, str]]] = {}
     for child, col, parent, pcol in FOREIGN_KEYS:
-        keys = _df(t, parent).select(F.col(pcol).alias("_pk")).distinct().withColumn("_hit", F.lit(True))
-        c = (_df(t, child).select(col).where(F.col(col).isNotNull())
-             .join(keys, F.col(col) == F.col("_pk"), "left"))
-        parts.append(c.agg(F.lit(f"{child}.{col} -> {parent}.{pcol}").alias("constraint_name"),
-                           F.count(F.lit(1)).alias("checked_rows"),
-                           count_if(F.col("_hit").isNull()).alias("orphan_rows")))
+        by_child.setdefault(child, []).append((col, parent, pcol))
+    parts = []
+    for child, rules in by_child.items():
+        j = _df(t, child).select(*dict.fromkeys(col for col, _, _ in rules))
+        for i, (col, parent, pcol) in enumerate(rules):
+            keys = _df(t, parent).select(F.col(pcol).alias(f"_k{i}")).distinct()
+            j = j.join(keys, F.col(col) == F.col(f"_k{i}"), "left")
+        agg = j.agg(*[F.count(col).alias(f"_n{i}") for i, (col, _, _) in enumerate(rules)],
+                    *[count_if(F.col(col).isNotNull() & F.col(f"_k{i}").isNull()).alias(f"_o{i}")
+                      for i, (col, _, _) in enumerate(rules)])
+        parts.append(agg.select(F.explode(F.array(*[
+            F.struct(F.lit(f"{child}.{col} -> {parent}.{pcol}").alias("constraint_name"),
+                     F.col(f"_n{i}").alias("checked_rows"), F.col(f"_o{i}").alias("orphan_rows"))
+            for i, (col, parent, pcol) in enumerate(rules)])).alias("x")).select("x.*"))
     return _union(parts)
 
 
