@@ -26,7 +26,7 @@ from tillroll.llm.textarrays import chunks, expand, mix, span_hashes
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Distinct pre-tokens whose ids a Python worker keeps between chunks; the store is emptied when full.
-KEPT = 400_000
+KEPT = 200_000
 
 
 class PerfectHash:

@@ -16,7 +16,7 @@ from tillroll.llm.textarrays import span_hashes
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 #: Larger chunks than elsewhere: the distinct pre-tokens of a chunk are looked up once.
-TOKEN_CHUNK_BYTES = 1 << 21
+TOKEN_CHUNK_BYTES = 1 << 20
 _classes: np.ndarray | None = None
 
 
