@@ -62,7 +62,7 @@ class Tokens:
         for k in BEGINNINGS if n else ():  # shorter words have none: their unit is 0
             units.append(np.where(end - start > k, mix(span_hashes(low, start, np.minimum(start + k, end)) + np.uint64(k)), 0))
         self.units = np.stack(units) if n else np.zeros((1 + len(BEGINNINGS), 0), np.uint64)
-        self.buckets = (self.units >> np.uint64(46)).astype(np.int64)
+        self.buckets = (self.units >> np.uint64(46)).astype(np.int32)
         self.bucket = self.buckets[0]
         upper = np.append(0, np.cumsum((buf >= 0x41) & (buf <= 0x5A)))
         size = end - start
@@ -187,7 +187,12 @@ def train_chain(t: Tokens, y: np.ndarray, epochs: int = 20, rate: float = 0.3, d
         share = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5
         chain.link[0] = np.log(share / (1 - share))
         return chain
-    tag = np.isin(t.units, toxic_units(t, y)).any(axis=0) & (y[t.doc] == 1)
+    bad = toxic_units(t, y)
+    tag = np.zeros(len(t.doc), bool)
+    for unit in t.units:
+        tag |= np.isin(unit, bad)
+    tag &= y[t.doc] == 1
+    t.units = t.units[:, :0]  # the fit needs the buckets only
     inner = np.ones(len(tag), bool)
     inner[t.begin] = False
     at = np.flatnonzero(inner)
@@ -199,7 +204,7 @@ def train_chain(t: Tokens, y: np.ndarray, epochs: int = 20, rate: float = 0.3, d
     for step in range(1, epochs + 1):
         p, moves = _both_ways(chain.emissions(t), chain.move, t.begin, t.length)
         gap = p - tag
-        grads = [np.bincount(t.buckets.ravel(), np.tile(gap, len(t.buckets)), BUCKETS), np.bincount(t.bucket[at - 1], gap[at], BUCKETS),
+        grads = [sum(np.bincount(b, gap, BUCKETS) for b in t.buckets), np.bincount(t.bucket[at - 1], gap[at], BUCKETS),
                  np.bincount(t.bucket[at], gap[at - 1], BUCKETS), np.bincount(t.shape, gap, SHAPES), moves - truth]
         for q, g, (a, b) in zip(params, grads, state, strict=True):
             g = g / scale + decay * q * (q is not chain.shape)
