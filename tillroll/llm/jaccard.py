@@ -113,11 +113,12 @@ def least_shared(n, sketch: int | None):
 def meetings(sets: DataFrame, sketch: int | None) -> DataFrame:
     """(set, token): the hashes on which sets that may be linked meet.
 
-    Document frequencies come from one partial aggregation; the join back is
-    an equi-join whose hot side adaptive execution splits.
+    Document frequencies come from one partial aggregation. They are a written
+    table, so that the join back shuffles both of its sides itself and
+    adaptive execution can split a hash that very many sets have.
     """
     tokens = sets.select("set", "sketch").mapInArrow(_unpack, "set bigint, token bigint")
-    often = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    often = written(tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"), "jaccard-frequencies")
     shared = tokens.join(often, "token")
     each = (shared.groupBy("set").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
             .join(sets.select("set", "n"), "set"))
@@ -131,7 +132,8 @@ def meetings(sets: DataFrame, sketch: int | None) -> DataFrame:
 def blocks(sets: DataFrame, sketch: int | None) -> DataFrame:
     """(node, root): sets connected through shared meeting hashes (sets without a meeting are left out)."""
     met = written(meetings(sets, sketch), "jaccard-meetings")
-    lead = met.groupBy("token").agg(F.min("set").alias("lead"), F.max("set").alias("last")).filter("lead <> last")
+    lead = written(met.groupBy("token").agg(F.min("set").alias("lead"), F.max("set").alias("last")).filter("lead <> last"),
+                   "jaccard-leads")
     edges = met.join(lead.select("token", "lead"), "token").filter("set <> lead").select("set", "lead").distinct()
     return components(edges, "set", "lead", "jaccard-blocks")
 
@@ -321,7 +323,7 @@ def links(docs: DataFrame, sets: DataFrame, key: str = "doc_id", text: str = "te
              .join(rep, F.col("key").eqNullSafe(F.col("__key")) & (F.col("mark") == F.col("__mark")))
              .select("block", "set", "n", "text"))
     full = written(texts.mapInArrow(_tokens(width), "block bigint, set bigint, n bigint, tokens binary"), "jaccard-tokens")
-    total = full.groupBy("block").agg(F.sum("n").alias("tokens"), F.count("*").alias("sets"))
+    total = written(full.groupBy("block").agg(F.sum("n").alias("tokens"), F.count("*").alias("sets")), "jaccard-blocks")
     many = F.ceil(F.col("tokens") / chunk_tokens).cast("int")
     part = F.pmod(F.xxhash64("set", F.lit(1)), F.col("k")).cast("int")
     sized = full.join(total.select("block", many.alias("k"), F.col("sets").alias("block_sets")), "block").withColumn("part", part)
@@ -336,11 +338,11 @@ def links(docs: DataFrame, sets: DataFrame, key: str = "doc_id", text: str = "te
     root = components(first, name="jaccard-first")
     wide = written(sized.filter("k > 1").join(root, sized["set"] == root["node"], "left")
                    .select("block", "set", "n", "tokens", "k", "part", F.coalesce("root", "set").alias("label")), "jaccard-large")
-    main = (wide.groupBy("block", "label").agg(F.count("*").alias("c"))
-            .groupBy("block").agg(F.max_by("label", F.struct("c", "label")).alias("main")))
+    main = written(wide.groupBy("block", "label").agg(F.count("*").alias("c"))
+                   .groupBy("block").agg(F.max_by("label", F.struct("c", "label")).alias("main")), "jaccard-main")
     marked = wide.join(main, "block")
     out = marked.filter("label <> main")
-    slots = out.groupBy("block").agg(F.ceil(F.sum("n") / chunk_tokens).cast("int").alias("j"))
+    slots = written(out.groupBy("block").agg(F.ceil(F.sum("n") / chunk_tokens).cast("int").alias("j")), "jaccard-slots")
     members = marked.join(slots, "block").select(
         "block", "part", F.explode(F.sequence(F.lit(0), F.col("j") - 1)).alias("slot"), "set", "n", "tokens", "label",
         F.lit(False).alias("probe"))
@@ -376,7 +378,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     root = written(components(links(docs, sets, key, text, width, sketch, chunk_tokens), name="jaccard-final"), "jaccard-roots")
     rooted = sets.join(root, sets["set"] == root["node"], "left").select("set", "key", F.coalesce("root", "set").alias("root"))
     # most sets are alone: only those with a link look for their component's smallest key
-    least = root.join(sets, root["node"] == sets["set"]).groupBy("root").agg(F.min("key").alias("component"))
+    least = written(root.join(sets, root["node"] == sets["set"]).groupBy("root").agg(F.min("key").alias("component")),
+                    "jaccard-least")
     named = (rooted.join(least, "root", "left")
              .select(F.col("set").alias("__set"), F.when(F.col("component").isNotNull(), F.col("component"))
                      .otherwise(F.col("key")).alias("component")))

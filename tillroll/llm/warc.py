@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm.storage import written
+
 ROLL_BYTES = 8 << 20
 #: Rows of an Arrow batch that become Python objects at once.
 SLICE = 128
@@ -130,8 +132,9 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url",
              .filter(F.col("n") >= least_bytes))
     # copies: every distinct (key, payload) that is not its payload's smallest key, and how often the smallest occurs
     keyed = light.groupBy("d", "k").agg(F.count("*").alias("c"))
-    first = keyed.groupBy("d").agg(F.min(F.struct(F.col("k").isNotNull().alias("t"), F.col("k"))).getField("k").alias("f"),
-                                   F.sum("c").alias("c")).filter("c > 1").drop("c")
+    # (a written table, so that the join shuffles both sides and a payload of very many pages can be split)
+    first = written(keyed.groupBy("d").agg(F.min(F.struct(F.col("k").isNotNull().alias("t"), F.col("k"))).getField("k").alias("f"),
+                                           F.sum("c").alias("c")).filter("c > 1").drop("c"), "warc-copies")
     marks = (keyed.join(first, "d")
              .select("k", F.lit(None).cast("string").alias("u"), F.lit(None).cast("binary").alias("p"), "d",
                      F.coalesce(F.col("f").cast("string"), F.lit("")).alias("f"), F.col("k").eqNullSafe(F.col("f")).alias("own")))
