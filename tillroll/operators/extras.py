@@ -93,7 +93,7 @@ def attribution_last_touch(t: Tables) -> DataFrame:
 
 @query("attribution_linear", oracle(f"""
 SELECT mc.campaign_id, mc.campaign_name, COUNT(*) AS customers,
-       {R('SUM(CAST(s.spend AS DOUBLE) * pc.n / tc.n)')} AS attributed_revenue
+       {R('CAST(SUM((CAST(s.spend * 100 AS HUGEINT) * pc.n * 1000000) // tc.n) AS DOUBLE) / 1e8')} AS attributed_revenue
 FROM (SELECT customer_id, campaign_id, COUNT(*) AS n FROM b_interactions GROUP BY 1, 2) pc
 JOIN (SELECT customer_id, COUNT(*) AS n FROM b_interactions GROUP BY 1) tc ON tc.customer_id = pc.customer_id
 JOIN (SELECT customer_id, SUM(total_amount) AS spend FROM b_orders
@@ -101,15 +101,18 @@ JOIN (SELECT customer_id, SUM(total_amount) AS spend FROM b_orders
 JOIN b_campaigns mc ON mc.campaign_id = pc.campaign_id
 GROUP BY mc.campaign_id, mc.campaign_name"""))
 def attribution_linear(t: Tables) -> DataFrame:
-    """Spend split evenly over a customer's touches (rounded to cents)."""
+    """Spend split evenly over a customer's touches (rounded to cents).
+
+    Each share is kept in whole millionths of a cent, so that the sum does not
+    depend on the order of the rows."""
     pc = t.interactions.groupBy("customer_id", "campaign_id").agg(F.count(F.lit(1)).alias("n"))
     tc = t.interactions.groupBy("customer_id").agg(F.count(F.lit(1)).alias("tn"))
     j = pc.join(tc, "customer_id").join(_spend(t), "customer_id")
     per = (j.groupBy("campaign_id")
            .agg(F.count(F.lit(1)).alias("customers"),
-                F.sum(dollars("spend") * F.col("n") / F.col("tn")).alias("_rev")))
+                F.sum(F.expr("CAST((CAST(spend AS DECIMAL(20,0)) * n * 1000000) div tn AS DECIMAL(38,0))")).alias("_share")))
     return (per.join(t.campaigns.select("campaign_id", "campaign_name"), "campaign_id")
-            .select("campaign_id", "campaign_name", "customers", rnd("_rev").alias("attributed_revenue")))
+            .select("campaign_id", "campaign_name", "customers", rnd(dollars("_share", 8)).alias("attributed_revenue")))
 
 
 # --------------------------------------------------------------------------
