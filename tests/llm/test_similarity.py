@@ -230,6 +230,21 @@ def test_exact_and_edited_copies_are_found(spark):
     assert {r.doc_id for r in clean.collect()} == set(docs) - {k for k, _ in leaked} and clean.columns == df.columns
 
 
+@pytest.mark.parametrize("copies", [3, 5, 1000])
+def test_edited_copy_is_found_in_groups_of_any_size(spark, copies):
+    rnd = random.Random(11)
+    item = [f"item{i}" for i in range(40)]
+    passage = " ".join("other" if i % 5 == 2 else w for i, w in enumerate(item))  # 16 of 38 grams are left
+    docs = {k: prose(rnd, 20) + " " + passage + " " + (prose(rnd, 20) if k % 2 else "the end") for k in range(copies)}
+    docs[copies] = " ".join(item)  # the grams that the edits took are rare
+    docs[copies + 1] = prose(rnd, 80)
+    df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item))], "item_id bigint, text string")
+    found = decontaminate.contamination(df, bench).collect()
+    assert {(r.key, r.item) for r in found} == {(k, i) for k in range(copies + 1) for i in (1, 2)} and len(found) == 2 * copies + 2
+    assert {r.score for r in found if r.key < copies} == {0.7}
+
+
 def test_decontamination_odd_rows(spark):
     text = "the quick brown fox jumps over the lazy dog again"
     rows = [(1, text), (1, text), (None, text), (2, None), (3, ""), (4, "fox"), (5, "word " * 60_000 + text)]

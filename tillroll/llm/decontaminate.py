@@ -1,15 +1,14 @@
-"""Benchmark decontamination by rare n-gram seeds and local alignment.
+"""Benchmark decontamination by n-gram seeds and local alignment.
 
 1. Three-word grams of all benchmark items go into a bitmap of fixed size.
-   One pass over the corpus counts, per gram that may be an item's, the
-   documents that have it (pre-aggregated per batch).
-2. An item's seeds are its rare grams: those no more frequent, times the
-   number of items that have them, than four times the item's median gram
-   (at least half of its grams therefore, however often the item was copied).
-3. A second pass cuts, around every seed, a passage of the document wide
-   enough for the longest item; equi-joins on the seed give (passage, item).
-4. Smith-Waterman alignment over word hashes scores each such pair: the best
-   local alignment as a share of a perfect one. Copies with words replaced,
+   Every gram is a seed, however many documents or items have it: a rule on
+   frequencies would lose the copies that many documents hold.
+2. One pass over the corpus cuts, around every seed, a passage of the document
+   wide enough for the longest item; equi-joins on the seed give (passage, item).
+3. A pair that has too few of the item's words in the passage cannot reach the
+   score and goes without alignment (an upper bound, so nothing is lost).
+4. Smith-Waterman alignment over word hashes scores each remaining pair: the
+   best local alignment as a share of a perfect one. Copies with words replaced,
    dropped or added score less than 1 but far above chance.
 """
 
@@ -28,8 +27,6 @@ from tillroll.llm.textarrays import Words, chunks, mix, span_hashes
 GRAM = 3
 #: Bits of a gram bitmap (8 MB, whatever the size of the benchmark).
 BITS = 1 << 26
-#: A seed's weighted document count is at most this many times its item's median.
-RARE = 4
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 #: Least share of the perfect score that counts as contamination.
 LEAST = 0.6
@@ -85,36 +82,6 @@ def _has(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def gram_frequencies(docs: DataFrame, text: str, bits: np.ndarray) -> DataFrame:
-    """(gram, df): documents of the whole corpus that have each gram of the bitmap (and a few others)."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = []
-            for _, _, buf, offsets in chunks(b.column(0)):
-                words, h = _word_hashes(buf, offsets)
-                at, g = _grams(words, h)
-                hit = _has(shared.value, g)
-                pair = np.unique(np.stack([g[hit], words.doc[at[hit]].astype(np.uint64)]), axis=1) if hit.any() else np.zeros((2, 0), np.uint64)
-                found.append(pair[0])
-            gram, df = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(df)], ["gram", "df"])
-
-    return (docs.select(text).mapInArrow(run, "gram bigint, df bigint").groupBy("gram").agg(F.sum("df").alias("df")))
-
-
-def seeds(items: DataFrame, often: DataFrame) -> DataFrame:
-    """(item, gram): the rare grams of every item."""
-    grams = items.select("item", F.explode("grams").alias("gram"))
-    spread = grams.groupBy("gram").agg(F.count("*").alias("items"))
-    weighed = (grams.join(spread, "gram").join(often, "gram", "left")
-               .select("item", "gram", (F.coalesce("df", F.lit(0)) * F.col("items")).alias("weight")))
-    median = weighed.groupBy("item").agg(F.percentile_approx("weight", 0.5, 1000).alias("median"))
-    return (weighed.join(median, "item").filter(F.col("weight") <= RARE * F.greatest("median", F.lit(1)))
-            .select("item", "gram"))
-
-
 def passages(docs: DataFrame, key: str, text: str, bits: np.ndarray, reach: int) -> DataFrame:
     """(key, mark, at, words, grams): passages of ``reach`` words around seeds; those that touch are one."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
@@ -177,19 +144,27 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[float, int, int]:
     return best, *found
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Alignment of every (key, mark, at, words, item, item words)."""
-    for b in batches:
-        score, start, end = [], [], []
-        for at, words, item in zip(*(b.column(i).to_pylist() for i in (2, 3, 5)), strict=True):
-            a, p = np.frombuffer(item, np.uint64), np.frombuffer(words, np.uint64)
-            s, low, high = align(a, p)
-            score.append(s / (MATCH * len(a)))
-            start.append(at + low)
-            end.append(at + high)
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(4), pa.array(score, pa.float64()),
-                                          pa.array(start, pa.int32()), pa.array(end, pa.int32())],
-                                         ["key", "mark", "item", "score", "start", "end"])
+def _aligned(least: float):
+    """Alignments of at least ``least`` of every (key, mark, at, words, item, item words)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, score, start, end = [], [], [], []
+            for i, (at, words, item) in enumerate(zip(*(b.column(c).to_pylist() for c in (2, 3, 5)), strict=True)):
+                a, p = np.frombuffer(item, np.uint64), np.frombuffer(words, np.uint64)
+                # every match takes one of the item's words that the passage has
+                if MATCH * np.isin(a, p).sum() / (MATCH * len(a)) < least:
+                    continue
+                s, low, high = align(a, p)
+                if s / (MATCH * len(a)) >= least:
+                    rows.append(i)
+                    score.append(s / (MATCH * len(a)))
+                    start.append(at + low)
+                    end.append(at + high)
+            pick = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pick), b.column(1).take(pick), b.column(4).take(pick),
+                                              pa.array(score, pa.float64()), pa.array(start, pa.int32()), pa.array(end, pa.int32())],
+                                             ["key", "mark", "item", "score", "start", "end"])
+    return run
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -206,19 +181,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     items = written(benchmark.select(F.col(item).cast("long").alias("item"), F.col(item_text).alias("text"))
                     .mapInArrow(_item_words, "item bigint, words binary, grams array<bigint>")
                     .withColumn("number", F.monotonically_increasing_id()), "decontaminate-items")
-    numbered = items.select(F.col("number").alias("item"), "grams")
-    often = gram_frequencies(docs, text, bitmap(items.select(F.explode("grams").alias("gram"))))
-    rare = written(seeds(numbered, often), "decontaminate-seeds")
+    grams = items.select("number", F.explode("grams").alias("gram"))
     reach = (items.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
-    found = written(passages(docs, key, text, bitmap(rare.select("gram")), reach).withColumn("id", F.monotonically_increasing_id()),
+    found = written(passages(docs, key, text, bitmap(grams.select("gram")), reach).withColumn("id", F.monotonically_increasing_id()),
                     "decontaminate-passages")
-    pairs = (found.select("id", F.explode("grams").alias("gram")).join(rare, "gram").select("id", F.col("item").alias("number"))
-             .distinct())
+    pairs = found.select("id", F.explode("grams").alias("gram")).join(grams, "gram").select("id", "number").distinct()
     fed = (pairs.join(found.select("id", "key", "mark", "at", "words"), "id")
            .join(items.select("number", "item", F.col("words").alias("item_words")), "number")
            .select("key", "mark", "at", "words", "item", "item_words"))
-    return (fed.mapInArrow(_aligned, "key bigint, mark bigint, item bigint, score double, start int, end int")
-            .filter(F.col("score") >= least))
+    return fed.mapInArrow(_aligned(least), "key bigint, mark bigint, item bigint, score double, start int, end int")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
