@@ -245,6 +245,20 @@ def test_edited_copy_is_found_in_groups_of_any_size(spark, copies):
     assert {r.score for r in found if r.key < copies} == {0.7}
 
 
+def test_long_excerpts_of_an_item_are_found(spark):
+    rnd = random.Random(13)
+    items = {1: [f"short{i}" for i in range(59)], 2: [f"long{i}" for i in range(200)]}
+    parts = {0: items[1][:35], 1: items[2][60:160], 2: items[2][10:40] + ["added"] + items[2][40:60], 3: items[1][20:40],
+             4: [w if i % 3 else "other" for i, w in enumerate(items[2][:90])]}  # a short one, and one of scattered words
+    docs = {k: prose(rnd, 30) + " " + " ".join(p) + " " + prose(rnd, 30) for k, p in parts.items()}
+    df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id bigint, text string")
+    found = {(r.key, r.item): r for r in decontaminate.contamination(df, bench).collect()}
+    assert set(found) == {(0, 1), (1, 2), (2, 2)}
+    assert found[0, 1].score == pytest.approx(35 / 59) and found[1, 2].score == 0.5 and found[1, 2].end - found[1, 2].start == 100
+    assert {r.doc_id for r in decontaminate.without_contaminated(df, bench).collect()} == {3, 4}
+
+
 def test_decontamination_odd_rows(spark):
     text = "the quick brown fox jumps over the lazy dog again"
     rows = [(1, text), (1, text), (None, text), (2, None), (3, ""), (4, "fox"), (5, "word " * 60_000 + text)]

@@ -10,6 +10,8 @@
 4. Smith-Waterman alignment over word hashes scores each remaining pair: the
    best local alignment as a share of a perfect one. Copies with words replaced,
    dropped or added score less than 1 but far above chance.
+5. A long excerpt of an item is contamination too, however long the item is:
+   an alignment of ``EXCERPT`` or more whose aligned parts are nearly the same.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ BITS = 1 << 26
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 #: Least share of the perfect score that counts as contamination.
 LEAST = 0.6
+#: Score (matched words, less the edits) from which an excerpt of any share of an item counts, and its least share of the aligned words.
+EXCERPT, ALIKE = 25.0, 0.8
 
 
 def _word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
@@ -144,18 +148,27 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[float, int, int]:
     return best, *found
 
 
+def _excerpt(item: np.ndarray, part: np.ndarray, score: float) -> bool:
+    """Whether an alignment of ``item`` with the whole of ``part`` is long, and close on both sides."""
+    if score < EXCERPT:
+        return False
+    _, low, high = align(part, item)
+    return score >= ALIKE * MATCH * max(len(part), high - low)
+
+
 def _aligned(least: float):
-    """Alignments of at least ``least`` of every (key, mark, at, words, item, item words)."""
+    """Alignments of at least ``least`` of the item, or of a long excerpt, of every (key, mark, at, words, item, item words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, score, start, end = [], [], [], []
             for i, (at, words, item) in enumerate(zip(*(b.column(c).to_pylist() for c in (2, 3, 5)), strict=True)):
                 a, p = np.frombuffer(item, np.uint64), np.frombuffer(words, np.uint64)
                 # every match takes one of the item's words that the passage has
-                if MATCH * np.isin(a, p).sum() / (MATCH * len(a)) < least:
+                most = MATCH * np.isin(a, p).sum()
+                if most / (MATCH * len(a)) < least and most < EXCERPT:
                     continue
                 s, low, high = align(a, p)
-                if s / (MATCH * len(a)) >= least:
+                if s / (MATCH * len(a)) >= least or _excerpt(a, p[low:high], s):
                     rows.append(i)
                     score.append(s / (MATCH * len(a)))
                     start.append(at + low)
@@ -171,8 +184,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
                   item_text: str = "text", least: float = LEAST) -> DataFrame:
     """(key, mark, item, score, start, end) of every passage of ``docs`` that aligns with a benchmark item.
 
-    ``score`` is the share (``least`` to 1) of the item's perfect alignment
-    score; ``start`` and ``end`` are word offsets in the document. ``key`` and
+    ``score`` is the share of the item's perfect alignment score: ``least`` to
+    1, or less for a nearly verbatim excerpt of ``EXCERPT`` words or more.
+    ``start`` and ``end`` are word offsets in the document. ``key`` and
     ``item`` are integers (null stays null), ``mark`` is the hash of the text.
     Null, empty and very short texts, and items of fewer than three words, have
     no grams and match nothing. Equal items are each reported; repeated rows of
