@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from tillroll import Tables
 from tillroll.plans.views import daily_dashboard
-from tillroll.streaming.ledger import (compact_ledger, current_stock, inventory_ledger, read_dashboard_stream,
+from tillroll.streaming.ledger import (compact_ledger, current_stock, inventory_ledger, ledger_stream, read_dashboard_stream,
                                        start_dashboard_stream, start_ledger_stream)
 
 
@@ -38,6 +39,13 @@ def test_ledger_stream_matches_batch_and_is_idempotent(spark, tables, scratch):
     assert {r.product_id: r.units_ordered for r in stock().collect()} == twice
 
 
+def test_items_without_an_order_reach_the_stream(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    t.items = t.items.withColumn("order_id", F.when(F.col("order_id") % 5 != 0, F.col("order_id")))
+    assert t.items.where("order_id IS NULL").count() > 0
+    assert _rows(ledger_stream(t), "inventory_id") == _rows(inventory_ledger(t), "inventory_id")
+
+
 def test_dashboard_stream_matches_batch(spark, tables, scratch):
     src = f"{scratch}/orders"
     cols = ["order_id", "customer_id", "order_date", "order_status", "discount_amount",

@@ -166,7 +166,7 @@ def ledger_stream(t: Tables, parts: int = 3) -> DataFrame:
     base = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
     items = t.items.select("order_id", "product_id", "line_number", "quantity")
     for k in range(parts):
-        items.where(F.pmod("order_id", F.lit(parts)) == k).write.mode("append").parquet(f"{base}/items")
+        items.where(F.pmod(F.coalesce("order_id", F.lit(0)), F.lit(parts)) == k).write.mode("append").parquet(f"{base}/items")
         start_ledger_stream(t.spark, f"{base}/items", f"{base}/ledger", f"{base}/checkpoint").awaitTermination()
         if k == 0:
             compact_ledger(t.spark, f"{base}/ledger")
