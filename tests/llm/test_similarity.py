@@ -115,6 +115,17 @@ def test_keep_one_keeps_one_of_each_group(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == want
 
 
+def test_keep_one_with_repeated_keys_keeps_every_group(spark):
+    rnd = random.Random(21)
+    texts = [prose(rnd, 60) for _ in range(4)]
+    rows = [(1, texts[0]), (1, texts[1]), (5, texts[1] + " end"), (1, texts[1]), (1, texts[2]), (6, texts[3]), (None, texts[3] + " end"),
+            (None, "x y z"), (None, "X y z")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.text) for r in jaccard.keep_one(df).collect()), key=str)
+    want = [(1, t) for t in texts[:3]] + [(6, texts[3])]
+    assert [r for r in got if r[0]] == sorted(want, key=str) and [t.lower() for k, t in got if k is None] == ["x y z"]
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, k) for k in range(1001, 1200)] + [(7, 7), (None, 3), (2000, 2001), (2001, 2000)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

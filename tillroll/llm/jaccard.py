@@ -373,6 +373,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     their own key. Equal sets are linked, whether rows repeat or only agree.
     A component of null keys alone has a null id. Other columns are not read.
     """
+    return grouped(docs, key, text, width, sketch, chunk_tokens).drop("root")
+
+
+def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
+            sketch: int | None = SKETCH, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+    """What :func:`near_duplicates` gives, and ``root``: the set that names a row's group (null without words)."""
     rows = written(text_sets(docs, key, text, width, sketch), "jaccard-sets")
     sets = written(distinct_sets(rows), "jaccard-distinct")
     root = written(components(links(docs, sets, key, text, width, sketch, chunk_tokens), name="jaccard-final"), "jaccard-roots")
@@ -381,12 +387,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     least = written(root.join(sets, root["node"] == sets["set"]).groupBy("root").agg(F.min("key").alias("component")),
                     "jaccard-least")
     named = (rooted.join(least, "root", "left")
-             .select(F.col("set").alias("__set"), F.when(F.col("component").isNotNull(), F.col("component"))
+             .select(F.col("set").alias("__set"), "root", F.when(F.col("component").isNotNull(), F.col("component"))
                      .otherwise(F.col("key")).alias("component")))
     own = rows.select("key", "mark", "n", "set")
     return own.join(named, own["set"] == named["__set"], "left").select(
         "key", "mark", F.col("n").alias("n_shingles"),
-        F.when(F.col("set").isNull(), F.col("key")).otherwise(F.col("component")).alias("component_id"))
+        F.when(F.col("set").isNull(), F.col("key")).otherwise(F.col("component")).alias("component_id"), "root")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -394,18 +400,18 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     The row with the smallest key stays (of several with that key the one with
     the smallest text hash; rows equal in key and text are one document and
-    one of them stays). Rows without words are no duplicates of anything and
-    all stay. A null key stays only where its whole group has null keys (its
-    distinct texts then all stay, as no key names the group).
+    one of them stays). Groups are told apart by their texts: unlinked texts
+    that share a key each stay. Rows without words are no duplicates of
+    anything and all stay. A null key stays only where its whole group has
+    null keys.
     """
-    groups = (near_duplicates(docs, key, text)
-              .groupBy("key", "mark", "component_id", (F.col("n_shingles") > 0).alias("worded")).agg(F.count("*").alias("times")))
-    worded = groups.filter("worded")
-    stays = (worded.filter("key = component_id").groupBy("key").agg(F.min(F.struct("mark", "times")).alias("s"))
-             .select("key", "s.mark", "s.times"))
-    nameless = worded.filter("component_id IS NULL").select("key", "mark", "times")
+    groups = (grouped(docs, key, text)
+              .groupBy("key", "mark", "root", (F.col("n_shingles") > 0).alias("worded")).agg(F.count("*").alias("times")))
+    stays = (groups.filter("worded").groupBy("root")
+             .agg(F.min(F.struct(F.col("key").isNull().alias("void"), "key", "mark", "times")).alias("s"))
+             .select("s.key", "s.mark", "s.times"))
     empty = groups.filter("NOT worded").select("key", "mark", F.lit(1).cast("long").alias("times"))
-    kept = (stays.unionByName(nameless).unionByName(empty)
+    kept = (stays.unionByName(empty)
             .select(F.col("key").alias("__key"), F.col("mark").alias("__mark"), F.col("times").alias("__times")))
     condition = F.col(key).cast("long").eqNullSafe(F.col("__key")) & (F.xxhash64(docs[text]) == F.col("__mark"))
     found = docs.join(kept, condition)
