@@ -63,6 +63,16 @@ def docs(spark):
     return spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint, score string")
 
 
+def test_sample_has_one_row_of_each_id(spark):
+    rows = [(1, f"text {i}", i) for i in range(500)] + [(2, None, 1), (2, "long " * 30, 2), (3, "three", 3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint").repartition(5)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (3, 0)], "doc_id bigint, quality int")
+    for most in (None, 100):
+        got = quality.labelled_sample(df, labels, "quality", F.lit(True), extra=("n_chars",), most_bytes=most).collect()
+        assert sorted((r[0], r[2]) for r in got) == [(1, 1), (2, 0), (3, 0)]
+        assert {(r[0], r[1], r.n_chars) for r in got} <= set(rows) and (most is None or [r[1] for r in got if r[0] == 2] == [None])
+
+
 def test_quality_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1), (4, 0), (5, None), (None, 1), (6, 0)], "doc_id bigint, quality int")
     model = quality.fit(docs(spark), labels)

@@ -47,17 +47,23 @@ def remainder(key: str, of: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, key: str = "doc_id",
-                    text: str = "text", rows: int = TRAIN_ROWS, extra: tuple[str, ...] = ()) -> DataFrame:
+                    text: str = "text", rows: int = TRAIN_ROWS, extra: tuple[str, ...] = (), most_bytes: int | None = None) -> DataFrame:
     """``key``, ``text`` and ``label`` of at most ``rows`` labelled rows for which ``train`` holds (those with the smallest key hash).
 
-    Only the chosen ids and labels (``rows`` pairs at most) are broadcast.
-    Null keys and null labels take no part.
+    Only the chosen ids and labels (``rows`` pairs at most) are broadcast. Of
+    rows that share a key, the one with the smallest text hash is taken, on the
+    executors. Null keys, null labels and texts of more than ``most_bytes``
+    take no part.
     """
     chosen = (labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & train)
               .select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label"))
               .orderBy(F.xxhash64("__key"), "__key", "__label").limit(rows))
-    return (docs.join(F.broadcast(chosen), docs[key] == chosen["__key"])
-            .select(docs[key].alias("__key"), docs[text].alias("__text"), "__label", *(docs[c] for c in extra)))
+    fit = docs if most_bytes is None else docs.filter(F.octet_length(F.coalesce(docs[text], F.lit(""))) <= most_bytes)
+    found = (fit.join(F.broadcast(chosen), docs[key] == chosen["__key"])
+             .select(docs[key].alias("__key"), docs[text].alias("__text"), "__label", *(docs[c].alias(f"__{i}") for i, c in enumerate(extra))))
+    rest = [f"__{i}" for i in range(len(extra))]
+    return (found.groupBy("__key", "__label").agg(F.min(F.struct(F.xxhash64("__text").alias("__hash"), "__text", *rest)).alias("__one"))
+            .select("__key", "__one.__text", "__label", *(F.col(f"__one.{x}").alias(c) for x, c in zip(rest, extra, strict=True))))
 
 
 def statistics(words: Words, raw: np.ndarray, offsets: np.ndarray, h: np.ndarray, distinct: np.ndarray) -> np.ndarray:

@@ -226,10 +226,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", among: Column
 
     Without labelled rows, or with one label only, every text gets the share of label 1 (0.5 without any).
     """
-    sample = labelled_sample(docs, labels, label, F.lit(True) if among is None else among, key, text, rows)
+    sample = labelled_sample(docs, labels, label, F.lit(True) if among is None else among, key, text, rows, most_bytes=TRAIN_BYTES)
     whole = F.coalesce("__text", F.lit(""))
-    got = (sample.filter(F.octet_length(whole) <= TRAIN_BYTES)
-           .select(F.col("__key").cast("string").alias("key"), F.col("__label").alias("label"), whole.alias("text"))
+    got = (sample.select(F.col("__key").cast("string").alias("key"), F.col("__label").alias("label"), whole.alias("text"))
            .toArrow().to_pydict())
     order = sorted(range(len(got["key"])), key=lambda i: (got["key"][i], got["label"][i], got["text"][i]))
     raw = [got["text"][i].encode() for i in order]
