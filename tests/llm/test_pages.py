@@ -30,6 +30,22 @@ def test_page_without_article_element():
     assert html_text.main_text(page) == want
 
 
+LONG = "<p>A long paragraph of the story, which goes on for quite a while and then some more.</p>"
+SAID = "A long paragraph of the story, which goes on for quite a while and then some more."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body><main><h1>Head</h1><article>{LONG}</article><p>x</p><article>{LONG}</article></main></body>", f"Head\n{SAID}\n{SAID}"),
+    (f"<body><div class='has-sidebar no-comments'><article>{LONG}</article></div><div>foot</div></body>", SAID),
+    (f"<body><div class='sidebar-layout'><main>{LONG}</main></div><div class=sidebar>{LONG}</div><div>foot</div></body>", SAID),
+    (f"<body><div class='widget'>{LONG}</div></body>", SAID),
+    (f"<body><div id=a><h1>Head</h1>{LONG * 4}</div><article><p>More to read</p></article></body>", "\n".join(["Head"] + [SAID] * 4)),
+    (f"<body><article><h1>Head</h1>{LONG}</article><div class=comments>{LONG * 9}</div></body>", f"Head\n{SAID}"),
+])
+def test_cluster_chooses_the_region(page, want):
+    assert html_text.main_text(page) == want
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<nav>only a menu</nav>", "<p></p>", "<!-- x -->"])
 def test_pages_without_content(page):
     assert html_text.main_text(page) == ""

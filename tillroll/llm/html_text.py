@@ -4,10 +4,11 @@ The standard library's streaming parser emits the page as lines: one line per
 block of text, with its container, its characters, its link characters and
 the tags met in it. Each line's text-to-tag ratio is smoothed by a Gaussian
 over its neighbours, and lines above a threshold (the standard deviation of
-the smoothed ratios) form the content cluster. The element that holds most of
-that cluster is the content region; every line of the region that is not part
-of a menu, header, footer, sidebar, notice, advert, form or reader comment is
-kept, short or long.
+the smoothed ratios) form the content cluster. The elements that hold most of
+that cluster are the content region: all articles with cluster lines, or else
+the <main>, or else the innermost element. Every line of the region that is not
+part of a menu, header, footer, sidebar, notice, advert, form or reader comment
+is kept, short or long.
 """
 
 from __future__ import annotations
@@ -41,6 +42,9 @@ ASIDE_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs heade
                         "recommendations widget toolbar pagination pager search login form copyright contentinfo "
                         "complementary skip hidden".split())
 HEADINGS = frozenset("header masthead banner".split())
+#: A class that begins so (has-sidebar, no-comments) says what a page has or lacks, not what the element is.
+SAYS_OF = frozenset("has have no non not with without".split())
+TITLES = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Elements that end an open <p>, and items that end an open item of their kind.
 ENDS_P = BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 ENDS_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -58,6 +62,7 @@ class Element:
     parent: int
     silent: bool
     aside: bool
+    named: bool  # put aside by a name of its own, where nothing speaks against it
     region: int  # the nearest element that may be a content region, itself included
 
 
@@ -74,7 +79,7 @@ class Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.elements = [Element("", -1, False, False, 0)]
+        self.elements = [Element("", -1, False, False, False, 0)]
         self.open = [0]
         self.lines: list[Line] = []
         self.line = Line(0)
@@ -118,16 +123,18 @@ class Lines(HTMLParser):
         hidden = False
         for name, value in attrs:
             if name in ("class", "id", "role", "aria-label"):
-                names.update(_WORDS.findall((value or "").lower()))
+                for one in (value or "").lower().split():
+                    words = _WORDS.findall(one)
+                    names.update(() if words and words[0] in SAYS_OF and name == "class" else words)
             hidden |= name == "hidden" or name == "aria-hidden" and value == "true" or \
                 name == "style" and "display:none" in (value or "").replace(" ", "").lower()
         within = self.inside_article()
         if within:  # the heading of the article itself
             names -= HEADINGS
-        aside = tag in ASIDE or hidden or tag == "header" and not within or \
-            tag not in ("html", "body", "article", "main", "h1") and bool(names & ASIDE_WORDS)
+        aside = tag in ASIDE or hidden or tag == "header" and not within
+        named = tag not in ("html", "body", "article", "main", "h1") and bool(names & ASIDE_WORDS)
         at = len(self.elements)
-        self.elements.append(Element(tag, self.open[-1], up.silent or tag in SILENT, up.aside or aside,
+        self.elements.append(Element(tag, self.open[-1], up.silent or tag in SILENT, up.aside or aside, named,
                                      at if tag in REGIONS else up.region))
         self.open.append(at)
         self.in_link += tag == "a"
@@ -181,19 +188,67 @@ def _ratios(lines: list[Line], texts: list[str], aside: np.ndarray) -> np.ndarra
     return np.convolve(np.pad(ratio, REACH), kernel / kernel.sum(), mode="valid")
 
 
-def _region(elements: list[Element], at: np.ndarray, mass: np.ndarray) -> set[int]:
-    """Elements whose lines are content: the article elements that hold cluster mass; without any, the innermost
-    element that holds at least half of the mass."""
+def _up(elements: list[Element], e: int) -> Iterator[int]:
+    """An element and those it lies in."""
+    while e >= 0:
+        yield e
+        e = elements[e].parent
+
+
+def _totals(elements: list[Element], at: np.ndarray, mass: np.ndarray) -> dict[int, float]:
+    """Mass of the lines within each element."""
     total: dict[int, float] = {}
     for e, m in zip(at.tolist(), mass.tolist(), strict=True):
-        while e >= 0:
-            total[e] = total.get(e, 0.0) + m
-            e = elements[e].parent
-    for tag in ("article", "main"):
-        found = {e: m for e, m in total.items() if elements[e].tag == tag and m > 0 and not elements[e].aside}
-        if found:
-            return {max(found, key=lambda e: (found[e], -e))}
+        for x in _up(elements, e):
+            total[x] = total.get(x, 0.0) + m
+    return total
+
+
+def _cluster(smooth: np.ndarray, aside: np.ndarray) -> np.ndarray:
+    """Mass of the lines above the threshold."""
+    cluster = ~aside & (smooth >= smooth.std())
+    return np.where(cluster if cluster.any() else ~aside, smooth, 0.0)
+
+
+def _put_aside(elements: list[Element], lines: list[Line], texts: list[str], at: np.ndarray) -> None:
+    """Puts aside what a name says is no content, but no element around the page's content.
+
+    That is one with half of the cluster around the <main> or <h1> (or, without
+    these, the first article). Where all lines would go, half of the cluster is enough.
+    """
+    named = [i for i, e in enumerate(elements) if e.named and not e.aside]
+    if not named:
+        return
+    before = [e.aside for e in elements]
+    first = {t: next((i for i, e in enumerate(elements) if e.tag == t and not e.aside), -1) for t in ("main", "h1", "article")}
+    centres = [i for i in (first["main"], first["h1"]) if i >= 0] or [first["article"]]
+
+    def settle(spared: set[int]) -> np.ndarray:
+        for i, e in enumerate(elements):
+            e.aside = before[i] or e.named and i not in spared or e.parent >= 0 and elements[e.parent].aside
+        return np.array([elements[e].aside for e in at])
+
+    def heavy(which: set[int]) -> set[int]:
+        aside = settle(which)
+        total = _totals(elements, at, _cluster(_ratios(lines, texts, aside), aside))
+        return {i for i in which if total.get(i, 0.0) > 0 and 2 * total[i] >= total[0]}
+
+    around = {x for i in centres for x in _up(elements, i)}.intersection(named)
+    if settle(heavy(around) if around else around).all():
+        settle(heavy(set(named)))
+
+
+def _region(elements: list[Element], at: np.ndarray, mass: np.ndarray) -> set[int]:
+    """Elements whose lines are content: all articles with cluster lines, and the headings before them in their <main>;
+    if they hold less than half of the mass, the <main>; or else the innermost element that holds half of it."""
+    total = _totals(elements, at, mass)
     whole = total.get(0, 0.0)
+    for tag in ("article", "main"):
+        found = {e for e, m in total.items() if elements[e].tag == tag and m > 0 and not elements[e].aside}
+        outer = {e for e in found if not found.intersection(_up(elements, elements[e].parent))}
+        if outer and 2 * sum(total[e] for e in outer) >= whole:
+            mains = {x for e in outer for x in _up(elements, e) if elements[x].tag == "main"}
+            return outer | {i for i in range(min(outer)) if elements[i].tag in TITLES and mains.intersection(_up(elements, i))}
     inner = [e for e, m in total.items() if m >= 0.5 * whole and elements[e].tag in REGIONS | {""}]
     return {max(inner)} if inner else {0}
 
@@ -212,19 +267,12 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     at = np.array([n.element for n in lines])
+    _put_aside(elements, lines, texts, at)
     aside = np.array([elements[e].aside for e in at])
-    smooth = _ratios(lines, texts, aside)
-    cluster = ~aside & (smooth >= smooth.std())
-    if not cluster.any():
-        cluster = ~aside
-    region = _region(elements, at, np.where(cluster, smooth, 0.0))
+    region = _region(elements, at, _cluster(_ratios(lines, texts, aside), aside))
 
     def held(e: int) -> bool:
-        while e >= 0:
-            if e in region:
-                return True
-            e = elements[e].parent
-        return False
+        return not region.isdisjoint(_up(elements, e))
 
     return "\n".join(t for t, e, a in zip(texts, at.tolist(), aside.tolist(), strict=True) if not a and held(e))
 
