@@ -37,7 +37,7 @@ def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tillroll.operators import (advanced, customer, extras, generate,  # noqa: F401
+    from tillroll.operators import (advanced, customer, extras, generate, journeys,  # noqa: F401
                                     marketing, operations, product, quality, sales)
     from tillroll.plans import jobs, tablefns, views  # noqa: F401
     from tillroll.streaming import ledger  # noqa: F401
