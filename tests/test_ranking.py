@@ -68,3 +68,38 @@ def test_a_thousand_ranges(spark):
 
 def test_empty_frame(spark):
     assert add_ntiles(_frame(spark, 0), [("a", 5, [("v", True), ("k", True)])]).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 5, 6, 23, 3000])
+def test_ntile_by_selection_of_whole_numbers(spark, n):
+    # a third of the rows share a value, a seventh have none; ids run against the values
+    df = spark.range(n).select(
+        (5000 - F.col("id")).alias("k"),
+        F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") * 31 % 997).alias("v"),
+        (F.col("id") % 2).cast("int").alias("w"))
+    got = add_ntiles(df, [("a", 5, [("v", True), ("k", True)]), ("b", 7, [("v", False), ("k", True)]), ("c", 4, [("w", False), ("k", False)]),
+                          ("d", 1, [("v", True), ("k", True)])])
+    want = df.select("k", F.ntile(5).over(Window.orderBy("v", "k")).alias("a"), F.ntile(7).over(Window.orderBy(F.desc("v"), "k")).alias("b"),
+                     F.ntile(4).over(Window.orderBy(F.desc("w"), F.desc("k"))).alias("c"), F.lit(1).alias("d"))
+    assert sorted(map(tuple, got.select("k", "a", "b", "c", "d").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_rfm_plan_writes_nothing_and_sorts_only_the_cut_buckets(spark, tables, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from tillroll.operators.customer import _rfm_scored
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda *a, **k: pytest.fail("checkpoint while the plan is built"))
+    plan = _rfm_scored(tables, False)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("asc", [True, False])
+@pytest.mark.parametrize("n,buckets", [(0, 8), (1, 8), (2, 8), (2000, 8), (2000, 64)])
+def test_percent_rank_matches_builtin(spark, n, buckets, asc):
+    # one value holds a third of the rows, several percentiles long
+    from tillroll.functions.ranking import add_percent_rank
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, F.lit(50)).when(F.col("id") % 11 == 0, None)
+                               .otherwise(F.col("id") * 37 % 211).alias("v"))
+    got = add_percent_rank(df, "p", "v", asc, buckets)
+    want = df.select("id", F.percent_rank().over(Window.orderBy(F.col("v").asc() if asc else F.col("v").desc())).alias("p"))
+    assert sorted(map(tuple, got.select("id", "p").collect())) == sorted(map(tuple, want.collect()))

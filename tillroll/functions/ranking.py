@@ -1,16 +1,25 @@
-"""Exact global row numbers and NTILE without a single-partition window.
-
-``Window.orderBy(...)`` with no partition moves every row into one task. Here
-the rows are range-partitioned on the whole order (whose last column is
-unique, so that one hot key value is spread over several ranges) and sorted
-within their ranges. ``monotonically_increasing_id`` then holds a row's range
-and its place in it; the frame is written to the shared checkpoint folder at
-that point, so that both stay what they are. A row's number is its place plus
-the rows of all earlier ranges (one row per range).
-
-There is one path for every size. NULL keys sort as in Spark's own windows
-(first ascending, last descending). The result equals ``row_number()`` /
-``ntile(n)`` over the same total order.
+"""Exact global NTILE, PERCENT_RANK and row numbers without a single-partition window.
+
+``Window.orderBy(...)`` with no partition moves every row into one task.
+
+**NTILE by selection.** Only the rows at the ends of the tiles matter. One
+aggregation gives approximate percentiles just beside each end (a few numbers);
+they cut the order into buckets, whose rows are counted exactly; the bucket that
+holds an end is the only one that is sorted, and the (value, id) found there
+decides the tile of every row by comparison. Whatever the percentiles are, the
+counts make the result exact. A value that is a percentile itself may be that of
+very many rows: it is a bucket of its own, cut further by id.
+
+**PERCENT_RANK** counts rows per distinct value, so that ties are one row and
+need no order; running sums go within buckets of values and over the buckets.
+
+**Row numbers** (and NTILE over keys that are not whole numbers) need every
+row's place: the rows are range-partitioned on the whole order and sorted within
+their ranges, ``monotonically_increasing_id`` holds a row's range and its place
+in it, and the frame is checkpointed at that point. A row's number is its place
+plus the rows of all earlier ranges.
+
+NULL keys sort as in Spark's own windows (first ascending, last descending).
 """
 
 from __future__ import annotations
@@ -19,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tillroll.session import ensure_checkpoint_dir
@@ -63,17 +73,113 @@ def ntile_of(rn: Column, rows: Column, tiles: int) -> Column:
     return F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(small).cast("int")
 
 
+def _whole(df: DataFrame, name: str) -> bool:
+    t = df.schema[name].dataType
+    return isinstance(t, T.IntegralType) or isinstance(t, T.DecimalType) and t.scale == 0 and t.precision <= 18
+
+
+#: Distance, as a share of all rows, of the percentiles beside a tile's end; their rank error is a tenth of it at most.
+BESIDE = 0.001
+#: Pieces by id of a value that may hold very many rows.
+ID_PIECES = 32
+
+
+def _rising(name: str, asc: bool) -> Column:
+    """The key as a whole number that grows along the order."""
+    c = F.col(name).cast("bigint")
+    return c if asc else -c
+
+
+def _above(c: Column, limits: Sequence[int]) -> Column:
+    """How many of the sorted ``limits`` are below ``c``, by a balanced tree of comparisons."""
+    if not limits:
+        return F.lit(0)
+    mid = len(limits) // 2
+    return F.when(c <= F.lit(limits[mid]), _above(c, limits[:mid])).otherwise(F.lit(mid + 1) + _above(c, limits[mid + 1:]))
+
+
+def _cut_tiles(df: DataFrame, specs: Sequence[tuple[str, int, Order]]) -> DataFrame:
+    """``add_ntiles`` by selection, for orders of two whole numbers (value, unique id)."""
+    wanted = []
+    for k, (_, tiles, ((v, asc), (i, up))) in enumerate(specs):
+        ends = sorted({min(max(e / tiles + d, 0.0), 1.0) for e in range(1, tiles) for d in (-BESIDE, BESIDE)})
+        wanted.append(F.percentile_approx(_rising(v, asc), ends or [0.5], 10_000).alias(f"v{k}"))
+        wanted.append(F.percentile_approx(_rising(i, up), [j / ID_PIECES for j in range(1, ID_PIECES)], 10_000).alias(f"i{k}"))
+    near = df.agg(*wanted).first()      # a few numbers per order
+
+    places = []
+    for k, (_, _, ((v, asc), (i, up))) in enumerate(specs):
+        value, own = _rising(v, asc), _rising(i, up)
+        limits, pieces = sorted(set(near[f"v{k}"] or [])), sorted(set(near[f"i{k}"] or []))
+        below = _above(value, limits)
+        at = value.isin(*limits) if limits else F.lit(False)
+        bucket = F.when(value.isNull(), F.lit(-1 if asc else 2 * len(limits) + 2)).otherwise(2 * below + at.cast("int"))
+        piece = F.when(value.isNull() | at, _above(own, pieces)).otherwise(0)
+        places.append(F.struct(F.lit(k).alias("s"), bucket.cast("int").alias("b"), piece.cast("int").alias("p"),
+                               F.coalesce(value, F.lit(0)).alias("v"), own.alias("i")))
+    rows = df.select(F.explode(F.array(*places)).alias("x")).select("x.*")
+    counts = rows.groupBy("s", "b", "p").agg(F.count(F.lit(1)).alias("c"))
+    # a few dozen buckets and pieces an order
+    along = Window.partitionBy("s").orderBy("b", "p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("s", "b", "p", "c", F.coalesce(F.sum("c").over(along), F.lit(0)).alias("before"),
+                           F.sum("c").over(Window.partitionBy("s")).alias("n"))
+    tiles = F.element_at(F.array(*[F.lit(t) for _, t, _ in specs]), F.col("s") + 1)
+    cuts = counts.where(tiles > 1).withColumn("e", F.explode(F.sequence(F.lit(1), F.greatest(tiles - 1, F.lit(1)))))
+    last = F.col("e") * F.expr("n div t") + F.least(F.col("e").cast("bigint"), F.expr("n % t"))
+    cuts = (cuts.withColumn("t", tiles).withColumn("last", last).where("before < last AND last <= before + c")
+            .select("s", "b", "p", "e", (F.col("last") - F.col("before")).alias("nth")))
+    # at most one row per tile end: bounded by the number of tiles
+    inside = rows.join(F.broadcast(cuts.select("s", "b", "p").distinct()), ["s", "b", "p"], "left_semi")
+    nth = F.row_number().over(Window.partitionBy("s", "b", "p").orderBy("v", "i"))
+    ends = inside.withColumn("nth", nth.cast("bigint")).join(F.broadcast(cuts), ["s", "b", "p", "nth"])
+    out = df.withColumn("__cuts", ends.agg(F.collect_list(F.struct("s", F.struct("b", "v", "i").alias("at")))).scalar())
+    for k, (name, _, _) in enumerate(specs):
+        out = out.withColumn("__own", F.struct(F.lit(k).alias("s"), *[places[k][c].alias(c) for c in "bvi"]))
+        passed = F.filter("__cuts", lambda c: (c["s"] == F.col("__own.s")) & (c["at"] < F.struct("__own.b", "__own.v", "__own.i")))
+        out = out.withColumn(name, (F.size(passed) + 1).cast("int"))
+    return out.drop("__cuts", "__own")
+
+
 def add_ntiles(df: DataFrame, specs: Sequence[tuple[str, int, Order]], *, ranges: int | None = None) -> DataFrame:
     """Add one ``NTILE(n) OVER (ORDER BY ...)`` column per spec ``(name, n, order)``.
 
-    ``ranges`` is the number of ranges (default ``spark.sql.shuffle.partitions``).
+    Orders of a whole number and a unique whole id are tiled by selection, all
+    in one go; others by row numbers over ``ranges`` ranges (default
+    ``spark.sql.shuffle.partitions``).
     """
+    short = [s for s in specs if len(s[2]) == 2 and all(_whole(df, c) for c, _ in s[2])]
+    if short:
+        df = _cut_tiles(df, short)
     for name, tiles, order in specs:
-        df = (_numbered(df, order, ranges)
-              .withColumn(name, ntile_of(F.col("__rn"), F.col("__n"), tiles)).drop("__rn", "__n"))
+        if not any(name == s[0] for s in short):
+            df = (_numbered(df, order, ranges)
+                  .withColumn(name, ntile_of(F.col("__rn"), F.col("__n"), tiles)).drop("__rn", "__n"))
     return df
 
 
 def add_row_number(df: DataFrame, name: str, order: Order, *, ranges: int | None = None) -> DataFrame:
     """``row_number() OVER (ORDER BY ...)`` computed range by range."""
     return _numbered(df, order, ranges).withColumnRenamed("__rn", name).drop("__n")
+
+
+def add_percent_rank(df: DataFrame, name: str, by: str, asc: bool = True, buckets: int = 256) -> DataFrame:
+    """Add ``PERCENT_RANK() OVER (ORDER BY by)`` for every row; ``by`` is a whole number.
+
+    Rows are counted per value first, so a value with very many rows is one row
+    in its bucket and all its rows get one rank. Buckets are ranges of values
+    between approximate percentiles; a bucket's distinct values are one window."""
+    value = _rising(by, asc)
+    near = df.agg(F.percentile_approx(value, [j / buckets for j in range(1, buckets)], 10_000)).first()[0]
+    limits = sorted(set(near or []))
+    bucket = F.when(value.isNull(), F.lit(-1 if asc else len(limits) + 1)).otherwise(_above(value, limits))
+    values = df.select(bucket.cast("int").alias("__b"), value.alias("__v")).groupBy("__b", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    earlier = Window.unboundedPreceding, -1
+    totals = values.groupBy("__b").agg(F.sum("__c").alias("__t"))
+    # one row per bucket
+    totals = totals.select("__b", F.coalesce(F.sum("__t").over(Window.orderBy("__b").rowsBetween(*earlier)), F.lit(0)).alias("__off"),
+                           F.sum("__t").over(Window.partitionBy()).alias("__n"))
+    inside = F.coalesce(F.sum("__c").over(Window.partitionBy("__b").orderBy("__v").rowsBetween(*earlier)), F.lit(0))
+    ranked = values.select("__b", "__v", inside.alias("__in")).join(F.broadcast(totals), "__b").select(
+        "__v", F.when(F.col("__n") <= 1, F.lit(0.0)).otherwise((F.col("__off") + F.col("__in")).cast("double") / (F.col("__n") - 1)).alias(name))
+    out = df.withColumn("__w", value).join(ranked, F.col("__w").eqNullSafe(F.col("__v")))
+    return out.drop("__w", "__v")
