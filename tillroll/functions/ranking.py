@@ -6,8 +6,9 @@
 aggregation gives approximate percentiles just beside each end (a few numbers);
 they cut the order into buckets, whose rows are counted exactly; the bucket that
 holds an end is the only one that is sorted, and the (value, id) found there
-decides the tile of every row by comparison. Whatever the percentiles are, the
-counts make the result exact. A value that is a percentile itself may be that of
+decides the tile of every row by comparison with constants. Whatever the
+percentiles are, the counts make the result exact. These three small queries run
+while the plan is built and return some dozens of numbers each. A value that is a percentile itself may be that of
 very many rows: it is a bucket of its own, cut further by id.
 
 **PERCENT_RANK** counts rows per distinct value, so that ties are one row and
@@ -78,66 +79,76 @@ def _whole(df: DataFrame, name: str) -> bool:
     return isinstance(t, T.IntegralType) or isinstance(t, T.DecimalType) and t.scale == 0 and t.precision <= 18
 
 
-#: Distance, as a share of all rows, of the percentiles beside a tile's end; their rank error is a tenth of it at most.
-BESIDE = 0.001
+#: Distance, as a share of all rows, of the percentiles beside a tile's end, and their accuracy (rank error at most 1 in so many).
+BESIDE, ACCURACY = 0.002, 2_000
 #: Pieces by id of a value that may hold very many rows.
-ID_PIECES = 32
+ID_PIECES = 16
 
 
-def _rising(name: str, asc: bool) -> Column:
-    """The key as a whole number that grows along the order."""
-    c = F.col(name).cast("bigint")
-    return c if asc else -c
+def _rising(name: str, asc: bool) -> str:
+    """SQL of the key as a whole number that grows along the order."""
+    return f"CAST(`{name}` AS BIGINT)" if asc else f"(-CAST(`{name}` AS BIGINT))"
 
 
-def _above(c: Column, limits: Sequence[int]) -> Column:
-    """How many of the sorted ``limits`` are below ``c``, by a balanced tree of comparisons."""
+def _above(c: str, limits: Sequence[int]) -> str:
+    """SQL of how many of the ``limits`` are below ``c``. (One constant array: a tree of comparisons
+    makes a plan that takes longer to compile than small tables take to read.)"""
     if not limits:
-        return F.lit(0)
-    mid = len(limits) // 2
-    return F.when(c <= F.lit(limits[mid]), _above(c, limits[:mid])).otherwise(F.lit(mid + 1) + _above(c, limits[mid + 1:]))
+        return "0"
+    return f"size(filter(array({', '.join(f'{x}L' for x in limits)}), x -> x < {c}))"
 
 
 def _cut_tiles(df: DataFrame, specs: Sequence[tuple[str, int, Order]]) -> DataFrame:
     """``add_ntiles`` by selection, for orders of two whole numbers (value, unique id)."""
-    wanted = []
+    wanted, ids = [], {}
     for k, (_, tiles, ((v, asc), (i, up))) in enumerate(specs):
         ends = sorted({min(max(e / tiles + d, 0.0), 1.0) for e in range(1, tiles) for d in (-BESIDE, BESIDE)})
-        wanted.append(F.percentile_approx(_rising(v, asc), ends or [0.5], 10_000).alias(f"v{k}"))
-        wanted.append(F.percentile_approx(_rising(i, up), [j / ID_PIECES for j in range(1, ID_PIECES)], 10_000).alias(f"i{k}"))
+        wanted.append(F.percentile_approx(F.expr(_rising(v, asc)), ends or [0.5], ACCURACY).alias(f"v{k}"))
+        if (i, up) not in ids:
+            ids[i, up] = f"i{k}"
+            wanted.append(F.percentile_approx(F.expr(_rising(i, up)), [j / ID_PIECES for j in range(1, ID_PIECES)], ACCURACY).alias(f"i{k}"))
     near = df.agg(*wanted).first()      # a few numbers per order
 
     places = []
     for k, (_, _, ((v, asc), (i, up))) in enumerate(specs):
         value, own = _rising(v, asc), _rising(i, up)
-        limits, pieces = sorted(set(near[f"v{k}"] or [])), sorted(set(near[f"i{k}"] or []))
-        below = _above(value, limits)
-        at = value.isin(*limits) if limits else F.lit(False)
-        bucket = F.when(value.isNull(), F.lit(-1 if asc else 2 * len(limits) + 2)).otherwise(2 * below + at.cast("int"))
-        piece = F.when(value.isNull() | at, _above(own, pieces)).otherwise(0)
-        places.append(F.struct(F.lit(k).alias("s"), bucket.cast("int").alias("b"), piece.cast("int").alias("p"),
-                               F.coalesce(value, F.lit(0)).alias("v"), own.alias("i")))
+        limits, pieces = sorted(set(near[f"v{k}"] or [])), sorted(set(near[ids[i, up]] or []))
+        at = f"{value} IN ({', '.join(f'{x}L' for x in limits)})" if limits else "FALSE"
+        bucket = f"CASE WHEN {value} IS NULL THEN {-1 if asc else 2 * len(limits) + 2} ELSE 2 * {_above(value, limits)} + IF({at}, 1, 0) END"
+        piece = f"CASE WHEN {value} IS NULL OR {at} THEN {_above(own, pieces)} ELSE 0 END"
+        places.append(F.expr(f"named_struct('s', {k}, 'b', {bucket}, 'p', {piece}, 'v', COALESCE({value}, 0L), 'i', {own})"))
     rows = df.select(F.explode(F.array(*places)).alias("x")).select("x.*")
-    counts = rows.groupBy("s", "b", "p").agg(F.count(F.lit(1)).alias("c"))
     # a few dozen buckets and pieces an order
-    along = Window.partitionBy("s").orderBy("b", "p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("s", "b", "p", "c", F.coalesce(F.sum("c").over(along), F.lit(0)).alias("before"),
-                           F.sum("c").over(Window.partitionBy("s")).alias("n"))
-    tiles = F.element_at(F.array(*[F.lit(t) for _, t, _ in specs]), F.col("s") + 1)
-    cuts = counts.where(tiles > 1).withColumn("e", F.explode(F.sequence(F.lit(1), F.greatest(tiles - 1, F.lit(1)))))
-    last = F.col("e") * F.expr("n div t") + F.least(F.col("e").cast("bigint"), F.expr("n % t"))
-    cuts = (cuts.withColumn("t", tiles).withColumn("last", last).where("before < last AND last <= before + c")
-            .select("s", "b", "p", "e", (F.col("last") - F.col("before")).alias("nth")))
-    # at most one row per tile end: bounded by the number of tiles
-    inside = rows.join(F.broadcast(cuts.select("s", "b", "p").distinct()), ["s", "b", "p"], "left_semi")
-    nth = F.row_number().over(Window.partitionBy("s", "b", "p").orderBy("v", "i"))
-    ends = inside.withColumn("nth", nth.cast("bigint")).join(F.broadcast(cuts), ["s", "b", "p", "nth"])
-    out = df.withColumn("__cuts", ends.agg(F.collect_list(F.struct("s", F.struct("b", "v", "i").alias("at")))).scalar())
-    for k, (name, _, _) in enumerate(specs):
-        out = out.withColumn("__own", F.struct(F.lit(k).alias("s"), *[places[k][c].alias(c) for c in "bvi"]))
-        passed = F.filter("__cuts", lambda c: (c["s"] == F.col("__own.s")) & (c["at"] < F.struct("__own.b", "__own.v", "__own.i")))
-        out = out.withColumn(name, (F.size(passed) + 1).cast("int"))
-    return out.drop("__cuts", "__own")
+    counts = sorted(tuple(r) for r in rows.groupBy("s", "b", "p").agg(F.count(F.lit(1)).alias("c")).collect())
+    cuts = {}
+    for k, (_, tiles, _) in enumerate(specs):
+        own = [(b, p, c) for s, b, p, c in counts if s == k]
+        n = sum(c for *_, c in own)
+        ends = [e * (n // tiles) + min(e, n % tiles) for e in range(1, tiles)] if n else []
+        before = 0
+        for b, p, c in own:
+            for end in ends:
+                if before < end <= before + c:
+                    cuts.setdefault((k, b, p), set()).add(end - before)
+            before += c
+    found = []
+    if cuts:
+        inside = " OR ".join(f"(s = {s} AND b = {b} AND p = {p})" for s, b, p in cuts)
+        wanted = " OR ".join(f"(s = {s} AND b = {b} AND p = {p} AND nth IN ({', '.join(map(str, sorted(nth)))}))" for (s, b, p), nth in cuts.items())
+        nth = F.row_number().over(Window.partitionBy("s", "b", "p").orderBy("v", "i"))
+        found = rows.where(inside).withColumn("nth", nth).where(wanted).collect()    # one row per tile end
+    tiles_of = []
+    for k, (name, _, ((v, asc), (i, up))) in enumerate(specs):
+        value, own = _rising(v, asc), _rising(i, up)
+        nulls = -1 if asc else 2 * len(set(near[f"v{k}"] or [])) + 2
+        passed = []
+        for r in found:
+            if r.s == k and r.b == nulls:
+                passed.append(f"({value} IS NULL AND {own} > {r.i}L)" + (f" OR {value} IS NOT NULL" if asc else ""))
+            elif r.s == k:
+                passed.append(f"{value} > {r.v}L OR ({value} = {r.v}L AND {own} > {r.i}L)" + ("" if asc else f" OR {value} IS NULL"))
+        tiles_of.append(F.expr(" + ".join(["1", *(f"CASE WHEN {x} THEN 1 ELSE 0 END" for x in passed)])).cast("int").alias(name))
+    return df.select("*", *tiles_of)
 
 
 def add_ntiles(df: DataFrame, specs: Sequence[tuple[str, int, Order]], *, ranges: int | None = None) -> DataFrame:
@@ -168,10 +179,10 @@ def add_percent_rank(df: DataFrame, name: str, by: str, asc: bool = True, bucket
     Rows are counted per value first, so a value with very many rows is one row
     in its bucket and all its rows get one rank. Buckets are ranges of values
     between approximate percentiles; a bucket's distinct values are one window."""
-    value = _rising(by, asc)
+    value = F.expr(_rising(by, asc))
     near = df.agg(F.percentile_approx(value, [j / buckets for j in range(1, buckets)], 10_000)).first()[0]
     limits = sorted(set(near or []))
-    bucket = F.when(value.isNull(), F.lit(-1 if asc else len(limits) + 1)).otherwise(_above(value, limits))
+    bucket = F.when(value.isNull(), F.lit(-1 if asc else len(limits) + 1)).otherwise(F.expr(_above(_rising(by, asc), limits)))
     values = df.select(bucket.cast("int").alias("__b"), value.alias("__v")).groupBy("__b", "__v").agg(F.count(F.lit(1)).alias("__c"))
     earlier = Window.unboundedPreceding, -1
     totals = values.groupBy("__b").agg(F.sum("__c").alias("__t"))
