@@ -82,8 +82,9 @@ def oracle(body: str, ctes: str = "") -> str:
         parts.append(ctes.strip())
     body = body.strip()
     if body[:5].upper() == "WITH ":      # the body's own CTEs follow the bindings
-        parts.append(body[5:])
-        return "WITH " + ",\n".join(parts)
+        recursive = body[5:15].upper() == "RECURSIVE "
+        parts.append(body[15 if recursive else 5:])
+        return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts)
     if not parts:
         return body
     return "WITH " + ",\n".join(parts) + "\n" + body
