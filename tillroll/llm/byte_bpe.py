@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from tillroll.llm.pretoken import TOKEN_CHUNK_BYTES, PreTokens, row_sums
 from tillroll.llm.textarrays import chunks, expand, mix, span_hashes
+from tillroll.llm.workers import tidied
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Distinct pre-tokens whose ids a Python worker keeps between chunks; the store is emptied when full.
@@ -207,7 +208,7 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", vocabulary: str
             edges = pa.array(np.append(0, np.cumsum([len(r) for r in rows])).astype(np.int32))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(edges, values)], [*kept, ids])
 
-    return df.select(*(df[c] for c in kept)).mapInArrow(run, schema)
+    return df.select(*(df[c] for c in kept)).mapInArrow(tidied(run, _kept.clear), schema)
 
 
 def decode(df: DataFrame, ids: str = "ids", text: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -223,7 +224,7 @@ def decode(df: DataFrame, ids: str = "ids", text: str = "text", vocabulary: str
             out = [e.decode(np.asarray(x.values if x.is_valid else [], np.int64)) for x in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], [*kept, text])
 
-    return df.select(*(df[c] for c in kept)).mapInArrow(run, schema)
+    return df.select(*(df[c] for c in kept)).mapInArrow(tidied(run, _kept.clear), schema)
 
 
 def round_trip(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",),
@@ -255,4 +256,4 @@ def round_trip(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_
                 [*(b.column(i) for i in range(len(keys))), pa.array(n, pa.int64()), pa.array(digest, pa.string()),
                  pa.array(back, pa.string())], [*keys, *names])
 
-    return df.select(*(F.col(f"`{k}`") for k in keys), df[text].alias("__text")).mapInArrow(run, schema)
+    return df.select(*(F.col(f"`{k}`") for k in keys), df[text].alias("__text")).mapInArrow(tidied(run, _kept.clear), schema)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.storage import written
 from tillroll.llm.textarrays import Words, chunks, mix, span_hashes
+from tillroll.llm.workers import tidied
 
 GRAM = 3
 #: Bits of a gram bitmap (8 MB, whatever the size of the benchmark).
@@ -116,7 +117,7 @@ def passages(docs: DataFrame, key: str, text: str, bits: np.ndarray, reach: int)
                                              ["key", "mark", "at", "words", "grams"])
 
     return (docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
-            .mapInArrow(run, "key bigint, mark bigint, at int, words binary, grams array<bigint>"))
+            .mapInArrow(tidied(run), "key bigint, mark bigint, at int, words binary, grams array<bigint>"))
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[float, int, int]:
@@ -203,7 +204,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     fed = (pairs.join(found.select("id", "key", "mark", "at", "words"), "id")
            .join(items.select("number", "item", F.col("words").alias("item_words")), "number")
            .select("key", "mark", "at", "words", "item", "item_words"))
-    return fed.mapInArrow(_aligned(least), "key bigint, mark bigint, item bigint, score double, start int, end int")
+    return fed.mapInArrow(tidied(_aligned(least)), "key bigint, mark bigint, item bigint, score double, start int, end int")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

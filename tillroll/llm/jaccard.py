@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.components import components
 from tillroll.llm.storage import written
 from tillroll.llm.textarrays import Words, chunks, mix
+from tillroll.llm.workers import tidied
 
 WIDTH = 5
 #: Similarity of a link, as a fraction.
@@ -85,7 +86,7 @@ def _sets(width: int, sketch: int | None):
 def text_sets(docs: DataFrame, key: str, text: str, width: int, sketch: int | None) -> DataFrame:
     """(key, mark, n, set, sketch) of every row; set is null where there is no word."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
-    return rows.mapInArrow(_sets(width, sketch), "key bigint, mark bigint, n bigint, set bigint, sketch binary")
+    return rows.mapInArrow(tidied(_sets(width, sketch)), "key bigint, mark bigint, n bigint, set bigint, sketch binary")
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +118,7 @@ def meetings(sets: DataFrame, sketch: int | None) -> DataFrame:
     table, so that the join back shuffles both of its sides itself and
     adaptive execution can split a hash that very many sets have.
     """
-    tokens = sets.select("set", "sketch").mapInArrow(_unpack, "set bigint, token bigint")
+    tokens = sets.select("set", "sketch").mapInArrow(tidied(_unpack), "set bigint, token bigint")
     often = written(tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"), "jaccard-frequencies")
     shared = tokens.join(often, "token")
     each = (shared.groupBy("set").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
@@ -290,7 +291,7 @@ def _chunk_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _dealt(rows: DataFrame) -> DataFrame:
     """Links of (chunk, set, n, tokens, probe, label), one chunk at a time in memory."""
     return (rows.repartition("chunk").sortWithinPartitions("chunk")
-            .mapInArrow(_chunk_links, "a bigint, b bigint"))
+            .mapInArrow(tidied(_chunk_links), "a bigint, b bigint"))
 
 
 def _tokens(width: int):
@@ -322,7 +323,7 @@ def links(docs: DataFrame, sets: DataFrame, key: str = "doc_id", text: str = "te
     texts = (docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
              .join(rep, F.col("key").eqNullSafe(F.col("__key")) & (F.col("mark") == F.col("__mark")))
              .select("block", "set", "n", "text"))
-    full = written(texts.mapInArrow(_tokens(width), "block bigint, set bigint, n bigint, tokens binary"), "jaccard-tokens")
+    full = written(texts.mapInArrow(tidied(_tokens(width)), "block bigint, set bigint, n bigint, tokens binary"), "jaccard-tokens")
     total = written(full.groupBy("block").agg(F.sum("n").alias("tokens"), F.count("*").alias("sets")), "jaccard-blocks")
     many = F.ceil(F.col("tokens") / chunk_tokens).cast("int")
     part = F.pmod(F.xxhash64("set", F.lit(1)), F.col("k")).cast("int")

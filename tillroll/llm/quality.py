@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.textarrays import Words, chunks
+from tillroll.llm.workers import tidied
 
 #: Most labelled rows that are fetched to fit the model: those with the smallest hash of their id.
 TRAIN_ROWS = 8_000
@@ -174,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", train: Colum
                                               *(pa.array(x, pa.binary()) for x in out)],
                                              [x.name for x in schema])
 
-    got = sample.mapInArrow(run, schema).toArrow().to_pydict()
+    got = sample.mapInArrow(tidied(run), schema).toArrow().to_pydict()
     order = sorted(range(len(got["key"])), key=lambda i: (got["key"][i], got["label"][i], got["index"][i], got["value"][i]))
     index = [np.frombuffer(got["index"][i], "<u2").astype(np.int64) for i in order]
     value = [np.frombuffer(got["value"][i], "<f4").astype(float) for i in order]
@@ -252,7 +253,7 @@ def score(df: DataFrame, model: Model, text: str = "text", metadata: tuple[str,
 
     return (df.select(*(df[c] for c in kept), df[text].alias("__text"),
                       *(df[c].cast("double").alias(f"__meta{j}") for j, c in enumerate(metadata)))
-            .mapInArrow(run, schema))
+            .mapInArrow(tidied(run), schema))
 
 
 def keep_good(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.textarrays import Words, chunks, expand, mix
+from tillroll.llm.workers import tidied
 
 RUN_SENTENCES, RUN_WORDS, LONG_SENTENCE = 2, 20, 50
 _BASE = 0x9E3779B97F4A7C15
@@ -177,11 +178,11 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     A run that a document repeats itself is removed from its second place on.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), row_mark(F.col(text)).alias("mark"), F.col(text).alias("text"))
-    met = rows.mapInArrow(_occurrences, _OCCURRENCE_SQL).repartition("deal").mapInArrow(_decided, _OCCURRENCE_SQL)
+    met = rows.mapInArrow(tidied(_occurrences), _OCCURRENCE_SQL).repartition("deal").mapInArrow(tidied(_decided), _OCCURRENCE_SQL)
     spans = (met.groupBy("key", "mark", "at").agg(F.max("words").alias("words"), F.min("earlier").alias("earlier"))
              .groupBy("key", "mark").agg(F.collect_list(F.struct("at", "words", "earlier")).alias("spans")))
     null = F.lit(int(_NULL))
-    return (spans.mapInArrow(_merged, _SPANS)
+    return (spans.mapInArrow(tidied(_merged), _SPANS)
             .withColumn("key", F.when(F.col("key") != null, F.col("key"))))
 
 
@@ -219,7 +220,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", cha
                         "__start", "__end")
     schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField("__cut", T.BooleanType()),
                            T.StructField("__text", T.StringType())])
-    done = fed.mapInArrow(_without, schema)
+    done = fed.mapInArrow(tidied(_without), schema)
     columns = [F.col("__text").alias(text) if c == text else
                F.when(F.col("__cut"), F.length("__text")).otherwise(F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c)
                if c == chars else F.col(f"`{c}`") for c in docs.columns]

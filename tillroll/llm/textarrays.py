@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 19
+#: Powers that a worker keeps, enough for the largest chunk of usual rows.
+KEPT_POWERS = (1 << 20) + 1
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -31,13 +33,13 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; kept and grown per worker."""
+    """base**0 .. base**(n-1) modulo 2**64; those of a usual chunk are kept per worker."""
     have = _powers.get(str(base))
     if have is None or len(have) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        steps = np.full(size, base, np.uint64)
+        steps = np.full(max(n, KEPT_POWERS), base, np.uint64)
         steps[0] = 1
-        have = _powers[str(base)] = np.cumprod(steps, dtype=np.uint64)
+        have = np.cumprod(steps, dtype=np.uint64)
+        _powers[str(base)] = have[:KEPT_POWERS].copy() if n > KEPT_POWERS else have  # a longer text's are not kept
     return have[:n]
 
 

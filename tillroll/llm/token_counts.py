@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from tillroll.llm.pretoken import TOKEN_CHUNK_BYTES, PreTokens, row_sums
 from tillroll.llm.textarrays import chunks, expand
+from tillroll.llm.workers import tidied
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct pre-tokens whose counts a Python worker keeps between batches; the store is emptied when full.
@@ -166,4 +167,4 @@ def count_tokens(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("do
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keys))), size, n, pc.greater(n, limit)],
                                              [*keys, "n_bytes", "n_tokens", "over_limit"])
 
-    return df.select(*(df[k] for k in keys), df[text].alias("__text")).mapInArrow(run, schema)
+    return df.select(*(df[k] for k in keys), df[text].alias("__text")).mapInArrow(tidied(run, _kept.clear), schema)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from tillroll.llm.quality import labelled_sample
 from tillroll.llm.textarrays import Words, chunks, mix, span_hashes
+from tillroll.llm.workers import tidied
 
 #: Most labelled rows that are fetched to fit the model: those with the smallest hash of their id.
 TRAIN_ROWS = 3_000
@@ -282,4 +283,4 @@ def score(df: DataFrame, chain: Chain, text: str = "text", out: str = "score", s
                 names.append(spans)
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return df.select(*(df[c] for c in kept), df[text].alias("__text")).mapInArrow(run, schema)
+    return df.select(*(df[c] for c in kept), df[text].alias("__text")).mapInArrow(tidied(run), schema)
