@@ -46,6 +46,30 @@ def test_cluster_chooses_the_region(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    (f"<head><title>t</title><body><article>{LONG}</article>", SAID),                       # the head's end tag is optional
+    (f"<html><head><title>t<body><p>{LONG}", SAID),
+    (f"<head><script>x</script><noscript><img src=a></noscript><meta name=b><p>{LONG}", SAID),
+    (f"<body><form id=aspnetForm><div><h1>H</h1>{LONG * 3}</div><input></form></body>", "\n".join(["H"] + [SAID] * 3)),
+    (f"<body><form><main><article>{LONG}</article></main></form></body>", SAID),            # a form around the page
+    (f"<body><article>{LONG}</article><form>{LONG * 5}</form></body>", SAID),               # and one beside the article
+    (f"<body><div>{LONG * 3}<form>{LONG}</form></div></body>", "\n".join([SAID] * 3)),
+    (f"<body><div class='article-widget'>{LONG * 3}</div><div>short</div></body>", "\n".join([SAID] * 3)),
+    (f"<body><div>{LONG * 2}</div><div class=comments>{LONG * 9}</div></body>", "\n".join([SAID] * 2)),
+    (f"<body><div>{LONG * 2}</div><div class='cookie-notice'>{LONG * 9}</div></body>", "\n".join([SAID] * 2)),
+])
+def test_pages_whose_tags_or_names_mislead(page, want):
+    assert html_text.main_text(page) == want
+
+
+@pytest.mark.parametrize("page", ["<body>" + "<div>some text in a block" * 60_000, "<body>" + "<b>x " * 30_000 + "</i>" * 30_000 + "</section>" * 30_000])
+def test_broken_nesting_takes_linear_time(page):
+    import time
+    start = time.perf_counter()
+    assert html_text.main_text(page)
+    assert time.perf_counter() - start < 30
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<nav>only a menu</nav>", "<p></p>", "<!-- x -->"])
 def test_pages_without_content(page):
     assert html_text.main_text(page) == ""

@@ -14,6 +14,7 @@ is kept, short or long.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -32,8 +33,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section "
                    "summary table tbody td tfoot th thead tr ul caption".split())
-#: Elements that a page uses for what is not its article.
-ASIDE = frozenset("nav footer aside form menu dialog search".split())
+#: Elements that may stand in a head; any other start tag ends one that is open.
+IN_HEAD = frozenset("head title meta link script style base noscript template object".split())
+#: Elements that a page uses for what is not its article, and those that may also hold the whole page.
+ASIDE = frozenset("nav footer aside menu dialog search".split())
+WRAPPERS = frozenset(["form"])
 #: Words of a class, id, role or label that name such a part.
 ASIDE_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs header masthead banner footer sidebar aside "
                         "notice cookie cookies consent gdpr popup modal overlay alert newsletter subscribe signup "
@@ -41,6 +45,9 @@ ASIDE_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs heade
                         "comment comments discussion disqus replies respond share sharing social related recommended "
                         "recommendations widget toolbar pagination pager search login form copyright contentinfo "
                         "complementary skip hidden".split())
+#: Those of them that are also given to what holds a page's text.
+LOOSE_WORDS = frozenset("header masthead banner widget overlay modal popup search login form toolbar pager pagination "
+                        "promo promotion promoted social share sharing subscribe signup skip".split())
 HEADINGS = frozenset("header masthead banner".split())
 #: A class that begins so (has-sidebar, no-comments) says what a page has or lacks, not what the element is.
 SAYS_OF = frozenset("has have no non not with without".split())
@@ -63,6 +70,7 @@ class Element:
     silent: bool
     aside: bool
     named: bool  # put aside by a name of its own, where nothing speaks against it
+    loose: bool  # named by words that say little
     region: int  # the nearest element that may be a content region, itself included
 
 
@@ -79,11 +87,12 @@ class Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.elements = [Element("", -1, False, False, False, 0)]
+        self.elements = [Element("", -1, False, False, False, False, 0)]
         self.open = [0]
+        self.open_tags: Counter[str] = Counter()
+        self.head = 0  # depth of an open <head>
         self.lines: list[Line] = []
         self.line = Line(0)
-        self.in_link = 0
 
     def end_line(self) -> None:
         if self.line.text:
@@ -94,10 +103,18 @@ class Lines(HTMLParser):
 
     def close_to(self, depth: int) -> None:
         for at in self.open[depth:]:
-            self.in_link -= self.elements[at].tag == "a"
+            self.open_tags[self.elements[at].tag] -= 1
         del self.open[depth:]
+        if depth <= self.head:
+            self.head = 0
+
+    @property
+    def in_link(self) -> bool:
+        return self.open_tags["a"] > 0
 
     def close_last(self, tags: tuple[str, ...], limits: frozenset[str] = LIMITS) -> None:
+        if not any(self.open_tags[t] for t in tags):
+            return
         for depth in range(len(self.open) - 1, 0, -1):
             tag = self.elements[self.open[depth]].tag
             if tag in tags:
@@ -108,6 +125,8 @@ class Lines(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.line.tags += 1
+        if self.head and tag not in IN_HEAD and self.elements[self.open[-1]].tag in ("head", "title"):
+            self.close_to(self.head)
         if tag in BLOCKS:
             self.end_line()
         elif tag == "br":
@@ -132,12 +151,15 @@ class Lines(HTMLParser):
         if within:  # the heading of the article itself
             names -= HEADINGS
         aside = tag in ASIDE or hidden or tag == "header" and not within
-        named = tag not in ("html", "body", "article", "main", "h1") and bool(names & ASIDE_WORDS)
+        names &= ASIDE_WORDS
+        named = tag in WRAPPERS or tag not in ("html", "body", "article", "main", "h1") and bool(names)
         at = len(self.elements)
         self.elements.append(Element(tag, self.open[-1], up.silent or tag in SILENT, up.aside or aside, named,
-                                     at if tag in REGIONS else up.region))
+                                     named and names <= LOOSE_WORDS, at if tag in REGIONS else up.region))
+        if tag == "head":
+            self.head = len(self.open)
         self.open.append(at)
-        self.in_link += tag == "a"
+        self.open_tags[tag] += 1
         if tag in BLOCKS:
             self.line.element = at
 
@@ -150,7 +172,7 @@ class Lines(HTMLParser):
         self.line.tags += 1
         if tag in BLOCKS:
             self.end_line()
-        for depth in range(len(self.open) - 1, 0, -1):
+        for depth in range(len(self.open) - 1, 0, -1) if self.open_tags[tag] else ():
             name = self.elements[self.open[depth]].tag
             if name == tag:
                 self.close_to(depth)
@@ -161,7 +183,7 @@ class Lines(HTMLParser):
             self.line.element = self.open[-1]
 
     def inside_article(self) -> bool:
-        return any(self.elements[at].tag in ("article", "main") for at in self.open)
+        return self.open_tags["article"] + self.open_tags["main"] > 0
 
     def handle_data(self, data: str) -> None:
         up = self.elements[self.open[-1]]
@@ -195,12 +217,23 @@ def _up(elements: list[Element], e: int) -> Iterator[int]:
         e = elements[e].parent
 
 
+def _inside(elements: list[Element], which: set[int]) -> list[bool]:
+    """Whether each element is one of ``which`` or lies in one (parents come before their children)."""
+    flags = [0 in which]
+    for i in range(1, len(elements)):
+        flags.append(i in which or flags[elements[i].parent])
+    return flags
+
+
 def _totals(elements: list[Element], at: np.ndarray, mass: np.ndarray) -> dict[int, float]:
-    """Mass of the lines within each element."""
+    """Mass of the lines within each element that has any."""
     total: dict[int, float] = {}
     for e, m in zip(at.tolist(), mass.tolist(), strict=True):
-        for x in _up(elements, e):
-            total[x] = total.get(x, 0.0) + m
+        total[e] = total.get(e, 0.0) + m
+    for i in range(len(elements) - 1, 0, -1):
+        if i in total:
+            up = elements[i].parent
+            total[up] = total.get(up, 0.0) + total[i]
     return total
 
 
@@ -214,7 +247,9 @@ def _put_aside(elements: list[Element], lines: list[Line], texts: list[str], at:
     """Puts aside what a name says is no content, but no element around the page's content.
 
     That is one with half of the cluster around the <main> or <h1> (or, without
-    these, the first article). Where all lines would go, half of the cluster is enough.
+    these, the first article). On pages without <article> and <main>, half of the
+    cluster is enough for a form and for names that say little; where all lines
+    would go, for any.
     """
     named = [i for i, e in enumerate(elements) if e.named and not e.aside]
     if not named:
@@ -234,7 +269,15 @@ def _put_aside(elements: list[Element], lines: list[Line], texts: list[str], at:
         return {i for i in which if total.get(i, 0.0) > 0 and 2 * total[i] >= total[0]}
 
     around = {x for i in centres for x in _up(elements, i)}.intersection(named)
-    if settle(heavy(around) if around else around).all():
+    spared = heavy(around) if around else around
+    aside = settle(spared)
+    if not any(elements[e].tag in ("article", "main") and not elements[e].aside for e in range(len(elements))):
+        # without the page's own marks, what is loosely named goes by its mass
+        loose = heavy(spared | {i for i in named if elements[i].loose})
+        if loose - spared:
+            spared = spared | loose
+        aside = settle(spared)
+    if aside.all():
         settle(heavy(set(named)))
 
 
@@ -245,10 +288,18 @@ def _region(elements: list[Element], at: np.ndarray, mass: np.ndarray) -> set[in
     whole = total.get(0, 0.0)
     for tag in ("article", "main"):
         found = {e for e, m in total.items() if elements[e].tag == tag and m > 0 and not elements[e].aside}
-        outer = {e for e in found if not found.intersection(_up(elements, elements[e].parent))}
+        below = _inside(elements, found) if found else []
+        outer = {e for e in found if not below[elements[e].parent]}
         if outer and 2 * sum(total[e] for e in outer) >= whole:
-            mains = {x for e in outer for x in _up(elements, e) if elements[x].tag == "main"}
-            return outer | {i for i in range(min(outer)) if elements[i].tag in TITLES and mains.intersection(_up(elements, i))}
+            holds = set(outer)  # and all that they lie in
+            for e in outer:
+                for x in _up(elements, elements[e].parent):
+                    if x in holds:
+                        break
+                    holds.add(x)
+            mains = {e for e in holds if elements[e].tag == "main"}
+            within = _inside(elements, mains)
+            return outer | {i for i in range(min(outer)) if elements[i].tag in TITLES and within[i]}
     inner = [e for e, m in total.items() if m >= 0.5 * whole and elements[e].tag in REGIONS | {""}]
     return {max(inner)} if inner else {0}
 
@@ -271,17 +322,17 @@ def main_text(html: str | None) -> str:
     aside = np.array([elements[e].aside for e in at])
     region = _region(elements, at, _cluster(_ratios(lines, texts, aside), aside))
 
-    def held(e: int) -> bool:
-        return not region.isdisjoint(_up(elements, e))
-
-    return "\n".join(t for t, e, a in zip(texts, at.tolist(), aside.tolist(), strict=True) if not a and held(e))
+    held = _inside(elements, region)
+    return "\n".join(t for t, e, a in zip(texts, at.tolist(), aside.tolist(), strict=True) if not a and held[e])
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
     """``pages`` (or its columns ``keep``) with the main text in column ``text``.
 
     Null and empty pages, and pages without any content line, give an empty
-    text. A column already called ``text`` is replaced; keys may be null or
+    text. Broken nesting: an element left open ends with the one around it, a
+    stray end tag ends nothing, a head ends at the first tag that cannot stand
+    in one. The work is linear in the page. A column already called ``text`` is replaced; keys may be null or
     repeated, every row is extracted for itself. Narrow: no shuffle, one Arrow
     batch of pages in memory.
     """
