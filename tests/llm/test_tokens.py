@@ -91,3 +91,23 @@ def test_empty_tables_and_clashing_keys(spark):
     assert byte_bpe.round_trip(empty).count() == 0 and byte_bpe.encode(empty).count() == 0
     with pytest.raises(ValueError):
         token_counts.count_tokens(empty.withColumnRenamed("doc_id", "n_bytes"), keys=("n_bytes",))
+
+
+def test_long_pretokens_equal_the_library_and_stay_fast():
+    import random
+    import time
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tillroll.llm import token_counts
+    path = public_tokenizers.path(token_counts.VOCABULARY)
+    library, rnd = Tokenizer.from_file(path), random.Random(4)
+    mixed = "".join(rnd.choice("etaoinshrdlu") for _ in range(200_000))
+    cases = ["a" * n for n in (255, 256, 257, 5000)] + ["aaaab" * 700, "ab" * 900, "中文字符" * 900, "=" * 3000, mixed]
+    texts = [*cases, " ".join(cases[:-1])]      # alone, and several long sequences at once
+    assert token_counts.merges(path).rising
+    start = time.perf_counter()
+    got = token_counts.text_counts(pa.array(texts), path).tolist()
+    assert time.perf_counter() - start < 30
+    assert got == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]

@@ -5,10 +5,18 @@ as one ragged array of symbols. In every round each sequence's lowest-ranked
 adjacent pair is found (one table search and one segmented minimum for all
 sequences) and applied everywhere in its sequence at the same time; sequences
 without a mergeable pair leave. What survives is counted.
+
+Long sequences (scripts without spaces, encoded data) would take a round over
+all of their symbols for every rank they hold. A merge that uses a symbol comes
+after the merge that made it in every trained vocabulary (checked when the file
+is read), so ranks only rise: for long sequences the positions of pairs are
+queued by rank, every rank is applied once in all of them at the same time, and
+only the neighbours of what was merged are looked up again.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -27,6 +35,8 @@ from tillroll.llm.workers import tidied
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct pre-tokens whose counts a Python worker keeps between batches; the store is emptied when full.
 KEPT = 500_000
+#: Symbols from which a sequence is merged by queued positions.
+LONG = 256
 
 
 def _byte_letters() -> list[str]:
@@ -52,6 +62,9 @@ class Merges:
         self.order = np.argsort(key, kind="stable")
         self.key, self.made = key[self.order], made[self.order]
         self.none = len(pairs)
+        first = dict(zip(made.tolist()[::-1], range(len(pairs) - 1, -1, -1), strict=True))
+        #: Whether every merge comes after those that make its two symbols.
+        self.rising = all(first.get(a, -1) < r and first.get(b, -1) < r for r, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True)))
         #: Added tokens stand for themselves wherever their text occurs; longest first where several begin.
         self.special = sorted((t["content"] for t in spec.get("added_tokens", [])), key=len, reverse=True)
 
@@ -65,6 +78,62 @@ class Merges:
 
     def counts(self, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Symbols left of each sequence when no pair of it can be merged."""
+        long = (lengths >= LONG) & self.rising
+        if not long.any():
+            return self._short_counts(symbols, lengths)
+        out = np.zeros(len(lengths), np.int64)
+        each = np.repeat(long, lengths)
+        out[long] = self._long_counts(symbols[each], lengths[long])
+        out[~long] = self._short_counts(symbols[~each], lengths[~long])
+        return out
+
+    def _long_counts(self, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """``counts`` by positions queued by rank; every rank is applied once."""
+        n, end = len(symbols), np.cumsum(lengths)
+        symbols, alive = symbols.copy(), np.ones(n, bool)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[end - 1], before[end - lengths] = -1, -1
+        now = np.full(n, self.none)     # rank of the pair that begins here
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def look(at: np.ndarray) -> None:
+            pairs = at[after[at] >= 0]
+            now[at] = self.none
+            now[pairs] = self.rank(symbols[pairs], symbols[after[pairs]])[0]
+            pairs = pairs[now[pairs] < self.none]
+            pairs = pairs[np.argsort(now[pairs], kind="stable")]
+            found = now[pairs]
+            cut = np.flatnonzero(np.diff(found)) + 1
+            for part in np.split(pairs, cut) if len(pairs) else ():
+                r = int(now[part[0]])
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                waiting[r].append(part)
+
+        look(np.arange(n))
+        while ranks:
+            r = heapq.heappop(ranks)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            at = at[(now[at] == r) & alive[at]]
+            if not len(at):
+                continue
+            # of overlapping equal pairs (aaa) the first, third, ... are joined, as left to right does
+            begins = np.append(True, after[at[:-1]] != at[1:])
+            at = at[(np.arange(len(at)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]) % 2 == 0]
+            gone = after[at]
+            symbols[at] = self.rank(symbols[at[:1]], symbols[gone[:1]])[1][0]
+            alive[gone], now[gone] = False, self.none
+            after[at] = after[gone]
+            has = after[at] >= 0
+            before[after[at][has]] = at[has]
+            left = before[at]
+            look(np.unique(np.concatenate([at, left[left >= 0]])))
+        return np.add.reduceat(alive.astype(np.int64), end - lengths)
+
+    def _short_counts(self, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """``counts`` by rounds over all symbols."""
         out = lengths.astype(np.int64).copy()
         live = np.flatnonzero(lengths > 1)
         symbols = symbols[np.repeat(lengths > 1, lengths)]
