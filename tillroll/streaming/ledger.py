@@ -115,11 +115,19 @@ def _batches(spark: SparkSession, base: str) -> list[str]:
     return [b for s in sorted(streams) for b in _committed(spark, s)]
 
 
-def _deltas(spark: SparkSession, base: str) -> tuple[list[str], list[str], list[str]]:
-    """(folders to read, batches in them one by one, batches folded into the newest compaction)."""
+def _place(folder: str) -> tuple[str, int]:
+    """(stream, batch) of a batch folder."""
+    stream, batch = folder.rstrip("/").rsplit("/", 2)[1:]
+    return stream.removeprefix("stream="), int(batch.removeprefix("batch_id="))
+
+
+def _deltas(spark: SparkSession, base: str) -> tuple[list[str], list[str], dict[str, int]]:
+    """(folders to read, batches in them one by one, last batch folded into the newest compaction by stream).
+
+    A stream commits its batches in order, so the last one folded stands for all before it: one number a stream."""
     done = _committed(spark, f"{base.rstrip('/')}/compacted")
-    covered = [r.batch for r in spark.read.schema("batch STRING").json(f"{done[-1]}/covers").collect()] if done else []
-    loose = [b for b in _batches(spark, base) if b not in set(covered)]
+    covered = {r.stream: r.batch for r in spark.read.schema("stream STRING, batch BIGINT").json(f"{done[-1]}/covers").collect()} if done else {}
+    loose = [b for b in _batches(spark, base) if _place(b)[1] > covered.get(_place(b)[0], -1)]
     return ([f"{done[-1]}/units"] if done else []) + loose, loose, covered
 
 
@@ -130,28 +138,38 @@ def ledger_units(spark: SparkSession, ledger_dir: str) -> DataFrame:
     return rows.groupBy("product_id").agg(F.sum("units").alias("units"), F.max("updated_at").alias("updated_at"))
 
 
-def compact_ledger(spark: SparkSession, ledger_dir: str) -> int:
-    """Fold all committed batches into one table; returns how many were folded.
+def _compact(spark: SparkSession, base: str, read: Callable[[SparkSession, str], DataFrame]) -> int:
+    """Fold all committed batches below ``base`` into one table with what ``read`` gives; returns how many were folded.
 
-    The new table and the list of batches it covers become visible together
-    with its marker; only then are those batches removed, and a reader skips
-    covered ones, so that a job that dies in between changes nothing.
+    The new table and what it covers become visible together with its marker;
+    only then are the batches and the compaction before it removed, and a reader
+    skips covered ones, so that a job that dies in between changes nothing.
     """
-    _, loose, covered = _deltas(spark, ledger_dir)
+    _, loose, covered = _deltas(spark, base)
     if not loose:
         return 0
-    done = _committed(spark, f"{ledger_dir.rstrip('/')}/compacted")
-    target = f"{ledger_dir.rstrip('/')}/compacted/{len(done):06d}-{uuid.uuid4().hex}"
-    ledger_units(spark, ledger_dir).write.parquet(f"{target}/units")
-    # one short row per batch
-    spark.createDataFrame([(b,) for b in [*covered, *loose]], "batch STRING").coalesce(1).write.json(f"{target}/covers")
+    done = _committed(spark, f"{base.rstrip('/')}/compacted")
+    number = int(done[-1].rsplit("/", 1)[1].split("-")[0]) + 1 if done else 0
+    target = f"{base.rstrip('/')}/compacted/{number:06d}-{uuid.uuid4().hex}"
+    read(spark, base).write.parquet(f"{target}/units")
+    last = dict(covered)
+    for b in loose:
+        stream, batch = _place(b)
+        last[stream] = max(batch, last.get(stream, -1))
+    # one short row per stream
+    spark.createDataFrame(sorted(last.items()), "stream STRING, batch BIGINT").coalesce(1).write.json(f"{target}/covers")
     fs, marker = fs_of(spark, f"{target}/_SUCCESS")
     fs.create(marker).close()
-    for b in loose:
+    for b in [*loose, *done[:-1]]:      # the one before stays for those who are reading it
         fs.delete(fs_of(spark, b)[1], True)
     return len(loose)
 
 
+def compact_ledger(spark: SparkSession, ledger_dir: str) -> int:
+    """Fold all committed batches of the ledger into one table; returns how many were folded."""
+    return _compact(spark, ledger_dir, ledger_units)
+
+
 def current_stock(inventory: DataFrame, spark: SparkSession, ledger_dir: str) -> DataFrame:
     """Base stock minus every committed ledger delta, with the time of the
     last booking (NULL for a product nobody ordered)."""
@@ -182,6 +200,15 @@ def touch_updated_at(orders: DataFrame) -> DataFrame:
     return orders.withColumn("updated_at", F.current_timestamp())
 
 
+@query("order_touch", oracle("""
+SELECT order_id, order_date, order_status, TRUE AS stamped, TRUE AS stamped_after_order FROM b_orders"""))
+def order_touch(t: Tables) -> DataFrame:
+    """Orders with the audit stamp: every row has one, none before its order date, and the order date is kept."""
+    o = touch_updated_at(t.orders)
+    after = F.col("order_date").isNull() | (F.col("updated_at").cast("timestamp_ntz") > F.col("order_date"))
+    return o.select("order_id", "order_date", "order_status", F.col("updated_at").isNotNull().alias("stamped"), after.alias("stamped_after_order"))
+
+
 # --------------------------------------------------------------------------
 ORDER_STREAM_SCHEMA = T.StructType([
     T.StructField("order_id", T.LongType()),
@@ -221,14 +248,34 @@ def start_dashboard_stream(spark: SparkSession, orders_dir: str, sink_dir: str,
             .trigger(availableNow=True).start())
 
 
+_DAY_SUMS = {"total_orders": "BIGINT", "revenue_dec": "DECIMAL(38,2)", "n_amount": "BIGINT", "discounts_dec": "DECIMAL(38,2)",
+             "shipping_dec": "DECIMAL(38,2)", "delivered_orders": "BIGINT", "cancelled_orders": "BIGINT"}
+
+
+def dashboard_days(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """One row per day and customer over every committed batch."""
+    folders, _, _ = _deltas(spark, sink_dir)
+    parts = [spark.read.parquet(f) for f in folders]    # sums widen when they are folded, so types differ between folders
+    out = None
+    for rows in parts:
+        rows = rows.select("sale_date", "customer_id", *[F.col(c).cast(k).alias(c) for c, k in _DAY_SUMS.items()])
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        out = spark.createDataFrame([], "sale_date DATE, customer_id BIGINT, " + ", ".join(f"{c} {k}" for c, k in _DAY_SUMS.items()))
+    return out.groupBy("sale_date", "customer_id").agg(*[F.sum(c).cast(k).alias(c) for c, k in _DAY_SUMS.items()])
+
+
+def compact_dashboard(spark: SparkSession, sink_dir: str) -> int:
+    """Fold all committed batches of the dashboard into one table; returns how many were folded."""
+    return _compact(spark, sink_dir, dashboard_days)
+
+
 def read_dashboard_stream(spark: SparkSession, sink_dir: str) -> DataFrame:
     """The dashboard of all days seen so far."""
     from tillroll.functions.common import ratio, rnd
-    rows = spark.read.parquet(*_batches(spark, sink_dir))
-    sums = ("total_orders", "revenue_dec", "n_amount", "discounts_dec", "shipping_dec", "delivered_orders", "cancelled_orders")
     # a customer's batches of one day first, so that customers are then plain rows
-    per = rows.groupBy("sale_date", "customer_id").agg(*[F.sum(c).alias(c) for c in sums])
-    days = per.groupBy("sale_date").agg(F.count("customer_id").alias("unique_customers"), *[F.sum(c).alias(c) for c in sums])
+    days = dashboard_days(spark, sink_dir).groupBy("sale_date").agg(
+        F.count("customer_id").alias("unique_customers"), *[F.sum(c).alias(c) for c in _DAY_SUMS])
     return days.select(
         "sale_date", F.col("total_orders").cast("bigint").alias("total_orders"), "unique_customers",
         F.col("revenue_dec").cast("double").alias("revenue"),
@@ -241,10 +288,12 @@ def read_dashboard_stream(spark: SparkSession, sink_dir: str) -> DataFrame:
 
 @query("dashboard_stream", v_daily_dashboard_sql(36500))
 def dashboard_stream(t: Tables) -> DataFrame:
-    """The streamed dashboard over all orders, the older half arriving last."""
+    """The streamed dashboard over all orders, the older half arriving last, compacted in between."""
     base = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/dashboard-{uuid.uuid4().hex}"
     o = t.orders.select(*ORDER_STREAM_SCHEMA.names)
     for late in (False, True):
         o.where((F.year("order_date") < 1998) == late).write.mode("append").parquet(f"{base}/orders")
         start_dashboard_stream(t.spark, f"{base}/orders", f"{base}/days", f"{base}/checkpoint").awaitTermination()
+        if not late:
+            compact_dashboard(t.spark, f"{base}/days")
     return read_dashboard_stream(t.spark, f"{base}/days")
