@@ -55,7 +55,10 @@ def test_key_of_a_single_call_reaches_the_scan(spark, name, pushed):
 
 
 @pytest.mark.parametrize("name,table,scans", [("churn_risk", "orders", 1), ("best_sellers", "lineitem", 1),
-                                              ("order_total_reconcile", "lineitem", 1)])
+                                              ("order_total_reconcile", "lineitem", 1), ("category_performance", "lineitem", 1),
+                                              ("mv_category_performance", "lineitem", 1), ("mv_category_performance_corrected", "lineitem", 1),
+                                              ("dq_foreign_key", "orders", 5), ("rfm_segments", "orders", 1),
+                                              ("refreshed_monthly_revenue", "orders", 0), ("trend_decompose", "lineitem", 1)])
 def test_facts_are_read_no_more_than_needed(spark, name, table, scans):
     plan = registry.QUERIES[name](Tables(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
     first = {"orders": "o_orderkey", "lineitem": "l_orderkey"}[table]

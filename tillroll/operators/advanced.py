@@ -82,9 +82,10 @@ def valid_order_products(t: Tables, with_total: bool = False) -> DataFrame:
     return it.groupBy("order_id", "product_id", *cols[1:]).agg(F.count(F.lit(1)).alias("lines"))
 
 
-def orders_per_product(t: Tables) -> DataFrame:
-    """COUNT(DISTINCT order_id) per product over all items (any status)."""
-    return (t.items.select("order_id", "product_id").distinct()
+def orders_per_product(t: Tables, product_id: int | None = None) -> DataFrame:
+    """COUNT(DISTINCT order_id) per product (or of one) over all items (any status)."""
+    items = t.items if product_id is None else t.items.where(F.col("product_id") == product_id)
+    return (items.select("order_id", "product_id").distinct()
             .groupBy("product_id").agg(F.count(F.lit(1)).alias("_den")))
 
 
@@ -206,19 +207,20 @@ def affinity_pairs(po: DataFrame, min_co: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _affinity(pairs: DataFrame, totals: DataFrame, names: DataFrame, k: int) -> DataFrame:
+    """The k most alike pairs; names (one per product) are joined to these alone."""
     ta = totals.toDF("product_a", "product_a_orders")
     tb = totals.toDF("product_b", "product_b_orders")
-    j = (pairs.join(ta, "product_a").join(tb, "product_b")
-         .join(names.toDF("product_a", "product"), "product_a")
-         .join(names.toDF("product_b", "recommended_product"), "product_b"))
     cos = F.col("co_occurrence").cast("double") / F.sqrt(
         (F.col("product_a_orders") * F.col("product_b_orders")).cast("double"))
+    order = [F.col("cosine_similarity").desc(), "product_a", "product_b"]
+    top = pairs.join(ta, "product_a").join(tb, "product_b").withColumn("cosine_similarity", rnd(cos, 4)).orderBy(*order).limit(k)
+    j = (top.join(names.toDF("product_a", "product"), "product_a")
+         .join(names.toDF("product_b", "recommended_product"), "product_b"))
     return (j.select("product", "recommended_product", "co_occurrence", "product_a_orders",
                      "product_b_orders",
                      rnd(pct("co_occurrence", "product_a_orders")).alias("affinity_score_pct"),
-                     rnd(cos, 4).alias("cosine_similarity"), "product_a", "product_b")
-            .orderBy(F.col("cosine_similarity").desc(), "product_a", "product_b")
-            .limit(k).drop("product_a", "product_b"))
+                     "cosine_similarity", "product_a", "product_b")
+            .orderBy(*order).limit(k).drop("product_a", "product_b"))
 
 
 def _affinity_sql(unit: str, names: str, min_co: int, k: int) -> str:

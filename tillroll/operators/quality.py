@@ -109,26 +109,34 @@ WHERE c.{col} IS NOT NULL"""
 
 @query("dq_foreign_key", _sql_union([_fk_sql(*fk) for fk in FOREIGN_KEYS]))
 def dq_foreign_key(t: Tables) -> DataFrame:
-    """Child rows whose non-null key has no parent. One pass over each child
-    table: it is left-joined to the distinct keys of all its parents (which
-    multiplies no row) and every constraint is counted in one aggregate."""
-    by_child: dict[str, list[tuple[str, str, str]]] = {}
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        by_child.setdefault(child, []).append((col, parent, pcol))
-    parts = []
-    for child, rules in by_child.items():
-        j = _df(t, child).select(*dict.fromkeys(col for col, _, _ in rules))
-        for i, (col, parent, pcol) in enumerate(rules):
-            keys = _df(t, parent).select(F.col(pcol).alias(f"_k{i}")).distinct()
-            j = j.join(keys, F.col(col) == F.col(f"_k{i}"), "left")
-        agg = j.agg(*[F.count(col).alias(f"_n{i}") for i, (col, _, _) in enumerate(rules)],
-                    *[count_if(F.col(col).isNotNull() & F.col(f"_k{i}").isNull()).alias(f"_o{i}")
-                      for i, (col, _, _) in enumerate(rules)])
-        parts.append(agg.select(F.explode(F.array(*[
-            F.struct(F.lit(f"{child}.{col} -> {parent}.{pcol}").alias("constraint_name"),
-                     F.col(f"_n{i}").alias("checked_rows"), F.col(f"_o{i}").alias("orphan_rows"))
-            for i, (col, parent, pcol) in enumerate(rules)])).alias("x")).select("x.*"))
-    return _union(parts)
+    """Child rows whose non-null key has no parent.
+
+    Every table is read once as a child, which gives (parent, key) references
+    counted per constraint, and once as a parent, whose distinct keys are one
+    table with those of the others: a single join answers all constraints."""
+    by_child: dict[str, list[tuple[int, str, int]]] = {}
+    parents: dict[tuple[str, str], int] = {}
+    for i, (child, col, parent, pcol) in enumerate(FOREIGN_KEYS):
+        by_child.setdefault(child, []).append((i, col, parents.setdefault((parent, pcol), len(parents))))
+
+    def pairs(df: DataFrame, rows: list) -> DataFrame:
+        return df.select(F.explode(F.array(*rows)).alias("x")).select("x.*").where("k IS NOT NULL")
+
+    refs = _union([pairs(_df(t, child).select(*dict.fromkeys(c for _, c, _ in rules)), [
+        F.struct(F.lit(i).alias("rule"), F.lit(p).alias("parent"), F.col(c).cast("bigint").alias("k")) for i, c, p in rules])
+        for child, rules in by_child.items()])
+    by_parent: dict[str, list[tuple[int, str]]] = {}
+    for (parent, pcol), p in parents.items():
+        by_parent.setdefault(parent, []).append((p, pcol))
+    keys = _union([pairs(_df(t, parent).select(*[c for _, c in cols]), [
+        F.struct(F.lit(p).alias("parent"), F.col(c).cast("bigint").alias("k")) for p, c in cols])
+        for parent, cols in by_parent.items()]).distinct().withColumn("found", F.lit(1))
+    met = refs.groupBy("parent", "k", "rule").agg(F.count(F.lit(1)).alias("n")).join(keys, ["parent", "k"], "left")
+    counted = met.groupBy("rule").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("found").isNull(), F.col("n"))).alias("o"))
+    rules = t.spark.range(len(FOREIGN_KEYS)).select(F.col("id").cast("int").alias("rule"), F.element_at(F.array(*[
+        F.lit(f"{child}.{col} -> {parent}.{pcol}") for child, col, parent, pcol in FOREIGN_KEYS]), F.col("id").cast("int") + 1).alias("constraint_name"))
+    return rules.join(counted, "rule", "left").select(
+        "constraint_name", F.coalesce("n", F.lit(0)).alias("checked_rows"), F.coalesce("o", F.lit(0)).alias("orphan_rows"))
 
 
 # --------------------------------------------------------------------------

@@ -30,9 +30,11 @@ def category_months(t: Tables) -> DataFrame:
             .groupBy("product_id", "month").agg(F.sum("subtotal_e4").alias("e4")))
     top = t.raw("part").select(F.col("p_partkey").alias("product_id"), F.col("p_type").alias("category"))
     per = sold.join(top, "product_id").groupBy("category", "month").agg(F.sum("e4").alias("e4"))
-    span = per.groupBy("category").agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
-    every = span.select("category", F.explode(F.expr("sequence(lo, hi, INTERVAL 1 MONTH)")).alias("month"))
-    return every.join(per, ["category", "month"], "left").select("category", "month", F.coalesce("e4", F.lit(0)).alias("e4"))
+    # one map of months a category; every month between its ends is looked up in it
+    have = per.groupBy("category").agg(F.map_from_entries(F.collect_list(F.struct("month", "e4"))).alias("have"))
+    every = F.expr("sequence(array_min(map_keys(have)), array_max(map_keys(have)), INTERVAL 1 MONTH)")
+    return (have.select("category", "have", F.explode(every).alias("month"))
+            .select("category", "month", F.coalesce(F.try_element_at("have", F.col("month")), F.lit(0)).alias("e4")))
 
 
 #: CTE ``series``: the same in SQL, with the month's number from 1.
@@ -70,13 +72,15 @@ def trend_decompose(t: Tables) -> DataFrame:
     frame = line.rowsBetween(-6, 6)
     ends = F.lag("e4", 6).over(line) + F.lead("e4", 6).over(line)
     trend24 = F.when(F.count(F.lit(1)).over(frame) == 13, 2 * F.sum("e4").over(frame) - ends)
-    m = m.withColumn("trend24", trend24)
-    index = (m.where("trend24 IS NOT NULL").groupBy("category", F.month("month").alias("m"))
-             .agg((F.sum(24 * F.col("e4") - F.col("trend24")).cast("double") / F.count(F.lit(1))).alias("raw")))
-    # twelve rows a category
-    of_all = Window.partitionBy("category").orderBy("m").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    index = index.select("category", "m", (F.col("raw") - F.sum("raw").over(of_all) / F.count("raw").over(of_all)).alias("season"))
-    j = m.withColumn("m", F.month("month")).join(index, ["category", "m"], "left")
+    m = m.withColumn("trend24", trend24).withColumn("m", F.month("month"))
+    # a dozen rows and a row a year in each window
+    same = Window.partitionBy("category", "m")
+    raw = F.sum(24 * F.col("e4") - F.col("trend24")).over(same).cast("double") / F.nullif(F.count("trend24").over(same), F.lit(0))
+    m = m.withColumn("raw", raw).withColumn("first", F.row_number().over(same.orderBy("month")) == 1)
+    # the indices once each, in the order of the year
+    once = Window.partitionBy("category").orderBy(F.desc("first"), "m").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    index = F.when(F.col("first"), F.col("raw"))
+    j = m.withColumn("season", F.col("raw") - F.sum(index).over(once) / F.count(index).over(once))
     return j.select("category", "month", dollars("e4", 4).alias("revenue"), rnd(F.col("trend24") / 24e4).alias("trend"),
                     rnd(F.col("season") / 24e4).alias("season"),
                     rnd((24 * F.col("e4") - F.col("trend24") - F.col("season")) / 24e4).alias("remainder"))

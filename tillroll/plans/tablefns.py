@@ -221,7 +221,7 @@ def recommend_products(t: Tables, product_id: int | None = None, k: int = 5) ->
                  .groupBy("a", "b").agg(F.count(F.lit(1)).alias("times_bought_together")))
     j = (pairs.join(t.product_names.select(F.col("product_id").alias("b"),
                                       F.col("product_name").alias("recommended_product_name")), "b")
-         .join(orders_per_product(t).withColumnRenamed("product_id", "a"), "a"))
+         .join(orders_per_product(t, product_id).withColumnRenamed("product_id", "a"), "a"))
     w = Window.partitionBy("a").orderBy(F.col("times_bought_together").desc(), "b")
     return (j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
             .select(F.col("a").alias("product_id"), F.col("b").alias("recommended_product_id"),
