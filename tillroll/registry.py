@@ -39,5 +39,5 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from tillroll.operators import (advanced, customer, extras, generate, journeys,  # noqa: F401
                                     marketing, operations, product, quality, sales, samples, series)
-    from tillroll.plans import incremental, jobs, tablefns, views  # noqa: F401
+    from tillroll.plans import incremental, jobs, statistics, tablefns, views  # noqa: F401
     from tillroll.streaming import ledger, windows  # noqa: F401
