@@ -12,7 +12,7 @@ def _order(spark, session, folder, name, dear, delivered):
                                               F.lit(1).cast("bigint").alias("quantity"), F.lit(5).cast("bigint").alias("subtotal_e4")), session, "items", base)
     status = F.when(F.col("id") % 100 < delivered, "Delivered").otherwise(F.concat(F.lit("s"), (F.col("id") % (1 if delivered > 50 else 60)).cast("string")))
     orders = st.store(spark.range(1000).select(F.col("id").alias("order_id"), status.alias("order_status")), session, "orders", base)
-    price = F.when(F.col("id") % 100 < dear, 98000 + F.col("id") % 100).otherwise(F.col("id") % 90000)
+    price = F.when(F.col("id") % 100 < dear, 98000 + F.col("id") % 100).otherwise(F.lit(97_990) if dear > 50 else F.col("id"))
     products = st.store(spark.range(500).select(F.col("id").alias("product_id"), F.lit("S").alias("supplier"), price.alias("price_cents")), session, "products", base)
     df = st.star(session, items, orders, products)
     return df, st.joined_tables(df)
