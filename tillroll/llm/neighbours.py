@@ -28,7 +28,7 @@ from tillroll.llm.storage import written
 from tillroll.llm.textarrays import mix
 
 TABLES, WIDTH = 4, 1.0
-#: Rows that a bucket holds on average, about; the number of projections of a table follows from it.
+#: Rows that a bucket holds on average at least, about; the most projections of a table follow from it.
 PER_BUCKET = 64
 #: Rows (those with the smallest id hash) that the fit looks at, and queries among them.
 SAMPLE, SAMPLE_QUERIES = 4_000, 300
@@ -36,6 +36,8 @@ SAMPLE, SAMPLE_QUERIES = 4_000, 300
 RECALL = 0.95
 #: Cell offsets looked at on each side.
 REACH = 4
+#: Comparisons that visiting a bucket costs, about, and sample queries that the price of a hashing is measured on.
+PROBE, PRICED = 200, 30
 #: Index bytes that one part holds, about, and the fewest rows of a bucket that is split.
 PART_BYTES, SPLIT_ROWS = 8 << 20, 50_000
 
@@ -77,6 +79,16 @@ class Hashing:
         cost = -np.log(np.maximum(p, 1e-300))
         return cost - cost.min(axis=1, keepdims=True)
 
+    def visit_count(self, place: np.ndarray, enough: float) -> float:
+        """How many buckets ``probes`` would visit; counting ends above ``enough``."""
+        cost, total = np.sort(self.costs(place), axis=1), np.zeros(1)
+        for row in cost:
+            total = (total[:, None] + row[None, :np.searchsorted(row, self.stop, side="right")]).ravel()
+            total = total[total <= self.stop]
+            if len(total) > enough:
+                return np.inf
+        return len(total)
+
     def probes(self, table: int, place: np.ndarray) -> np.ndarray:
         """Keys of the buckets to visit, likeliest first, down to the stopping cost."""
         cost = self.costs(place)
@@ -110,38 +122,55 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.sqrt((m * m).sum(axis=1, keepdims=True)) if len(m) else m
 
 
+def _offset_costs(h: Hashing, place: np.ndarray, cell: np.ndarray, query: int, rows: np.ndarray) -> np.ndarray:
+    """Cost at which a query's probing reaches each of ``rows``, in its best table (infinite beyond the offsets looked at)."""
+    best = np.full(len(rows), np.inf)
+    for t in range(TABLES):
+        cost = h.costs(place[query, t])
+        offset = cell[rows, t] - cell[query, t] + REACH
+        inside = ((offset >= 0) & (offset <= 2 * REACH)).all(axis=1)
+        total = np.take_along_axis(cost.T, np.clip(offset, 0, 2 * REACH), axis=0).sum(axis=1)
+        best = np.minimum(best, np.where(inside, total, np.inf))
+    return best
+
+
 def fit(sample: np.ndarray, rows: int, k: int, seed: int = 11) -> Hashing:
     """Hashing for ``rows`` vectors like those of ``sample`` (one a row).
 
-    The sample's neighbours are farther than those among all rows, so the stop
-    found here visits more than all rows need.
+    The number of projections is the one whose queries cost least, as the
+    sample shows it: buckets visited (``PROBE`` comparisons each) and candidates
+    met, at the stop that ``RECALL`` of the true neighbours need. Vectors that
+    no hashing separates get few projections and so few, large buckets; the
+    visits of a query grow more slowly than the table. The sample's neighbours
+    are farther than those among all rows, so the stop found here visits more
+    than all rows need.
     """
     d = sample.shape[1]
     rng = np.random.default_rng(seed)
-    m = int(np.clip(round(np.log2(max(rows, 1) / PER_BUCKET) / 2), 1, 16))
-    h = Hashing(rng.normal(size=(TABLES, m, d)), rng.random((TABLES, m)), 1.0)
+    most = int(np.clip(round(np.log2(max(rows, 1) / PER_BUCKET) / 2), 1, 16))
+    direction, shift = rng.normal(size=(TABLES, most, d)), rng.random((TABLES, most))
     unit = _unit(sample)
     n = min(SAMPLE_QUERIES, len(unit))
     if n < 2:
-        h.stop = np.inf
-        return h
+        return Hashing(direction, shift, 1.0, np.inf)
     cosine = unit[:n] @ unit.T
     cosine[np.arange(n), np.arange(n)] = -2
     near = np.argsort(-cosine, axis=1)[:, :min(k, len(unit) - 1)]
     distance = np.sqrt(np.maximum(0, 2 - 2 * np.take_along_axis(cosine, near, axis=1)))
-    h.spread = float(max(np.median(distance), 0.05))
-    place = h.places(unit)
-    cell = np.floor(place).astype(np.int64)
-    best = np.full(near.shape, np.inf)
-    for t in range(TABLES):
-        for i in range(n):
-            cost = h.costs(place[i, t])
-            offset = cell[near[i], t] - cell[i, t] + REACH
-            inside = ((offset >= 0) & (offset <= 2 * REACH)).all(axis=1)
-            total = np.take_along_axis(cost.T, np.clip(offset, 0, 2 * REACH), axis=0).sum(axis=1)
-            best[i] = np.minimum(best[i], np.where(inside, total, np.inf))
-    h.stop = float(np.quantile(best, RECALL))
-    return h
+    spread = float(max(np.median(distance), 0.05))
+    best, least = None, np.inf
+    for m in range(1, most + 1):
+        h = Hashing(direction[:, :m], shift[:, :m], spread)
+        place = h.places(unit)
+        cell = np.floor(place).astype(np.int64)
+        h.stop = float(np.quantile([_offset_costs(h, place, cell, i, near[i]) for i in range(n)], RECALL))
+        tried = range(min(n, PRICED))
+        visits = np.mean([sum(h.visit_count(place[i, t], least / PROBE) for t in range(TABLES)) for i in tried])
+        met = np.mean([(_offset_costs(h, place, cell, i, np.arange(len(unit))) <= h.stop).mean() for i in tried])
+        price = PROBE * visits + rows * met
+        if price < least:
+            best, least = h, price
+    return best
 
 
 def _exact(vectors: np.ndarray, norms: np.ndarray, q: np.ndarray, norm: float) -> np.ndarray:
