@@ -15,23 +15,26 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.storage import written
 
+#: Rows of a round's file, about: small rounds are few files, however many partitions a shuffle has.
+FILE_ROWS = 250_000
 
-def _least(edges: DataFrame, name: str) -> DataFrame:
+
+def _least(edges: DataFrame, name: str, files: int) -> DataFrame:
     """(u, v, m): each directed edge with the smallest of u and its neighbours.
 
     The minima are a written table: the join then shuffles both of its sides
     itself, and adaptive execution can split the edges of one hot node."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(written(least, f"{name}-least"), "u")
+    return edges.join(written(least.coalesce(files), f"{name}-least"), "u")
 
 
-def _round(edges: DataFrame, name: str) -> DataFrame:
+def _round(edges: DataFrame, name: str, files: int) -> DataFrame:
     """One large star, then one small star, over distinct edges (u > v)."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    large = _least(both, name).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    small = _least(written(large, f"{name}-large"), name)
+    large = _least(both, name, files).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    small = _least(written(large.coalesce(files), f"{name}-large"), name, files)
     hung = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return hung.unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+    return hung.unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct().coalesce(files)
 
 
 def _stars(edges: DataFrame) -> bool:
@@ -51,6 +54,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "compon
     now = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).alias("a"), F.col(b).alias("b"))
                   .filter("a IS NOT NULL AND b IS NOT NULL AND u <> v").select("u", "v").distinct(), f"{name}-edges")
     while not _stars(now):
-        now = written(_round(now, name), f"{name}-round")
+        now = written(_round(now, name, 1 + now.count() // FILE_ROWS), f"{name}-round")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
