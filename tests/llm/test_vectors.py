@@ -113,9 +113,10 @@ def test_missed_pairs_have_the_stated_odds():
         e = rng.normal(size=16)
         e -= (e @ u) * u
         v = 0.95 * u + np.sqrt(1 - 0.95 ** 2) * e / np.linalg.norm(e)
-        a, b = codes.margins(np.stack([u, v]), 0)
-        home = codes.keys(0, np.stack([a > 0, b > 0]))
-        hits += home[1] in codes.visits(0, a, codes.limit) or home[0] in codes.visits(0, b, codes.limit)
+        both = np.stack([u, v])
+        home = codes.homes(0, both)
+        row, key = codes.visits(0, codes.margins(both, 0), np.full(2, codes.limit))
+        hits += home[1] in key[row == 0] or home[0] in key[row == 1]
     assert hits / 1500 > need - 0.05
 
 

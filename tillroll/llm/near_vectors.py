@@ -87,23 +87,34 @@ class Codes:
         return unit @ self.directions[table].T
 
     @staticmethod
-    def keys(table: int, bits: np.ndarray) -> np.ndarray:
-        """Bucket keys of sign bits (bucket, bit)."""
-        number = bits.astype(np.uint64) @ (np.uint64(1) << np.arange(bits.shape[1], dtype=np.uint64))
+    def keys(table: int, number: np.ndarray) -> np.ndarray:
+        """Bucket keys of sign bits read as numbers."""
         return mix(number * np.uint64(2 * TABLES + 3) + np.uint64(table + 1)).view(np.int64)
 
-    def visits(self, table: int, margin: np.ndarray, limit: float) -> np.ndarray:
-        """Keys of all buckets whose flipped bits have squared margins of ``limit`` at most in sum."""
-        cost, order = np.sort(margin * margin), np.argsort(margin * margin)
-        total, flips = np.zeros(1), np.zeros((1, len(margin)), bool)
-        for j, at in enumerate(order):
-            more = np.flatnonzero(total + cost[j] <= limit)
+    @staticmethod
+    def numbers(margins: np.ndarray) -> np.ndarray:
+        """The sign bits of every row of margins as one number."""
+        return (margins > 0).astype(np.uint64) @ (np.uint64(1) << np.arange(margins.shape[1], dtype=np.uint64))
+
+    def homes(self, table: int, unit: np.ndarray) -> np.ndarray:
+        return self.keys(table, self.numbers(self.margins(unit, table)))
+
+    def visits(self, table: int, margins: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, key) of every bucket whose flipped bits have squared margins of the row's limit at most in sum.
+
+        All rows at once: bits are taken by rising margin, and every set of flips that still has room gets a copy with the next bit."""
+        squared = margins * margins
+        order = np.argsort(squared, axis=1)
+        cost = np.take_along_axis(squared, order, axis=1)
+        row, total, flips = np.arange(len(margins)), np.zeros(len(margins)), np.zeros(len(margins), np.uint64)
+        for j in range(margins.shape[1]):
+            more = np.flatnonzero(total + cost[row, j] <= limits[row])
             if not len(more):
                 break
-            added = flips[more]
-            added[:, at] = True
-            total, flips = np.concatenate([total, total[more] + cost[j]]), np.concatenate([flips, added])
-        return self.keys(table, (margin > 0) ^ flips)
+            at = row[more]
+            bit = np.uint64(1) << order[at, j].astype(np.uint64)
+            row, total, flips = np.concatenate([row, at]), np.concatenate([total, total[more] + cost[at, j]]), np.concatenate([flips, flips[more] | bit])
+        return row, self.keys(table, self.numbers(margins)[row] ^ flips)
 
 
 def estimates(signs: np.ndarray, factor: np.ndarray, rotated: np.ndarray) -> np.ndarray:
@@ -211,27 +222,24 @@ def _coded(codes, want_index: bool):
     """Index rows (the rotated vector in 8-bit steps, at home) or probe rows (the code, at every bucket visited)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codes.value
-        for b in batches:
-            if not b.num_rows:
-                continue
+        # a few rows at a time: a ball may visit thousands of buckets
+        for b in (whole.slice(lo, 1024) for whole in batches for lo in range(0, whole.num_rows, 1024)):
             unit = _unit(_matrix(b.column(1)))
             objects, radius = b.column(0), b.column(2).to_numpy()
             rotated = unit @ c.rotation.T
             if want_index:
                 step = np.abs(rotated).max(axis=1) / 127
-                whole = np.round(rotated / step[:, None]).astype(np.int8)
-                lost = np.sqrt(((rotated - whole * step[:, None]) ** 2).sum(axis=1))
-                data, scale = [x.tobytes() for x in whole], step
+                steps = np.round(rotated / step[:, None]).astype(np.int8)
+                lost = np.sqrt(((rotated - steps * step[:, None]) ** 2).sum(axis=1))
+                data, scale = [x.tobytes() for x in steps], step
             else:
                 data = [x.tobytes() for x in np.packbits(rotated > 0, axis=1)]
                 scale, lost = np.abs(rotated).sum(axis=1) / np.sqrt(unit.shape[1]), np.zeros(len(unit))
             for t in range(TABLES):
-                margin = c.margins(unit, t)
                 if want_index:
-                    keys, at = c.keys(t, margin > 0), np.arange(len(unit))
+                    keys, at = c.homes(t, unit), np.arange(len(unit))
                 else:
-                    each = [c.visits(t, m, c.ball_limit if r > 0 else c.limit) for m, r in zip(margin, radius, strict=True)]
-                    keys, at = np.concatenate(each), np.repeat(np.arange(len(unit)), [len(x) for x in each])
+                    at, keys = c.visits(t, c.margins(unit, t), np.where(radius > 0, c.ball_limit, c.limit))
                 for lo in range(0, len(at), 65_536):
                     part = at[lo:lo + 65_536]
                     yield pa.RecordBatch.from_arrays(
@@ -345,7 +353,7 @@ def links(vectors: DataFrame, threshold: float = 0.95, key: str = "vec_id", vect
 
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bucket = codes.keys(TABLES, codes.margins(_unit(_matrix(b.column(4))), TABLES) > 0) if b.num_rows else np.zeros(0, np.int64)
+            bucket = codes.homes(TABLES, _unit(_matrix(b.column(4)))) if b.num_rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(list(b.columns) + [pa.array(bucket)], [*b.schema.names, "bucket"])
 
     same = marked.filter("valid").groupBy("h", "g").agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.first("v").alias("v"))
