@@ -47,6 +47,7 @@ def _sql_union(parts: list[str]) -> str:
 # --------------------------------------------------------------------------
 # primary keys (order_items, shipping and reviews have no surrogate key in
 # the bound data: their natural keys are audited)
+# Primary keys of the source schema (natural keys where it has surrogates that the inputs lack).
 PRIMARY_KEYS = (
     ("categories", ("category_id",)), ("products", ("product_id",)),
     ("inventory", ("inventory_id",)), ("customers", ("customer_id",)),
@@ -83,6 +84,7 @@ def dq_primary_key(t: Tables) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
+# Foreign keys of the source schema (child, column, parent, column).
 FOREIGN_KEYS = (
     ("categories", "parent_category_id", "categories", "category_id"),
     ("products", "category_id", "categories", "category_id"),
@@ -308,6 +310,43 @@ def defaults_filled(t: Tables) -> DataFrame:
     return whole.select("order_id", *[F.col(c).cast("double").alias(c) for c in money], "review_date", "is_verified_purchase")
 
 
+#: Key whose every third value gets gaps, and the columns with a default that the bound tables have.
+_GAP_KEYS = {"categories": "category_id", "products": "product_id", "inventory": "inventory_id", "customers": "customer_id",
+             "orders": "order_id", "order_items": "order_id", "reviews": "order_id"}
+_BOUND = {"products": ("is_active",), "inventory": ("reorder_level",), "customers": ("is_active",), "order_items": ("discount",),
+          "orders": ("discount_amount", "shipping_cost", "tax_amount"), "reviews": ("review_date", "is_verified_purchase")}
+
+
+def _default_sql(table: str, column: str) -> str:
+    gap = f"{_GAP_KEYS[table]} % 3 = 0" if column in _BOUND.get(table, ()) else "TRUE"
+    return f"""SELECT '{table}' AS table_name, '{column}' AS column_name, COUNT(*) AS checked_rows,
+       COUNT(*) FILTER ({gap}) AS filled_rows, CAST(0 AS BIGINT) AS null_rows FROM {TABLES[table][1]}"""
+
+
+@query("defaults_by_column", _sql_union([_default_sql(table, c) for table, cs in DEFAULTS.items() for c in cs]))
+def defaults_by_column(t: Tables) -> DataFrame:
+    """Every declared default at work: each table is staged with gaps in its columns (a column it lacks
+    is one gap), loaded at the analysis date, and the rows that hold the default where a gap was are counted."""
+    loaded = dt.datetime.combine(t.as_of, dt.time())
+    parts = []
+    for table, defaults in DEFAULTS.items():
+        key = F.col(_GAP_KEYS[table])
+        bound = _BOUND.get(table, ())
+        gap = F.coalesce(key % 3 == 0, F.lit(False))
+        staged = _df(t, table).select(gap.alias("_gap"), *[F.when(~gap, F.col(c)).alias(c) for c in bound])
+        whole = apply_defaults(staged, table, loaded)
+        counts = []
+        for c, value in defaults.items():
+            given = F.lit(loaded).cast("timestamp_ntz") if value is LOAD_TIME else F.lit(value)
+            hole = F.col("_gap") if c in bound else F.lit(True)
+            counts += [count_if(hole & (F.col(c) == given.cast(whole.schema[c].dataType))).alias(f"f_{c}"), count_if(F.col(c).isNull()).alias(f"n_{c}")]
+        agg = whole.agg(F.count(F.lit(1)).alias("n"), *counts)
+        parts.append(agg.select(F.explode(F.array(*[F.struct(
+            F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.col("n").alias("checked_rows"),
+            F.col(f"f_{c}").alias("filled_rows"), F.col(f"n_{c}").alias("null_rows")) for c in defaults])).alias("x")).select("x.*"))
+    return _union(parts)
+
+
 @query("orders_with_defaults", oracle("""
 SELECT order_id, customer_id, order_date, order_status, payment_method, campaign_id,
        CAST(COALESCE(discount_amount, 0) AS DOUBLE) AS discount_amount,
