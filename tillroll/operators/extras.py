@@ -291,15 +291,13 @@ def category_tree_rollup(t: Tables) -> DataFrame:
 
 # --------------------------------------------------------------------------
 @query("warehouse_turnover", oracle(f"""
-SELECT i.warehouse_location, CAST(SUM(i.quantity_available) AS BIGINT) AS current_stock,
-       CAST(COALESCE(SUM(s.u), 0) AS BIGINT) AS units_sold_last_90d,
-       {R('CAST(COALESCE(SUM(s.u), 0) AS DOUBLE) * 365e0 / 90e0 / NULLIF(CAST(SUM(i.quantity_available) AS DOUBLE), 0e0)')}
-         AS inventory_turnover_ratio
-FROM b_inventory i LEFT JOIN (
-  SELECT oi.product_id, SUM(oi.quantity) AS u FROM b_items oi JOIN b_orders o ON o.order_id = oi.order_id
-  WHERE o.order_date >= {TS_AGO(90)} AND o.order_status != 'Cancelled' GROUP BY oi.product_id) s
-  ON s.product_id = i.product_id
-GROUP BY i.warehouse_location"""))
+SELECT warehouse_location, CAST(SUM(on_hand) AS BIGINT) AS current_stock, CAST(SUM(sold) AS BIGINT) AS units_sold_last_90d,
+       {R('SUM(sold) * 365e0 / 90e0 / NULLIF(CAST(SUM(on_hand) AS DOUBLE), 0e0)')} AS inventory_turnover_ratio
+FROM (SELECT warehouse_location, quantity_available AS on_hand,
+             (SELECT COALESCE(SUM(quantity), 0) FROM recent r WHERE r.product_id = s.product_id) AS sold FROM b_inventory s)
+GROUP BY ALL""", ctes=f"""
+recent AS (SELECT product_id, quantity FROM b_items
+           SEMI JOIN (SELECT order_id FROM b_orders WHERE order_status <> 'Cancelled' AND order_date >= {TS_AGO(90)}) USING (order_id))"""))
 def warehouse_turnover(t: Tables, days: int = 90) -> DataFrame:
     recent = t.valid_orders.where(F.col("order_date") >= t.ts_days_ago(days)).select("order_id")
     sales = (t.items.join(recent, "order_id", "left_semi").groupBy("product_id")

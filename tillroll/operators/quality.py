@@ -170,6 +170,7 @@ def dq_unique(t: Tables) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
+# Columns declared NOT NULL in the source schema.
 NOT_NULL = (
     ("categories", "category_name"), ("products", "product_name"), ("products", "price"),
     ("products", "cost"), ("inventory", "quantity_available"), ("customers", "first_name"),
