@@ -56,5 +56,35 @@ def test_stages_keep_the_columns(spark, corpus):
 
 def test_queries_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {x.split("_")[0] + "_" for x in names if x[:2] == "op" and x[2].isdigit()}
+    assert {f"op{n}_" for n in range(1, 14)} == {x.split("_")[0] + "_" for x in names if x[:2] == "op" and x[2].isdigit()}
     assert "pipeline" in names and set(entry.oracle_sql()) <= names
+
+
+CLASHING = ("__key", "__mark", "__start", "__end", "__cut", "__text", "__quality", "__times", "__meta0", "key", "mark", "set", "score")
+
+
+def test_clashing_columns_null_and_repeated_ids_pass_all_stages(spark, corpus, tmp_path):
+    from pyspark.sql import functions as F
+    folder, good, _ = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id BETWEEN 40 AND 70")
+    odd = spark.createDataFrame([(None, good[75], "en", None, None), (40, good[76], None, "s", 5), (41, None, "en", "s", 0), (42, "", "en", "s", 0)], docs.schema)
+    wide = docs.unionByName(docs.where("doc_id = 50")).unionByName(odd)     # a repeated row, an id with two texts, null and empty texts
+    for c in CLASHING:
+        wide = wide.withColumn(c, F.lit(f"own {c}"))
+    at = wide
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, at, folder)
+        assert set(wide.columns) <= set(out.columns)
+        out.write.parquet(f"{tmp_path}/{name}")
+        at = spark.read.parquet(f"{tmp_path}/{name}")
+    rows = at.collect()
+    assert all(r[c] == f"own {c}" for r in rows for c in CLASHING)
+    texts = sorted((r.doc_id or -1, r.text) for r in rows if r.text)
+    want = sorted([(k, good[k]) for k in range(40, 71)] + [(-1, good[75]), (40, good[76])])
+    assert texts == want
+
+
+def test_empty_table_passes_all_stages(spark, corpus):
+    docs = spark.read.parquet(f"{corpus[0]}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, corpus[0]).count() == 0

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.storage import written
+from tillroll.llm.storage import free, written
 from tillroll.llm.textarrays import Words, chunks, mix, span_hashes
 from tillroll.llm.workers import tidied
 
@@ -209,5 +209,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage, with the columns they came with."""
-    bad = contamination(docs, benchmark, key, text).select(F.col("key").alias("__key"), F.col("mark").alias("__mark")).distinct()
-    return docs.join(bad, F.col(key).cast("long").eqNullSafe(F.col("__key")) & (F.xxhash64(docs[text]) == F.col("__mark")), "left_anti")
+    own, mark = free(docs, "__key", "__mark")
+    bad = contamination(docs, benchmark, key, text).select(F.col("key").alias(own), F.col("mark").alias(mark)).distinct()
+    return docs.join(bad, docs[key].cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(docs[text]) == F.col(mark)), "left_anti")

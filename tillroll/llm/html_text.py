@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tillroll.llm.storage import free
+
 #: Width (in lines) of the Gaussian, and lines on each side that it covers.
 SIGMA, REACH = 1.0, 2
 
@@ -345,4 +347,4 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text", keep: tupl
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(kept))), pa.array(out, pa.string())],
                                              [*kept, text])
 
-    return pages.select(*(pages[c] for c in kept), pages[html].alias("__html")).mapInArrow(run, schema)
+    return pages.select(*(pages[c] for c in kept), pages[html].alias(free(pages, "__html")[0])).mapInArrow(run, schema)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
-from tillroll.llm.storage import written
+from tillroll.llm.storage import free, written
 from tillroll.llm.textarrays import Words, chunks, mix
 from tillroll.llm.workers import tidied
 
@@ -411,11 +411,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     stays = (groups.filter("worded").groupBy("root")
              .agg(F.min(F.struct(F.col("key").isNull().alias("void"), "key", "mark", "times")).alias("s"))
              .select("s.key", "s.mark", "s.times"))
+    own, mark, times = free(docs, "__key", "__mark", "__times")
     empty = groups.filter("NOT worded").select("key", "mark", F.lit(1).cast("long").alias("times"))
     kept = (stays.unionByName(empty)
-            .select(F.col("key").alias("__key"), F.col("mark").alias("__mark"), F.col("times").alias("__times")))
-    condition = F.col(key).cast("long").eqNullSafe(F.col("__key")) & (F.xxhash64(docs[text]) == F.col("__mark"))
+            .select(F.col("key").alias(own), F.col("mark").alias(mark), F.col("times").alias(times)))
+    condition = docs[key].cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(docs[text]) == F.col(mark))
     found = docs.join(kept, condition)
     columns = [docs[c] for c in docs.columns]
-    return found.filter("__times = 1").select(*columns).unionByName(
-        found.filter("__times > 1").select(*columns).dropDuplicates([key, text]))
+    return found.filter(F.col(times) == 1).select(*columns).unionByName(
+        found.filter(F.col(times) > 1).select(*columns).dropDuplicates([key, text]))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm.storage import free
 from tillroll.llm.textarrays import Words, chunks
 from tillroll.llm.workers import tidied
 
@@ -251,13 +252,14 @@ def score(df: DataFrame, model: Model, text: str = "text", metadata: tuple[str,
             z = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(kept))), pa.array(z)], [*kept, out])
 
-    return (df.select(*(df[c] for c in kept), df[text].alias("__text"),
-                      *(df[c].cast("double").alias(f"__meta{j}") for j, c in enumerate(metadata)))
+    body, *more = free(df, "__text", *(f"__meta{j}" for j in range(len(metadata))))
+    return (df.select(*(df[c] for c in kept), df[text].alias(body), *(df[c].cast("double").alias(m) for m, c in zip(more, metadata, strict=True)))
             .mapInArrow(tidied(run), schema))
 
 
 def keep_good(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The rows that score at least ``least``, with the columns they came with."""
     names = docs.columns
-    scored = score(docs, model, out="__quality")
-    return scored.filter(F.col("__quality") >= least).select(*(F.col(f"`{c}`") for c in names))
+    quality, = free(docs, "__quality")
+    scored = score(docs, model, out=quality)
+    return scored.filter(F.col(quality) >= least).select(*(F.col(f"`{c}`") for c in names))

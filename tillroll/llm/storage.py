@@ -28,6 +28,16 @@ def shared_folder(spark: SparkSession) -> str:
     return _own[app]
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as no column of ``df`` has it (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else uses."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

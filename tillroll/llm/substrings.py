@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.textarrays import Words, chunks, expand, mix
+from tillroll.llm.storage import free
 from tillroll.llm.workers import tidied
 
 RUN_SENTENCES, RUN_WORDS, LONG_SENTENCE = 2, 20, 50
@@ -212,16 +213,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", cha
     text that is all repeats becomes empty; its row stays. Other columns, null
     texts and unchanged texts stay as they are, whatever their names.
     """
+    own, mark, start, end, cut, body = free(docs, "__key", "__mark", "__start", "__end", "__cut", "__text")
     spans = repeated_spans(docs, key, text).select(
-        F.col("key").alias("__key"), F.col("mark").alias("__mark"), F.col("start").alias("__start"), F.col("end").alias("__end"))
+        F.col("key").alias(own), F.col("mark").alias(mark), F.col("start").alias(start), F.col("end").alias(end))
     rest = [c for c in docs.columns if c != text]
-    joined = docs.join(spans, F.col(key).cast("long").eqNullSafe(F.col("__key")) & (row_mark(docs[text]) == F.col("__mark")), "left")
-    fed = joined.select(*(docs[c] for c in rest), F.col("__start").isNotNull().alias("__cut"), docs[text].alias("__text"),
-                        "__start", "__end")
-    schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField("__cut", T.BooleanType()),
-                           T.StructField("__text", T.StringType())])
+    joined = docs.join(spans, docs[key].cast("long").eqNullSafe(F.col(own)) & (row_mark(docs[text]) == F.col(mark)), "left")
+    fed = joined.select(*(docs[c] for c in rest), F.col(start).isNotNull().alias(cut), docs[text].alias(body), start, end)
+    schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField(cut, T.BooleanType()),
+                           T.StructField(body, T.StringType())])
     done = fed.mapInArrow(tidied(_without), schema)
-    columns = [F.col("__text").alias(text) if c == text else
-               F.when(F.col("__cut"), F.length("__text")).otherwise(F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c)
+    columns = [F.col(body).alias(text) if c == text else
+               F.when(F.col(cut), F.length(body)).otherwise(F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c)
                if c == chars else F.col(f"`{c}`") for c in docs.columns]
     return done.select(*columns)

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm.storage import free
 from tillroll.llm.quality import labelled_sample
 from tillroll.llm.textarrays import Words, chunks, mix, span_hashes
 from tillroll.llm.workers import tidied
@@ -283,4 +284,4 @@ def score(df: DataFrame, chain: Chain, text: str = "text", out: str = "score", s
                 names.append(spans)
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return df.select(*(df[c] for c in kept), df[text].alias("__text")).mapInArrow(tidied(run), schema)
+    return df.select(*(df[c] for c in kept), df[text].alias(free(df, "__text")[0])).mapInArrow(tidied(run), schema)
