@@ -178,15 +178,18 @@ def _exact(vectors: np.ndarray, norms: np.ndarray, q: np.ndarray, norm: float) -
     return (vectors * q).sum(axis=1) / (norms * norm)
 
 
-def _top(ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _top(ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray, spot: np.ndarray, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, cosines) of the ``k`` rows nearest to ``q`` among those at ``spot``, the query's own left out."""
     norm = float(np.sqrt((q * q).sum()))
-    rough = vectors @ q / (norms * norm)
-    rough[ids == own] = -np.inf
+    # where a good part of the rows is meant, all products at once are cheaper than a copy of these rows
+    product = (vectors @ q)[spot] if 4 * len(spot) > len(vectors) else vectors[spot] @ q
+    rough = product / (norms[spot] * norm)
+    rough[ids[spot] == own] = -np.inf
     if len(rough) > k:
         bar = np.partition(rough, -k)[-k] - 1e-9
-        at = np.flatnonzero(rough >= bar)
+        at = spot[rough >= bar]
     else:
-        at = np.flatnonzero(rough > -np.inf)
+        at = spot
     at = at[ids[at] != own]
     score = _exact(vectors[at], norms[at], q, norm)
     order = np.lexsort((ids[at], -score))[:k]
@@ -283,17 +286,20 @@ def search(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
                 if ready is None:
                     order = np.argsort(bucket, kind="stable")
                     m = np.array(held).reshape(len(ids), -1)[order]
-                    ready = (np.array(ids, np.int64)[order], m, np.sqrt((m * m).sum(axis=1)), np.array(bucket, np.int64)[order])
+                    own = np.array(ids, np.int64)[order]
+                    number = np.unique(own, return_inverse=True)[1]
+                    ready = (own, m, np.sqrt((m * m).sum(axis=1)), np.array(bucket, np.int64)[order], number)
                     held = []
-                own, m, norms, sorted_bucket = ready
+                own, m, norms, sorted_bucket, number = ready
                 if not len(own):
                     continue
                 wanted = visit[edge[i]:edge[i + 1]]
                 low, high = np.searchsorted(sorted_bucket, wanted), np.searchsorted(sorted_bucket, wanted, side="right")
                 spot = np.concatenate([np.arange(x, y) for x, y in zip(low[high > low], high[high > low], strict=True)]) if (high > low).any() else np.zeros(0, np.int64)
-                _, first = np.unique(own[spot], return_index=True)  # the tables' candidates merged
-                spot = spot[first]
-                got, score = _top(own[spot], m[spot], norms[spot], int(columns[2][i]), v[i], k)
+                one = np.full(number.max() + 1, -1)  # the tables' candidates merged: one row of each id
+                one[number[spot]] = spot
+                spot = one[one >= 0]
+                got, score = _top(own, m, norms, spot, int(columns[2][i]), v[i], k)
                 out += [(int(columns[2][i]), int(x), float(s)) for x, s in zip(got, score, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], kind_) for j, kind_ in enumerate((pa.int64(), pa.int64(), pa.float64()))],
                                              ["query_id", "vec_id", "score"])
