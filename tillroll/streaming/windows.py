@@ -112,9 +112,10 @@ def event_windows_stream(t: Tables) -> DataFrame:
     """Hourly events per type from a stream in which every tenth event comes twice and every fiftieth comes last of all."""
     base = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/windows-{uuid.uuid4().hex}"
     e = t.raw("events")
-    # event times are local; the stream's clock is zoned, so they pass through the session's zone and back
-    e = e.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
-    half = F.dayofmonth("ts") <= 15
+    # event times have no zone and the stream's clock has one: they are taken as UTC, whatever the session's zone
+    instant = F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"))
+    e = e.select("event_id", instant.alias("ts"), "event_type", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    half = F.unix_micros("ts") < 1_705_276_800_000_000      # 15 January 2024
     held = F.col("event_id") % 50 == 7
     again = F.explode(F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(0))).otherwise(F.array(F.lit(0))))
     arrivals = [e.where(half & ~held), e.where(~half & ~held), e.where(held).unionByName(e.where(F.col("event_id") % 40 == 0))]
@@ -123,4 +124,4 @@ def event_windows_stream(t: Tables) -> DataFrame:
         start_split(t.spark, f"{base}/arriving", base).awaitTermination()
         start_windows(t.spark, base).awaitTermination()
     return read_windows(t.spark, base).select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "events", dollars("cents").alias("value"))
+        F.expr("timestampadd(MICROSECOND, unix_micros(window_start), TIMESTAMP_NTZ '1970-01-01 00:00:00')").alias("window_start"), "event_type", "events", dollars("cents").alias("value"))
