@@ -47,6 +47,11 @@ def manifest(spark: SparkSession, base: str) -> dict[str, tuple[str, int]]:
     return {r.tag: (r.folder, r.batch) for r in read_latest(spark, base, MANIFEST).select("tag", "folder", "batch").collect()}
 
 
+def _folders(spark: SparkSession, base: str, version: str) -> set[str]:
+    """The folders that one manifest names: one a month."""
+    return {r.folder for r in spark.read.parquet(f"{base.rstrip('/')}/{MANIFEST}/v={version}").select("folder").collect()}
+
+
 def _read_states(spark: SparkSession, folders: list[str]) -> DataFrame:
     schema = "month DATE, customer_id BIGINT, " + ", ".join(f"{n} BIGINT" for n in SUMS)
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
@@ -79,10 +84,12 @@ def refresh(change: DataFrame, base: str, batch: int) -> list[str]:
     if have:
         kept = read_latest(spark, base, MANIFEST).where(~F.col("tag").isin(touched))
         rows = rows.unionByName(kept.select("tag", "folder", "customers"))
-    publish(rows.withColumn("batch", F.lit(batch).cast("bigint")).coalesce(1), base, MANIFEST)
-    for m in touched:
-        if m in have:
-            fs.delete(fs_of(spark, have[m][0])[1], True)
+    versions = _versions(spark, base, MANIFEST)
+    dropped = _folders(spark, base, versions[-2]) if len(versions) > 1 else set()    # publish keeps the newest two
+    version = publish(rows.withColumn("batch", F.lit(batch).cast("bigint")).coalesce(1), base, MANIFEST)
+    # what only the dropped manifest names goes; the one before stays whole for those who are reading it
+    for f in dropped - _folders(spark, base, version) - {f for f, _ in have.values()}:
+        fs.delete(fs_of(spark, f)[1], True)
     fs.delete(fs_of(spark, f"{folder}-delta")[1], True)
     return touched
 
