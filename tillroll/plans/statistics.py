@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.functions.sqltext import oracle
 from tillroll.plans.jobs import _scratch
 from tillroll.registry import query
+from tillroll.session import TASK_BYTES
 from tillroll.sources.bind import Tables
 
 
@@ -25,7 +26,7 @@ def ordering(spark: SparkSession) -> SparkSession:
     own = spark.newSession()
     for key in ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled"):
         own.conf.set(key, "true")
-    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled"):
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", *TASK_BYTES):
         own.conf.set(key, spark.conf.get(key))
     return own
 

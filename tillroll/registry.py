@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.session import sized_session
 from tillroll.sources.bind import Tables
+from tillroll.sources.driver import DRIVER_SCHEMAS, table_path
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,7 +31,8 @@ def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     fn = QUERIES[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Tables(spark, sf_dir))
+        sized = sized_session(spark, [table_path(sf_dir, table) for table in DRIVER_SCHEMAS])
+        return fn(Tables(sized, sf_dir))
 
     run.__name__ = name
     return run

@@ -6,9 +6,13 @@ These helpers are for tests, the bench and command-line runs.
 
 from __future__ import annotations
 
+import contextlib
 import os
+import re
 import tempfile
+from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every tillroll job assumes. AQE re-plans joins from measured sizes
@@ -64,3 +68,52 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+#: Bytes of stored input for each shuffle partition of a sized session.
+PARTITION_BYTES = 8 << 20
+#: Most bytes that one task of a sized session is dealt: of a scan, of partitions that AQE
+#: puts together (Spark's own 64 MB are millions of narrow rows, and a task sorts and groups
+#: all of its rows at once), and of a partition of a join before it counts as skewed.
+TASK_BYTES = {
+    "spark.sql.files.maxPartitionBytes": 16 << 20,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 8 << 20,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": 32 << 20,
+}
+
+
+def _bytes(setting: str) -> int:
+    """A size as Spark's settings write it: ``64m``, ``64MB``, ``67108864b``, ``67108864``."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", setting.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+def stored_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Bytes of the files below those of the ``paths`` that exist, in whatever store they are."""
+    total = 0
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
+    return total
+
+
+def sized_session(spark: SparkSession, paths: Iterable[str]) -> SparkSession:
+    """A session with the settings of ``spark`` whose tasks stay as small as they are, however large the input at ``paths`` is.
+
+    It has one shuffle partition for each ``PARTITION_BYTES`` of input (or ``spark``'s number,
+    if that is more) and deals a task at most ``TASK_BYTES`` (or ``spark``'s sizes, where smaller).
+    ``spark`` itself stays as it is."""
+    own = spark.newSession()
+    has = own.conf.getAll
+    for key, value in spark.conf.getAll.items():
+        if has.get(key) != value:
+            with contextlib.suppress(AnalysisException):  # settings of the whole application hold here too
+                own.conf.set(key, value)
+    parts = -(-stored_bytes(spark, paths) // PARTITION_BYTES)
+    own.conf.set("spark.sql.shuffle.partitions", str(max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    for key, most in TASK_BYTES.items():
+        if _bytes(spark.conf.get(key)) > most:
+            own.conf.set(key, f"{most}b")
+    return own

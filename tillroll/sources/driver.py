@@ -32,7 +32,11 @@ DRIVER_SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one driver table with its declared schema; Catalyst prunes columns
     and pushes filters into this scan."""
-    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(table_path(sf_dir, name))
