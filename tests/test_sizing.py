@@ -17,6 +17,16 @@ NARROW = 8 << 10    # bytes of input a partition, so that the small tables are m
 registry.load_all()
 
 
+@pytest.fixture()
+def few(spark):
+    """The caller's session has four shuffle partitions, whatever tests before have set."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "4")
+    yield 4
+    spark.conf.set(key, old)
+
+
 def _rows(df):
     return canon(df.columns, [tuple(r) for r in df.collect()])
 
@@ -24,10 +34,10 @@ def _rows(df):
 @pytest.mark.parametrize("name", ["market_basket", "market_basket_min5", "category_performance", "mv_category_performance_corrected",
                                   "recommend_products", "cancellation_rate_by_product", "dq_foreign_key", "mv_category_performance",
                                   "best_sellers"])
-def test_shuffles_have_partitions_in_proportion_to_the_input(spark, tables, monkeypatch, name):
+def test_shuffles_have_partitions_in_proportion_to_the_input(spark, tables, monkeypatch, few, name):
     monkeypatch.setattr(session, "PARTITION_BYTES", NARROW)
     most = stored_bytes(spark, PATHS) // NARROW
-    assert most > 5 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert most > 5 * few
     df = registry.runner(name)(spark, SF_SMALL)
     dealt = [int(n) for n in re.findall(r"hashpartitioning\([^)]*, (\d+)\)", df._jdf.queryExecution().executedPlan().toString())]
     assert dealt and min(dealt) >= most, dealt
@@ -35,14 +45,14 @@ def test_shuffles_have_partitions_in_proportion_to_the_input(spark, tables, monk
 
 
 @pytest.mark.parametrize("name", ["stored_monthly_revenue", "stored_category_performance", "supplier_revenue_by_cost"])
-def test_stored_results_are_built_and_read_with_them(spark, tables, monkeypatch, name):
+def test_stored_results_are_built_and_read_with_them(spark, tables, monkeypatch, few, name):
     monkeypatch.setattr(session, "PARTITION_BYTES", NARROW)
     df = registry.runner(name)(spark, SF_SMALL)
     assert int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) >= stored_bytes(spark, PATHS) // NARROW
     assert _rows(df) == _rows(registry.QUERIES[name](Tables(spark, SF_SMALL)))
 
 
-def test_partitions_grow_with_the_input_and_the_callers_session_stays(spark, scratch):
+def test_partitions_grow_with_the_input_and_the_callers_session_stays(spark, scratch, few):
     before = spark.conf.getAll
     counts = []
     for n, size in enumerate((10 * session.PARTITION_BYTES, 100 * session.PARTITION_BYTES + 1)):
